@@ -11,7 +11,7 @@ Defined cases: null equals null, and an empty value counts as null; a record pri
 snapshot counts once, with its smallest row key; if several rows could be partners they are paired one to one in
 row order (land and name first, then date and name, then date and land); a single snapshot or an empty table
 gives no change; rows are told apart by snapshot id only, so late deliveries and moved positions change nothing.
-Unequal content is told apart by 128 bits of hash a field.
+Unequal lands and names are told apart by 128 bits of hash, days by 64.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import materialize
+
 _DROP = re.compile(r"[\s、,，]+")
 
 
@@ -39,7 +41,8 @@ def _wide_hash(c: Column) -> tuple[Column, Column]:
 
 
 def _content(c: str) -> list[str]:
-    return [f"{c}1", f"{c}2"]
+    # Days are few: 64 bits tell them apart.
+    return ["d1"] if c == "d" else [f"{c}1", f"{c}2"]
 
 
 FIELDS = ["d", "l", "n"]
@@ -53,25 +56,31 @@ def snapshot_rows(df: DataFrame, snapshot: str, row: str, date: str, land: str,
     forms = df.where(F.col(snapshot).isNotNull()).select(
         order.alias("ord"), F.col(row).alias("rid"), *[match_form(F.col(c).cast("string")).alias(f) for f, c in zip(FIELDS, (date, land, name))]
     )
-    hashed = forms.select("ord", "rid", *[h.alias(k) for f in FIELDS for h, k in zip(_wide_hash(F.col(f)), _content(f))])
+    hashed = forms.select("ord", "rid", *[h.alias(k) for f in FIELDS for k, h in zip(_content(f), _wide_hash(F.col(f)))])
     return hashed.groupBy("ord", *KEYS).agg(F.min("rid").alias("rid")), len(ids)
 
 
 def unmatched_rows(rows: DataFrame, buckets: int, chunk_rows: int) -> DataFrame:
-    """The rows with ``seen_before`` and ``seen_after``: whether their chunk is in the snapshot before or after."""
+    """The rows with ``seen_before`` and ``seen_after``: whether their chunk is in the snapshot before or after.
+
+    A chunk carries its rows along (about ``chunk_rows``; a run without a divisible digest is rare and short), so
+    those of unmatched chunks need no join to be found again.
+    """
     rows = rows.withColumns({"h": F.xxhash64(*KEYS), "g": F.xxhash64(F.lit("chunk"), *KEYS)})
     rows = rows.withColumn("bucket", F.pmod(F.shiftright("h", 7), F.lit(buckets)).cast("int"))
     sorted_ = Window.partitionBy("ord", "bucket").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
     starts = F.when(F.pmod("h", F.lit(chunk_rows)) == 0, F.col("h"))
     rows = rows.withColumn("start", F.coalesce(F.max(starts).over(sorted_), F.lit(-(1 << 63))))
-    digest = ["bucket", "start", "c", "x", "y"]
-    chunks = rows.groupBy("ord", "bucket", "start").agg(F.count("*").alias("c"), F.bit_xor("h").alias("x"), F.bit_xor("g").alias("y"))
-    same = chunks.groupBy(*digest).agg(F.collect_set("ord").alias("ords"))
-    flags = same.select("bucket", "start", F.explode("ords").alias("ord"), "ords").select(
-        "ord", "bucket", "start", F.array_contains("ords", F.col("ord") - 1).alias("seen_before"), F.array_contains("ords", F.col("ord") + 1).alias("seen_after")
+    chunks = rows.groupBy("ord", "bucket", "start").agg(
+        F.count("*").alias("c"), F.bit_xor("h").alias("x"), F.bit_xor("g").alias("y"), F.collect_list(F.struct("rid", *KEYS)).alias("rows")
+    )
+    # At most one chunk a snapshot in each group.
+    same = chunks.groupBy("bucket", "start", "c", "x", "y").agg(F.collect_list(F.struct("ord", "rows")).alias("at"))
+    each = same.select(F.explode("at").alias("a"), F.transform("at", lambda a: a["ord"]).alias("ords")).select(
+        "a.ord", "a.rows", F.array_contains("ords", F.col("a.ord") - 1).alias("seen_before"), F.array_contains("ords", F.col("a.ord") + 1).alias("seen_after")
     )
-    open_ = flags.where(~(F.col("seen_before") & F.col("seen_after")))
-    return rows.join(open_, ["ord", "bucket", "start"]).select("ord", "rid", *KEYS, "seen_before", "seen_after")
+    open_ = each.where(~(F.col("seen_before") & F.col("seen_after")))
+    return open_.select("ord", "seen_before", "seen_after", F.explode("rows").alias("r")).select("ord", "seen_before", "seen_after", "r.*")
 
 
 def snapshot_changes(
@@ -90,17 +99,18 @@ def snapshot_changes(
     """
     buckets = max(16, df.count() // rows_per_bucket)
     rows, n = snapshot_rows(df, snapshot, row, date, land, name)
-    rows = unmatched_rows(rows, buckets, chunk_rows)
+    rows = materialize(unmatched_rows(rows, buckets, chunk_rows), "unmatched")
     old = rows.where(~F.col("seen_after") & (F.col("ord") < n)).select(F.col("ord").alias("pair"), "rid", F.lit(True).alias("old"), *KEYS)
     new = rows.where(~F.col("seen_before") & (F.col("ord") > 1)).select((F.col("ord") - 1).alias("pair"), "rid", F.lit(False).alias("old"), *KEYS)
     both = old.unionByName(new).groupBy("pair", *KEYS).agg(F.min(F.when(F.col("old"), F.col("rid"))).alias("o"), F.min(F.when(~F.col("old"), F.col("rid"))).alias("n"))
-    rest = both.where(F.col("o").isNull() | F.col("n").isNull())
+    rest = materialize(both.where(F.col("o").isNull() | F.col("n").isNull()), "unpaired")
     pairs = None
     for a, b in (("l", "n"), ("d", "n"), ("d", "l")):
         on = ["pair", *_content(a), *_content(b)]
         rank = Window.partitionBy(*on, F.col("o").isNull()).orderBy(F.coalesce("o", "n"))
         ranked = rest.withColumn("k", F.row_number().over(rank))
         met = ranked.groupBy(*on, "k").agg(F.min("o").alias("o"), F.min("n").alias("n"), F.collect_list(F.struct("o", "n", *KEYS)).alias("rows"))  # at most one of each side
+        met = materialize(met, "paired")
         found = F.col("o").isNotNull() & F.col("n").isNotNull()
         step = met.where(found).select("pair", F.col("o").alias("prev_row"), F.col("n").alias("cur_row"))
         pairs = step if pairs is None else pairs.unionByName(step)
