@@ -10,6 +10,22 @@ from .components import connected_components, core_links
 from .leaks import find_leaks, remove_leaks
 from .spans import shared_chars
 from .tokens import encode_corpus
+from .truncation import cut_shares, truncated
+
+
+RAW_FIELDS = {"land": "land", "name": "name", "date": "date"}
+
+
+def _cut(spark: SparkSession, d: str) -> DataFrame:
+    return truncated(table(spark, d, "raw_records"), "raw_id", "feed_id", RAW_FIELDS)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _cut(spark, d).where("cut").select("raw_id", "field")
+
+
+def p2_shares(spark: SparkSession, d: str) -> DataFrame:
+    return cut_shares(_cut(spark, d), "feed_id")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -33,5 +49,5 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_chars(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p8_ids, p9_found, p9_cleaned, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_shares, p7_found, p8_ids, p9_found, p9_cleaned, p10_found)}
 SQL: dict[str, str] = {}
