@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from ..runtime import table
 from .components import connected_components, core_links
 from .leaks import find_leaks, remove_leaks
+from .linkage import link_records
 from .spans import shared_chars
 from .tokens import encode_corpus
 from .truncation import cut_shares, truncated
 
 
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    return link_records(table(spark, d, "clean_records"), table(spark, d, "search_results"), table(spark, d, "permit_records"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_links(spark, d).select("clean_id", "other_table", "other_id")
+
+
 RAW_FIELDS = {"land": "land", "name": "name", "date": "date"}
 
 
@@ -49,5 +58,5 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_chars(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_shares, p7_found, p8_ids, p9_found, p9_cleaned, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p2_found, p2_shares, p7_found, p8_ids, p9_found, p9_cleaned, p10_found)}
 SQL: dict[str, str] = {}
