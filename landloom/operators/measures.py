@@ -47,17 +47,23 @@ def best_payload(df: DataFrame, key: str, size: Column, seq: str, columns: list[
     return df.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(size, -F.col(seq))).alias("r")).select(key, "r.*")
 
 
-def departures(df: DataFrame, keys: list[str], pos: list[str], day: str) -> DataFrame:
-    """Per key: dated rows, rows later than the dated one before them, the largest such step in days, and whether the list descends."""
-    w = Window.partitionBy(*keys).orderBy(*pos)
-    d = df.where(F.col(day).isNotNull()).withColumn("_p", F.lag(day).over(w))
+def departures(df: DataFrame, keys: list[str], pos: str, tie: str, day: str, block: int = 50_000) -> DataFrame:
+    """Per key: dated rows, rows later than the dated one before them, the largest such step in days, and whether the list descends.
+
+    A key's list may be long, so it is walked in blocks of ``block`` positions; blocks meet through their first and
+    last days, one row a block.
+    """
+    d = df.where(F.col(day).isNotNull()).withColumn("_b", F.floor(F.col(pos) / F.lit(block)))
+    w = Window.partitionBy(*keys, "_b").orderBy(pos, tie)
+    d = d.withColumn("_p", F.lag(day).over(w))
     up = F.col(day) > F.col("_p")
-    return d.groupBy(*keys).agg(
-        F.count("*").alias("dated"),
-        F.count_if(up).alias("departures"),
-        F.coalesce(F.max(F.when(up, F.datediff(day, "_p"))), F.lit(0)).alias("max_days"),
-        ((F.count_if(up) == 0) & (F.count("*") >= 2)).alias("descends"),
-    )
+    at = F.struct(pos, tie)
+    per = d.groupBy(*keys, "_b").agg(F.count("*").alias("n"), F.count_if(up).alias("u"), F.max(F.when(up, F.datediff(day, "_p"))).alias("m"), F.min_by(day, at).alias("first"), F.max_by(day, at).alias("last"))
+    before = F.lag("last").over(Window.partitionBy(*keys).orderBy("_b"))
+    per = per.withColumn("_l", before).withColumn("_x", F.col("first") > F.col("_l"))
+    total = F.sum("u") + F.count_if("_x")
+    step = F.greatest(F.col("m"), F.when(F.col("_x"), F.datediff("first", "_l")))
+    return per.groupBy(*keys).agg(F.sum("n").alias("dated"), total.alias("departures"), F.coalesce(F.max(step), F.lit(0)).alias("max_days"), ((total == 0) & (F.sum("n") >= 2)).alias("descends"))
 
 
 def longest_gap(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
