@@ -105,7 +105,7 @@ def solve_block(pdf: pd.DataFrame) -> pd.DataFrame:
 def chain_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
     """The reading chosen at both ends of every block of one source."""
     pdf = pdf.sort_values("block")
-    heads, tails, mats = [list(c) for c in pdf.cands], [list(c) for c in pdf.tail], [list(c) for c in pdf.costs]
+    heads, tails, mats = [list(c) for c in pdf.cands], [list(c) for c in pdf["tail"]], [list(c) for c in pdf.costs]
     cost, back = None, []
     for i, (h, t, m) in enumerate(zip(heads, tails, mats)):
         enter = [(0.0, None)] * len(h) if cost is None else [min((cost[k] + step_cost(x, y), k) for k, x in enumerate(tails[i - 1])) for y in h]
