@@ -23,7 +23,7 @@ def _ymd(c: Column, pattern: str) -> tuple[Column, Column, Column]:
 
 
 def iso_text(y: Column, m: Column, d: Column) -> Column:
-    return F.format_string("%04d-%02d-%02d", y, m, d)
+    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.format_string("%04d-%02d-%02d", y, m, d))
 
 
 def to_iso(c: Column) -> Column:

@@ -113,11 +113,11 @@ def one_to_one(scored: DataFrame, left: str, right: str, score: str, max_rounds:
     for _ in range(max_rounds):
         bl = rest.groupBy(left).agg(F.max(order).alias("_o"))
         br = rest.groupBy(right).agg(F.max(order).alias("_o"))
-        best = materialize(rest.withColumn("_o", order).join(bl, [left, "_o"], "left_semi").join(br, [right, "_o"], "left_semi").drop("_o"), "best")
+        best = materialize(rest.withColumn("_o", order).join(bl, [left, "_o"], "left_semi").join(br, [right, "_o"], "left_semi").select(left, right, score), "best")
         if best.isEmpty():
             break
         taken = best if taken is None else taken.unionByName(best)
-        new = materialize(rest.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "pairs")
+        new = materialize(rest.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti").select(left, right, score), "pairs")
         discard(rest)
         rest = new
     return taken if taken is not None else rest
