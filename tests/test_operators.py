@@ -138,3 +138,14 @@ def test_cleanse(spark):
     assert {"date not read", "no section", "no parcels"} <= set(out[3].review_flags) and out[3].land_count is None
     assert out[4].parcels == ["7", "8"] and out[4].name == "擬訂案" and "land recovered from name" in out[4].auto_fixes
     assert out[5].named_anchor == "某某國宅"
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_hot_join_equals_join(spark, how):
+    from landloom.operators.skew import hot_join
+
+    left = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 5), (3, 6), (None, 7)], "k int, v int")
+    right = spark.createDataFrame([(1, 50, "x"), (2, 1, "y"), (9, 1, "z")], "k int, n int, w string")
+    got = rows(hot_join(left, right, ["k"], "n", 53, how, least=10))
+    want = left.join(right.drop("n"), ["k"], how)
+    assert got == rows(want.select("k", "v", "w") if how == "inner" else want)
