@@ -5,9 +5,8 @@ repeated until nothing changes, every node hangs on its component's least node.
 map-side combine and one join; the edges never leave the cluster, and each round is written to the shared folder, so
 a lost executor costs at most one round.
 
-Nodes with a large share of the edges would make their join partition hot. There can be at most ``2 * E / t`` nodes
-of degree ``t``; with ``t = E / 500`` (and no less than ``hot_degree``) at most 1,000 are taken aside, and only
-their rows are broadcast, so their edges are joined where they lie.
+Nodes with a large share of the edges would make their join partition hot; fewer than 500 can have more than one
+edge in 500, and only their rows are broadcast, so their edges are joined where they lie (``skew.hot_join``).
 
 Defined cases: null and blank nodes link nothing; self-links and repeated or mirrored pairs add nothing; a node
 without links to others is in no group; no edges give no rows; nodes are compared by code point.
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import nfkc, no_space
+from ..operators.skew import hot_join
 from ..runtime import discard, materialize
 
 
@@ -30,12 +30,7 @@ def core_form(c: Column) -> Column:
 def _with_least(sym: DataFrame, count: int, hot_degree: int) -> DataFrame:
     """(u, v, m): each directed edge with the least of u and its neighbours."""
     stat = sym.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("deg"))
-    top = max(hot_degree, count // 500)
-    hot = F.broadcast(stat.where(F.col("deg") > top).select("u", F.col("m").alias("hm")))
-    tagged = sym.join(hot, "u", "left")
-    done = tagged.where(F.col("hm").isNotNull()).select("u", "v", F.col("hm").alias("m"))
-    rest = tagged.where(F.col("hm").isNull()).select("u", "v").join(stat.where(F.col("deg") <= top).select("u", "m"), "u")
-    return done.unionByName(rest)
+    return hot_join(sym, stat, ["u"], "deg", count, least=hot_degree)
 
 
 def _directed(e: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..runtime import materialize
 from .tokens import slices
 
@@ -237,16 +238,18 @@ def shared_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """(``key``, spans array<struct<start, end>>): the merged shared spans of each document that has one; ends are exclusive."""
     docs = docs.where(F.length(text) >= length).select(F.col(key).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
     found = materialize(suffix_places(docs, length, prefix), "places")
-    two = found.groupBy("k").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2")).where("d1 < d2").select("k")
-    kept = materialize(found.join(two, "k", "left_semi"), "kept")
+    two = found.groupBy("k").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.count("*").alias("n")).where("d1 < d2").select("k", "n")
+    # A boilerplate prefix may lie at a large share of the places.
+    kept = materialize(hot_join(found, materialize(two, "prefixes"), ["k"], "n", found.count(), "left_semi"), "kept")
     stretch = ["k", "c1", "c2"]
-    distinct = kept.groupBy(*stretch).agg((F.min("doc") < F.max("doc")).alias("many"), F.min_by(F.struct("doc", "lo", "hi"), F.struct("doc", "lo")).alias("r"))
+    distinct = kept.groupBy(*stretch).agg((F.min("doc") < F.max("doc")).alias("many"), F.count("*").alias("copies"), F.min_by(F.struct("doc", "lo", "hi"), F.struct("doc", "lo")).alias("r"))
     size = distinct.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     distinct = materialize(distinct, "stretches")
     wanted = distinct.join(size, "k").select("r.doc", *stretch, "many", (F.col("n") > subtree).alias("big"), "r.lo", "r.hi")
     cut = materialize(_cut(docs, wanted, length), "cut")
     windows = _subtrees(cut.where(~F.col("big")), length).unionByName(_full_depth(cut.where("big"), length))
-    as_whole = kept.join(distinct.where("many").select(*stretch), stretch, "left_semi").select("doc", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
+    many = distinct.where("many").select(*stretch, "copies")
+    as_whole = hot_join(kept, many, stretch, "copies", kept.count(), "left_semi").select("doc", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     in_part = kept.join(windows, stretch).select("doc", (F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b") + length).alias("e"))
     spans = as_whole.unionByName(in_part).groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("x"))  # bounded by the text's length
     empty = F.array().cast("array<struct<start:int,end:int>>")
