@@ -47,9 +47,9 @@ def real_day(iso: Column) -> Column:
 
 def roc_compact(c: Column) -> Column:
     """``YYYMMDD`` or ``YYMMDD`` with full-width digits folded; ROC years 50 to 200 and real days only."""
-    y, m, d = _ymd(fold_width(F.trim(c)), r"^(\d{2,3})(\d{2})(\d{2})$")
-    iso = iso_text(y + ROC_OFFSET, m, d)
-    return F.when(y.between(50, 200) & real_day(iso).isNotNull(), iso)
+    t = fold_width(F.trim(c))
+    iso = F.concat_ws("-", F.substring(t, F.lit(1), F.length(t) - 4).try_cast("int") + ROC_OFFSET, F.substring(t, -4, 2), F.substring(t, -2, 2))
+    return F.when(t.rlike(r"^(?:0?[5-9][0-9]|1[0-9][0-9]|200)[0-9]{4}$") & F.try_to_date(iso, "yyyy-MM-dd").isNotNull(), iso)
 
 
 def padded(c: Column) -> Column:

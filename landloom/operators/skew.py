@@ -24,4 +24,5 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], count: str, tot
     tagged = left.join(F.broadcast(hot), keys, "left")
     done = tagged.where("_hot").select(*cols)
     cold = tagged.where("_hot is null").select(*left.columns)
-    return done.unionByName(cold.join(rest, keys, how).select(*cols))
+    # Sorted on both sides at every size, so the plan does not change with the data.
+    return done.unionByName(cold.join(rest.hint("merge"), keys, how).select(*cols))
