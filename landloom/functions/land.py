@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import no_space
+from .text import fold_width, no_space
 
 #: Fixed values of the register.
 NUMERALS = "一二三四五六七八九"
@@ -169,3 +169,37 @@ def stable_flags(flags: Column) -> Column:
 def kept_fields(m: Column) -> Column:
     """A map without empty values."""
     return F.map_filter(m, lambda k, v: v.isNotNull() & (F.trim(v) != ""))
+
+
+def strip_footer(land: Column, page: Column) -> Column:
+    """A cell without the page number that ran into its end: the digits after the closing word, if they are the page's number."""
+    tail = F.regexp_extract(land, r"(?:地號|土地|筆)\s*([0-9]+)$", 1)
+    return F.when(tail == page.cast("string"), F.regexp_replace(land, r"\s*[0-9]+$", "")).otherwise(land)
+
+
+def zone_marker(name: Column) -> Column:
+    """Whether a name speaks of a lettered or numbered zone (A區, 甲區段, 第一期) rather than a named place."""
+    return name.rlike(r"[A-Z甲乙丙丁](?:區段?|基地)(?!公所)|第[一二三四五六七八九]期")
+
+
+def parse_core(core: Column) -> Column:
+    """struct(district, section, parcel, count) of a land core."""
+    return F.struct(
+        _group(core, r"^(..區)", 1).alias("district"),
+        _group(core, r"(?:區|^)([^0-9區]*段(?:[^0-9]*小段)?)[0-9]", 1).alias("section"),
+        _group(core, r"([0-9]+(?:-[0-9]+)?)地號", 1).alias("parcel"),
+        _group(core, r"等([0-9]+)筆", 1).try_cast("int").alias("count"),
+    )
+
+
+def core_similarity(a: Column, b: Column) -> Column:
+    """Similarity of two parsed cores: 0 across districts or sections, else .35 + .2 + .3 for the parcel and .1 for the count."""
+    same = lambda f: F.coalesce(a[f] == b[f], F.lit(False))
+    return F.when(~(same("district") & same("section")), 0.0).otherwise(F.lit(0.35) + F.when(same("parcel"), 0.5).otherwise(0.0) + F.when(same("count"), 0.1).otherwise(0.0))
+
+
+def land_number(c: Column) -> Column:
+    """struct(section, main, sub) of a permit's land text; numbers without leading zeros, full width folded."""
+    t = no_space(fold_width(c))
+    number = lambda i: _group(t, r"段(?:[^0-9]*小段)?0*([0-9]+)(?:-0*([0-9]+))?(?:地號)?$", i)
+    return F.struct(_group(t, r"^(.*段(?:[^0-9]*小段)?)", 1).alias("section"), number(1).alias("main"), number(2).alias("sub"))

@@ -149,3 +149,23 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 def rank_in(keys: list[str], order: list[Column]) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+
+
+def coalesce_merge(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer merge: the first side's value wins, the second fills in; arrays are united in order."""
+    kinds = dict(first.dtypes)
+    rest = [c for c in first.columns if c not in keys]
+    j = first.join(second.select(*keys, *[F.col(c).alias(f"_{c}") for c in rest]), keys, "full_outer")
+    empty = lambda c: F.array().cast(kinds[c])
+    pick = lambda c: F.array_union(F.coalesce(c, empty(c)), F.coalesce(f"_{c}", empty(c))) if kinds[c].startswith("array") else F.coalesce(c, f"_{c}")
+    return j.select(*keys, *[pick(c).alias(c) for c in rest])
+
+
+def member_changes(old: DataFrame, new: DataFrame, pairs: DataFrame, old_id: str, new_id: str, member: str) -> DataFrame:
+    """(old, new, added, lost, change) of each matched pair of groups: grew, shrank, both or same."""
+    side = lambda df, k, n: pairs.join(df, k).select(old_id, new_id, F.col(member).alias("m"), F.lit(n).alias("side")).distinct()
+    both = side(old, old_id, 1).unionByName(side(new, new_id, 2))
+    each = both.groupBy(old_id, new_id, "m").agg(F.sum("side").alias("s"))
+    g = each.groupBy(old_id, new_id).agg(F.count_if(F.col("s") == 2).alias("added"), F.count_if(F.col("s") == 1).alias("lost"))
+    change = F.when((F.col("added") > 0) & (F.col("lost") > 0), "both").when(F.col("added") > 0, "grew").when(F.col("lost") > 0, "shrank").otherwise("same")
+    return g.withColumn("change", change)

@@ -75,3 +75,29 @@ def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
 def stream_files(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema)
     return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(path)
+
+
+def refresh(held: DataFrame, fetched: DataFrame, keys: list[str], value: str, keep: list[str], label: str) -> DataFrame:
+    """Held values after a fetch: (keys, value, status).
+
+    A key of which nothing was fetched stays as it is; fetched values replace; a value no longer fetched is removed,
+    but for the labels in ``keep``, which stay and are marked withdrawn. ``keys`` begin with the fetched unit.
+    """
+    unit = keys[0]
+    j = held.join(fetched.select(*keys, F.col(value).alias("_new")), keys, "full_outer").join(fetched.select(unit).distinct().withColumn("_asked", F.lit(True)), unit, "left")
+    status = (
+        F.when(F.col("_asked").isNull(), "kept")
+        .when(F.col("_new").isNotNull() & F.col(value).isNull(), "added")
+        .when(F.col("_new").isNotNull() & (F.col("_new") == F.col(value)), "same")
+        .when(F.col("_new").isNotNull(), "changed")
+        .when(F.col(label).isin(keep), "withdrawn")
+        .otherwise("removed")
+    )
+    out = j.withColumn("status", status).withColumn(value, F.coalesce("_new", value))
+    return out.where("status != 'removed'").select(*keys, value, "status")
+
+
+def due(work: DataFrame, log: DataFrame, key: str, ts: str, now, cooldown: str) -> DataFrame:
+    """Work that was never tried or whose last try is older than the cooldown."""
+    recent = log.groupBy(key).agg(F.max(ts).alias("_t")).where(F.col("_t") > F.lit(now).cast("timestamp") - F.expr(f"interval {cooldown}"))
+    return work.join(recent.select(key), key, "left_anti")
