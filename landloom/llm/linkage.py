@@ -113,8 +113,11 @@ def main_number(parcel: Column) -> Column:
 
 
 def approvals(clean: DataFrame) -> DataFrame:
-    """One row per clean row: unit, section, parcel, count, stage, track, district and day."""
-    h = clean.select("clean_id", "recno", heading_of("name").alias("h"), heading_of("land").alias("l"), section_of("section").alias("s"), "first_parcel", "district", "stage_index", day_of("iso_date").alias("day"))
+    """One row per clean row: unit, section, parcel, count, stage, track, district, day and the parcels it lists."""
+    h = clean.select("clean_id", "recno", heading_of("name").alias("h"), heading_of("land").alias("l"), section_of("section").alias("s"), "first_parcel", "district", "stage_index", day_of("iso_date").alias("day"), nfkc("land").alias("_l"), nfkc("parcels").alias("_p"))
+    none = F.array().cast("array<string>")
+    items = F.array_union(F.coalesce(land_items(F.col("_l")), none), F.coalesce(split_items(F.col("_p")), none))
+    listed = F.array_distinct(F.filter(F.transform(items, lambda v: F.regexp_extract(v, r"^([0-9]+(?:-[0-9]+)?)", 1)), lambda v: v != ""))
     sec = F.coalesce("h.sec", "s", "l.sec")
     first = F.coalesce("h.parcel", F.nullif("first_parcel", F.lit("")), "l.parcel")
     rows = h.select(
@@ -127,21 +130,18 @@ def approvals(clean: DataFrame) -> DataFrame:
         "h.track",
         F.coalesce("h.dist", "l.dist", F.nullif("district", F.lit(""))).alias("said"),
         "day",
+        listed.alias("listed"),
     ).where("sec is not null and first is not null")
     # Districts have sections of the same name; a row without a district takes that of the only unit it can mean.
     only = rows.groupBy("sec", "first").agg(F.max("said").alias("a"), F.min("said").alias("b")).where("a = b").select("sec", "first", F.col("a").alias("only"))
     rows = rows.join(only, ["sec", "first"], "left").withColumn("dist", F.coalesce("said", "only"))
-    return rows.select("clean_id", "recno", "sec", "first", "cnt", "stage", "track", "dist", "day", F.concat_ws("|", F.coalesce("dist", F.lit("")), "sec", "first").alias("unit"))
+    return rows.select("clean_id", "recno", "sec", "first", "cnt", "stage", "track", "dist", "day", "listed", F.concat_ws("|", F.coalesce("dist", F.lit("")), "sec", "first").alias("unit"))
 
 
-def unit_parcels(clean: DataFrame, rows: DataFrame) -> DataFrame:
+def unit_parcels(rows: DataFrame) -> DataFrame:
     """(unit, sec, parcel, main): the parcels listed by any row of a unit."""
-    text = clean.select("clean_id", nfkc("land").alias("land"), nfkc("parcels").alias("parcels"))
-    items = text.select("clean_id", F.explode(F.array_union(F.coalesce(land_items(F.col("land")), F.array().cast("array<string>")), F.coalesce(split_items(F.col("parcels")), F.array().cast("array<string>")))).alias("v"))
-    parcel = F.nullif(F.regexp_extract("v", r"^([0-9]+(?:-[0-9]+)?)", 1), F.lit(""))
-    listed = items.select("clean_id", parcel.alias("parcel")).where("parcel is not null").join(rows.select("clean_id", "unit", "sec"), "clean_id").select("unit", "sec", "parcel")
-    own = rows.select("unit", "sec", F.col("first").alias("parcel"))
-    return listed.unionByName(own).distinct().withColumn("main", main_number(F.col("parcel")))
+    listed = rows.select("unit", "sec", F.explode(F.array_union("listed", F.array("first"))).alias("parcel"))
+    return listed.distinct().withColumn("main", main_number(F.col("parcel")))
 
 
 def level(known: Column, *levels: Column) -> Column:
@@ -207,19 +207,17 @@ def case_pairs(rows: DataFrame, parcels: DataFrame, search: DataFrame) -> DataFr
         "search_id", F.coalesce("c.sec", "h.sec").alias("c_sec"), F.coalesce("h.sec", "c.sec").alias("h_sec"), F.col("c.parcel").alias("c_parcel"), F.col("h.parcel").alias("h_parcel"),
         F.col("h.cnt").alias("s_cnt"), F.col("h.stage").alias("s_stage"), F.col("h.track").alias("s_track"), F.coalesce("c.dist", "h.dist").alias("s_dist"), "s_day", "filed",
     )
-    unit = parcels.select("unit", F.col("sec").alias("p_sec"), F.col("main").alias("p_main")).distinct()
+    unit = parcels.select("unit", F.col("sec").alias("p_sec"), F.col("main").alias("p_main"), "parcel")
     # Pass 1: section and searched number. Pass 2: section and number of the heading.
-    keys = s.select("search_id", F.explode(F.array(F.struct(F.col("c_sec").alias("p_sec"), main_number(F.col("c_parcel")).alias("p_main")), F.struct(F.col("h_sec").alias("p_sec"), main_number(F.col("h_parcel")).alias("p_main")))).alias("k")).select("search_id", "k.*")
-    blocks = keys.where("p_sec is not null and p_main is not null").join(unit, ["p_sec", "p_main"]).select("search_id", "unit").distinct()
+    key = lambda sec, parcel, first: F.struct(F.col(sec).alias("p_sec"), main_number(F.col(parcel)).alias("p_main"), F.col(parcel).alias("k_parcel"), F.lit(first).alias("searched"))
+    keys = s.select("search_id", F.explode(F.array(key("c_sec", "c_parcel", True), key("h_sec", "h_parcel", False))).alias("k")).select("search_id", "k.*")
+    met = keys.where("p_sec is not null and p_main is not null").join(unit, ["p_sec", "p_main"])
+    blocks = met.groupBy("search_id", "unit").agg(F.bool_or("searched").alias("has_main"), F.bool_or(F.col("searched") & (F.col("parcel") == F.col("k_parcel"))).alias("has"))
     # One candidate per printed approval of a unit.
     cand = rows.groupBy("unit", "recno").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("first", "cnt", "stage", "track", "dist", "day")])
     stages = Window.partitionBy("unit").orderBy("stage")
     cand = cand.withColumns({"after": F.max("day").over(stages.rowsBetween(Window.unboundedPreceding, -1)), "before": F.min("day").over(stages.rowsBetween(1, Window.unboundedFollowing))})
     p = s.join(blocks, "search_id").join(cand, "unit")
-    full = parcels.select("unit", F.col("parcel").alias("c_parcel"), F.lit(True).alias("has"))
-    p = p.join(full.distinct(), ["unit", "c_parcel"], "left")
-    mains = parcels.select("unit", F.col("main").alias("c_main"), F.lit(True).alias("has_main")).distinct()
-    p = p.withColumn("c_main", main_number(F.col("c_parcel"))).join(mains, ["unit", "c_main"], "left")
     gap = F.abs(F.datediff(F.to_date("s_day"), F.to_date("day")))
     return p.select(
         "search_id", "unit", "recno", "day", "s_day", "filed",
@@ -290,8 +288,9 @@ def issued(permits: DataFrame) -> DataFrame:
 
 def link_records(clean: DataFrame, search: DataFrame, permits: DataFrame) -> DataFrame:
     """(clean_id, other_table, other_id, confidence) of every pair that belongs together."""
-    rows = materialize(approvals(clean), "approvals")
-    parcels = materialize(unit_parcels(clean, rows), "parcels")
+    listed = materialize(approvals(clean), "approvals")
+    parcels = materialize(unit_parcels(listed), "parcels")
+    rows = listed.drop("listed")
     cases = materialize(case_links(rows, parcels, search), "cases")
     of_cases = cases.join(rows.select("clean_id", "unit", "recno"), ["unit", "recno"]).select("clean_id", F.lit("search_results").alias("other_table"), F.col("search_id").alias("other_id"), "confidence")
     # The day of an approval: its own, a copy's, its case's.
