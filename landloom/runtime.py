@@ -60,7 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only where that is unset (tests, one machine) a temporary folder takes its place.
     """
     sc = spark.sparkContext
-    known = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not known:
         known = "file://" + tempfile.mkdtemp(prefix="landloom-")
         sc.setCheckpointDir(known)
@@ -76,16 +76,30 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"landloom-{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._landloom_path = path
     return out
 
 
+_written: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a table made by ``materialize`` that nothing reads any more."""
     path = getattr(df, "_landloom_path", None)
     if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
+        if path in _written:
+            _written.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table of this driver that is left; results made from them can't be computed again."""
+    while _written:
+        _delete(spark, _written.pop())
