@@ -24,7 +24,7 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP} SELECT substr(day, 1, 4) AS year, count(*) FILTER (stage_index = 0) AS n_new, count(*) FILTER (stage_index > 0) AS n_changed FROM ap WHERE day IS NOT NULL GROUP BY year")
 def approvals_by_year(spark: SparkSession, d: str) -> DataFrame:
     """A07."""
-    a = approvals(spark, d).where("day is not null")
+    a = approvals(spark, d, "day", "stage_index").where("day is not null")
     return a.groupBy(F.substring("day", 1, 4).alias("year")).agg(F.count_if(F.col("stage_index") == 0).alias("n_new"), F.count_if(F.col("stage_index") > 0).alias("n_changed"))
 
 
@@ -64,7 +64,7 @@ def kpi_by_nation_rollup(spark: SparkSession, d: str) -> DataFrame:
 def pipeline_pivot(spark: SparkSession, d: str) -> DataFrame:
     """Stages by track, empty combinations with zeros."""
     dims = spark.createDataFrame([(s, t) for s in range(6) for t in ("事業概要", "事業計畫", "權利變換計畫", "事業計畫及權利變換計畫")], "stage_index bigint, track string")
-    return measures.zero_filled(approvals(spark, d), dims, ["stage_index", "track"], {"n": F.count("*"), "undated": F.count_if(F.col("day").isNull())})
+    return measures.zero_filled(approvals(spark, d, "stage_index", "track", "day"), dims, ["stage_index", "track"], {"n": F.count("*"), "undated": F.count_if(F.col("day").isNull())})
 
 
 @query(
@@ -103,7 +103,7 @@ def top_twelve(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP} SELECT district, count(*) AS n, sum(\"count\")::BIGINT AS parcels FROM ap GROUP BY district")
 def district_bars(spark: SparkSession, d: str) -> DataFrame:
     """O05."""
-    return approvals(spark, d).groupBy("district").agg(F.count("*").alias("n"), F.sum("count").alias("parcels")).orderBy(F.desc("parcels"), "district")
+    return approvals(spark, d, "district", "count").groupBy("district").agg(F.count("*").alias("n"), F.sum("count").alias("parcels")).orderBy(F.desc("parcels"), "district")
 
 
 @query("SELECT project_id, anchor_recno FROM projects ORDER BY anchor_recno NULLS LAST, project_id OFFSET 40 LIMIT 86")
@@ -115,7 +115,7 @@ def list_window(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP}, r AS (SELECT section, recno, row_number() OVER (PARTITION BY section ORDER BY recno) AS k, count(*) OVER (PARTITION BY section) AS n FROM ap) SELECT section, string_agg(recno::VARCHAR, ',' ORDER BY recno) AS shown, greatest(max(n) - 10, 0) AS more FROM r WHERE k <= 10 GROUP BY section")
 def previews(spark: SparkSession, d: str) -> DataFrame:
     """The first ten of each section and how many more; the smallest are kept while aggregating, not ranked in one task."""
-    a = approvals(spark, d).withColumn("p", F.pmod(F.xxhash64("recno"), F.lit(32)))
+    a = approvals(spark, d, "recno", "section").withColumn("p", F.pmod(F.xxhash64("recno"), F.lit(32)))
     few = lambda c: F.slice(F.array_sort(c), 1, 10)
     part = a.groupBy("section", "p").agg(few(F.collect_list("recno")).alias("x"), F.count("*").alias("n"))
     g = part.groupBy("section").agg(few(F.flatten(F.collect_list("x"))).alias("x"), F.sum("n").alias("n"))
@@ -125,7 +125,7 @@ def previews(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP} SELECT 'district' AS facet, district AS value, count(*) AS n FROM ap GROUP BY ALL UNION ALL SELECT 'year', substr(day, 1, 4), count(*) FROM ap WHERE day IS NOT NULL GROUP BY ALL UNION ALL SELECT 'track', track, count(*) FROM ap GROUP BY ALL")
 def facet_options(spark: SparkSession, d: str) -> DataFrame:
     """One pass for all facets."""
-    a = approvals(spark, d)
+    a = approvals(spark, d, "district", "day", "track")
     f = lambda n, c: F.struct(F.lit(n).alias("facet"), c.alias("value"))
     e = a.select(F.explode(F.array(f("district", F.col("district")), f("year", F.substring("day", 1, 4)), f("track", F.col("track")))).alias("f"))
     return e.where("f.value is not null").groupBy("f.facet", "f.value").agg(F.count("*").alias("n"))
@@ -135,7 +135,7 @@ def facet_options(spark: SparkSession, d: str) -> DataFrame:
 def facet_search(spark: SparkSession, d: str) -> DataFrame:
     """AND across facets, OR within, text search over the joined fields."""
     hay = F.concat_ws("|", "name", "section", "implementer")
-    return approvals(spark, d).where(F.col("district").isin("大安區", "中山區") & F.substring("day", 1, 4).isin("2015", "2016", "2017") & F.col("track").contains("權利變換") & hay.contains("建設")).select("recno")
+    return approvals(spark, d, "recno", "district", "day", "track", "name", "section", "implementer").where(F.col("district").isin("大安區", "中山區") & F.substring("day", 1, 4).isin("2015", "2016", "2017") & F.col("track").contains("權利變換") & hay.contains("建設")).select("recno")
 
 
 @query(
@@ -179,7 +179,7 @@ def case_coverage(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP} SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS n, count(*) FILTER (day IS NULL) AS undated, count(*) FILTER (orig > 0 AND \"count\" > 0 AND orig <> \"count\") AS disagree, floor(count(*) FILTER (stage_index > 0) * 1000.0 / count(*) + 0.5) / 10 AS repeat_pct FROM ap")
 def corpus_measurements(spark: SparkSession, d: str) -> DataFrame:
     """A17."""
-    a = approvals(spark, d)
+    a = approvals(spark, d, "day", "orig", "count", "stage_index")
     return a.agg(
         F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("n"), F.count_if(F.col("day").isNull()).alias("undated"),
         F.count_if((F.col("orig") > 0) & (F.col("count") > 0) & (F.col("orig") != F.col("count"))).alias("disagree"), half_up(F.count_if(F.col("stage_index") > 0) * 100.0 / F.count("*"), 1).alias("repeat_pct"),

@@ -31,14 +31,14 @@ TIERS = (
 @query(f"{TIERS} SELECT * FROM e UNION ALL SELECT * FROM n")
 def date_match_tiered(spark: SparkSession, d: str) -> DataFrame:
     """The only approval of the section on the case's day, else within a day."""
-    a = approvals(spark, d).where("day is not null and section != ''").select("recno", "section", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
+    a = approvals(spark, d, "recno", "section", "day").where("day is not null and section != ''").select("recno", "section", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
     return match.by_date(_search(spark, d).where("section is not null"), a, ["section"], "search_id", "recno", "day", "a_day")
 
 
 @query(f"WITH {AP}, a AS (SELECT recno, section, first, try_cast(day AS DATE) AS day FROM ap WHERE section <> ''), {SEARCH} SELECT search_id, recno, abs(a.day - se.day)::INTEGER AS drift FROM se JOIN a ON a.section = se.section AND contains(se.land_core, a.section || a.first || '地號') WHERE a.first <> '' AND abs(a.day - se.day) <= 10")
 def drift_range_join(spark: SparkSession, d: str) -> DataFrame:
     """Case and approval of one land within ten days."""
-    a = approvals(spark, d).where("section != '' and first != '' and day is not null").select("recno", "section", "first", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
+    a = approvals(spark, d, "recno", "section", "first", "day").where("section != '' and first != '' and day is not null").select("recno", "section", "first", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
     j = match.drift_join(_search(spark, d).where("section is not null"), a, ["section"], "day", "a_day", 10)
     hit = j.where(F.contains("land_core", F.concat("section", "first", F.lit("地號"))))
     return hit.select("search_id", "recno", F.abs(F.datediff("a_day", "day")).alias("drift"))
@@ -65,7 +65,7 @@ def name_tier_cascade(spark: SparkSession, d: str) -> DataFrame:
     key = lambda c: F.regexp_replace(c, r"\s+", "")
     loose = lambda c: F.regexp_replace(key(c), "^(.*?)(臺北市|台北市)", "$1")
     x = table(spark, d, "search_results").where("case_name is not null").select("search_id", key("case_name").alias("n1"), loose("case_name").alias("n2"))
-    y = approvals(spark, d).where("name is not null").select("recno", key("name").alias("n1"), loose("name").alias("n2"))
+    y = approvals(spark, d, "recno", "name").where("name is not null").select("recno", key("name").alias("n1"), loose("name").alias("n2"))
     t = [x.join(y, n).select("search_id", "recno").distinct() for n in ("n1", "n2")]
     return match.first_tier(t, ["search_id"]).select("search_id", "recno", "tier")
 
@@ -85,7 +85,7 @@ TOK = """pt AS (SELECT project_id, section, unnest(member_recnos)::BIGINT AS rec
 
 def _overlap(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "projects").select("project_id", F.explode(F.col("member_recnos").cast("array<bigint>")).alias("recno"))
-    left = m.join(approvals(spark, d).where("section != ''").select("recno", "section", F.explode("parcels").alias("p")), "recno").select("project_id", "section", F.regexp_extract("p", "^([0-9]+)", 1).alias("main"))
+    left = m.join(approvals(spark, d, "recno", "section", "parcels").where("section != ''").select("recno", "section", F.explode("parcels").alias("p")), "recno").select("project_id", "section", F.regexp_extract("p", "^([0-9]+)", 1).alias("main"))
     right = table(spark, d, "permit_records").where("is_jianzi").select("permit_id", F.explode("parcels").alias("x")).select("permit_id", F.col("x.section").alias("section"), F.col("x.mono").alias("main"))
     return match.best_overlap(left, right, "project_id", "permit_id", ["section", "main"])
 
@@ -150,7 +150,7 @@ def unit_aliases(spark: SparkSession, d: str) -> DataFrame:
 def release_families_matched(spark: SparkSession, d: str) -> DataFrame:
     """Projects and register families paired one to one, strongest overlap first (greedy, so no SQL)."""
     m = table(spark, d, "projects").select(F.col("anchor_recno").cast("bigint").alias("project"), F.explode(F.col("member_recnos").cast("array<bigint>")).alias("recno"))
-    fams = approvals(spark, d).where("section != '' and first != ''")
+    fams = approvals(spark, d, "recno", "district", "section", "first").where("section != '' and first != ''")
     unit = fams.join(fams.groupBy("district", "section", "first").agg(F.min("recno").alias("family")), ["district", "section", "first"]).select("family", "recno")
     return match.one_to_one(match.votes(m, unit, "project", "family", ["recno"]), "project", "family", "votes")
 
@@ -159,7 +159,7 @@ def release_families_matched(spark: SparkSession, d: str) -> DataFrame:
  j AS (SELECT recno, other, n::DOUBLE / (s - n) AS jaccard FROM n) SELECT recno, other, round(jaccard, 6) AS jaccard FROM (SELECT *, row_number() OVER (PARTITION BY recno ORDER BY jaccard DESC, other) AS r FROM j) WHERE r = 1""")
 def most_similar_earlier(spark: SparkSession, d: str) -> DataFrame:
     """Of each record the earlier-numbered one of its section with the largest parcel overlap."""
-    a = approvals(spark, d).where("section != ''").select("recno", "section", "parcels")
+    a = approvals(spark, d, "recno", "section", "parcels").where("section != ''").select("recno", "section", "parcels")
     t = a.withColumn("p", F.explode("parcels"))
     n = t.alias("x").join(t.select(F.col("recno").alias("other"), "section", F.size("parcels").alias("s2"), "p"), ["section", "p"]).where("recno > other").groupBy("recno", "other").agg(F.count("*").alias("n"), F.first(F.size("parcels") + F.col("s2")).alias("s"))
     j = n.select("recno", "other", (F.col("n") / (F.col("s") - F.col("n"))).alias("jaccard"))
@@ -170,7 +170,7 @@ def most_similar_earlier(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP}, f AS (SELECT district, section, list_sort(list_distinct(flatten(list(parcels)))) AS ps FROM ap WHERE section <> '' AND first <> '' GROUP BY district, section, first) SELECT DISTINCT district || s || p || '地號' AS query FROM f, unnest([section, replace(section, '小段', '')]) a(s), unnest(ps) b(p)")
 def generated_queries(spark: SparkSession, d: str) -> DataFrame:
     """Every spelling of a unit's section with every parcel it ever had."""
-    f = approvals(spark, d).where("section != '' and first != ''").select("district", "section", "first", F.explode("parcels").alias("p")).distinct()
+    f = approvals(spark, d, "district", "section", "first", "parcels").where("section != '' and first != ''").select("district", "section", "first", F.explode("parcels").alias("p")).distinct()
     s = f.select("district", "p", F.explode(F.array("section", F.replace("section", F.lit("小段"), F.lit("")))).alias("s"))
     return s.select(F.concat("district", "s", "p", F.lit("地號")).alias("query")).distinct()
 
@@ -192,7 +192,7 @@ def cleansed_records(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def name_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Gestalt ratio of the names of consecutive approvals of a unit."""
-    a = approvals(spark, d).where("section != '' and first != ''").select("recno", "district", "section", "first", "stage_index", "name")
+    a = approvals(spark, d, "recno", "district", "section", "first", "stage_index", "name").where("section != '' and first != ''").select("recno", "district", "section", "first", "stage_index", "name")
     b = a.select("district", "section", "first", (F.col("stage_index") - 1).alias("stage_index"), F.col("recno").alias("next"), F.col("name").alias("next_name"))
     return a.join(b, ["district", "section", "first", "stage_index"]).select("recno", "next", gestalt_ratio("name", "next_name").alias("ratio"))
 
@@ -200,7 +200,7 @@ def name_similarity(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def repaired_lists(spark: SparkSession, d: str) -> DataFrame:
     """permits' numbers with a single mistyped one put right, and cells completed from their unit."""
-    a = approvals(spark, d).where(F.size("parcels") > 2).select("recno", "district", "section", "first", "count", land.sorted_parcels(F.col("parcels")).alias("p"))
+    a = approvals(spark, d, "recno", "district", "section", "first", "count", "parcels").where(F.size("parcels") > 2).select("recno", "district", "section", "first", "count", land.sorted_parcels(F.col("parcels")).alias("p"))
     full = a.groupBy("district", "section", "first").agg(F.max_by("p", F.size("p")).alias("all"))
     j = a.join(full, ["district", "section", "first"])
     return j.select("recno", F.array_join(repair_order("p"), ",").alias("repaired"), F.array_join(complete_list(F.col("p"), F.col("all"), F.col("count")), ",").alias("completed"))

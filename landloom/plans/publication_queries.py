@@ -186,7 +186,7 @@ def permit_compact_dates(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP}, x AS (SELECT recno, try_cast(day AS DATE) AS dt FROM ap WHERE day IS NOT NULL) SELECT recno, strftime(dt + INTERVAL 10 DAY, '%Y-%m-%d') AS later, strftime(dt - INTERVAL 10 DAY, '%Y-%m-%d') AS earlier FROM x WHERE dt IS NOT NULL")
 def shifted_days(spark: SparkSession, d: str) -> DataFrame:
     """F04a."""
-    a = approvals(spark, d).select("recno", dates.shift(F.col("day"), 10).alias("later"), dates.shift(F.col("day"), -10).alias("earlier"))
+    a = approvals(spark, d, "recno", "day").select("recno", dates.shift(F.col("day"), 10).alias("later"), dates.shift(F.col("day"), -10).alias("earlier"))
     return a.where("later is not null")
 
 
@@ -196,7 +196,7 @@ def shifted_days(spark: SparkSession, d: str) -> DataFrame:
 def stages_and_tracks(spark: SparkSession, d: str) -> DataFrame:
     """F05, F10, F11 on names without full-width digits' folding, which stages and tracks don't need."""
     n = land.normalize_name(F.col("name"))
-    return approvals(spark, d).select("recno", land.stage_index(F.col("name")).cast("int").alias("stage"), land.tracks(n).alias("tracks"))
+    return approvals(spark, d, "recno", "name").select("recno", land.stage_index(F.col("name")).cast("int").alias("stage"), land.tracks(n).alias("tracks"))
 
 
 @query(
@@ -212,14 +212,14 @@ def land_cell_counts(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP}, s AS (SELECT recno, unnest(parcels) AS p FROM ap), o AS (SELECT recno, string_agg(p, ',' ORDER BY regexp_extract(p, '^[0-9]+')::BIGINT, coalesce(try_cast(nullif(regexp_extract(p, '-([0-9]+)$', 1), '') AS BIGINT), -1), p) AS ordered, string_agg(lpad(regexp_extract(p, '^([0-9]+)', 1), 4, '0') || lpad(regexp_extract(p, '-([0-9]+)$', 1), 4, '0'), ',' ORDER BY p) AS keys FROM s GROUP BY recno) SELECT recno, ordered, keys FROM o")
 def parcel_order(spark: SparkSession, d: str) -> DataFrame:
     """Parcels in the order of number and sub-number, and their eight-digit keys."""
-    a = approvals(spark, d).where(F.size("parcels") > 0)
+    a = approvals(spark, d, "recno", "parcels").where(F.size("parcels") > 0)
     return a.select("recno", F.array_join(land.sorted_parcels(F.col("parcels")), ",").alias("ordered"), F.array_join(F.transform("parcels", land.padded_parcel), ",").alias("keys"))
 
 
 @query(f"WITH {AP} SELECT recno, CASE WHEN regexp_matches(name, '(^|[^0-9.\\-])' || first || '($|[^0-9\\-])') THEN 'exact' WHEN regexp_matches(name, '(^|[^0-9.\\-])' || string_split(first, '-')[1] || '($|[^0-9\\-])') THEN 'stem' ELSE 'none' END AS rule FROM ap WHERE first <> ''")
 def parcel_rule(spark: SparkSession, d: str) -> DataFrame:
     """How a name carries its record's first parcel."""
-    return approvals(spark, d).where("first != ''").select("recno", land.carries_parcel(F.col("name"), F.col("first")).alias("rule"))
+    return approvals(spark, d, "recno", "name", "first").where("first != ''").select("recno", land.carries_parcel(F.col("name"), F.col("first")).alias("rule"))
 
 
 @query(r"SELECT project_id, regexp_replace(project_id, '[^\p{L}\p{N}_\-]', '_', 'g') AS safe, regexp_replace(project_id, '-', '', 'g') AS core FROM projects")
@@ -233,7 +233,7 @@ def project_id_forms(spark: SparkSession, d: str) -> DataFrame:
 )
 def stage_islands(spark: SparkSession, d: str) -> DataFrame:
     """Runs of one stage in a section's order of days."""
-    a = approvals(spark, d).where("day is not null")
+    a = approvals(spark, d, "recno", "section", "day", "stage_index").where("day is not null")
     return measures.islands(a, ["section"], ["day", "recno"], "stage_index")
 
 
@@ -242,7 +242,7 @@ def stage_islands(spark: SparkSession, d: str) -> DataFrame:
 )
 def branch_points(spark: SparkSession, d: str) -> DataFrame:
     """The nearest first-stage approval above each row of a section's timeline, else below."""
-    a = approvals(spark, d).where("day is not null")
+    a = approvals(spark, d, "recno", "section", "day", "stage_index").where("day is not null")
     return measures.nearest_marked(a, ["section"], ["day", "recno"], F.col("stage_index") == 0, "recno").select("recno", "nearest")
 
 
@@ -251,7 +251,7 @@ def branch_points(spark: SparkSession, d: str) -> DataFrame:
 )
 def implementer_changes(spark: SparkSession, d: str) -> DataFrame:
     """Records whose implementer differs from the unit's record before."""
-    a = approvals(spark, d).where("day is not null")
+    a = approvals(spark, d, "recno", "section", "first", "day", "implementer").where("day is not null")
     return measures.changes_by_key(a, ["section", "first"], ["day", "recno"], "implementer").select("recno", "implementer")
 
 

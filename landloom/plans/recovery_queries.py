@@ -33,7 +33,7 @@ def recovered_days(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "search_results").where("status = 'resolved' and chk_date rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'").select(
         F.regexp_extract(n, "區(.*?段.小段)", 1).alias("section"), F.regexp_extract(n, "小段([0-9]+(?:-[0-9]+)?)地號", 1).alias("first"), F.nullif(F.regexp_extract(n, "等([0-9]+)筆", 1), F.lit("")).try_cast("bigint").alias("count"), stage.cast("bigint").alias("stage_index"), F.col("chk_date").alias("day")
     )
-    a = approvals(spark, d).where("day is null and section != '' and first != ''").select("recno", "section", "first", "count", "stage_index")
+    a = approvals(spark, d, "recno", "day", "section", "first", "count", "stage_index").where("day is null and section != '' and first != ''").select("recno", "section", "first", "count", "stage_index")
     return match.unique_or_nothing(a.join(s, ["section", "first", "count", "stage_index"]).select("recno", "day"), ["recno"], "day")
 
 

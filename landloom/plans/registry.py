@@ -34,25 +34,29 @@ AP = r"""ap AS (SELECT recno::BIGINT AS recno, CASE WHEN regexp_full_match(iso_d
  FROM (SELECT *, row_number() OVER (PARTITION BY recno ORDER BY clean_id) AS rn FROM clean_records WHERE recno IS NOT NULL) WHERE rn = 1)"""
 
 
-def approvals(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "clean_records").where("recno is not null")
-    c = first_per_key(c.select("recno", "clean_id", "iso_date", "district", "section", "first_parcel", "parcels", "land_count", "orig_count", "named_anchor", "stage_index", "track", "implementer", "name"), ["recno"], [F.col("clean_id")])
+def approvals(spark: SparkSession, d: str, *need: str) -> DataFrame:
+    """The approvals of ``AP``, with the columns ``need`` names or all; only their sources are read and shuffled."""
     text = lambda n: F.coalesce(n, F.lit(""))
-    return c.select(
-        F.col("recno").cast("bigint").alias("recno"),
-        F.when(F.col("iso_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("iso_date")).alias("day"),
-        text("district").alias("district"),
-        text("section").alias("section"),
-        text("first_parcel").alias("first"),
-        F.array_sort(F.array_distinct(F.regexp_extract_all(F.regexp_replace(text("parcels"), r"\([^()]*\)", ""), F.lit(f"({PARCEL})"), F.lit(1)))).alias("parcels"),
-        F.coalesce("land_count", F.lit(0)).cast("bigint").alias("count"),
-        F.coalesce("orig_count", F.lit(0)).cast("bigint").alias("orig"),
-        text("named_anchor").alias("anchor"),
-        F.coalesce("stage_index", F.lit(-1)).cast("bigint").alias("stage_index"),
-        text("track").alias("track"),
-        text("implementer").alias("implementer"),
-        "name",
-    )
+    number = lambda n, other: F.coalesce(n, F.lit(other)).cast("bigint")
+    made = {
+        "recno": ("recno", F.col("recno").cast("bigint")),
+        "day": ("iso_date", F.when(F.col("iso_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("iso_date"))),
+        "district": ("district", text("district")),
+        "section": ("section", text("section")),
+        "first": ("first_parcel", text("first_parcel")),
+        "parcels": ("parcels", F.array_sort(F.array_distinct(F.regexp_extract_all(F.regexp_replace(text("parcels"), r"\([^()]*\)", ""), F.lit(f"({PARCEL})"), F.lit(1))))),
+        "count": ("land_count", number("land_count", 0)),
+        "orig": ("orig_count", number("orig_count", 0)),
+        "anchor": ("named_anchor", text("named_anchor")),
+        "stage_index": ("stage_index", number("stage_index", -1)),
+        "track": ("track", text("track")),
+        "implementer": ("implementer", text("implementer")),
+        "name": ("name", F.col("name")),
+    }
+    made = {n: made[n] for n in (need or made)}
+    c = table(spark, d, "clean_records").where("recno is not null")
+    c = first_per_key(c.select("recno", "clean_id", *[src for src, _ in made.values() if src != "recno"]), ["recno"], [F.col("clean_id")])
+    return c.select(*[e.alias(n) for n, (_, e) in made.items()])
 
 
 #: Releases in order, with the land and day that identify a row.

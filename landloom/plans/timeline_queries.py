@@ -17,7 +17,7 @@ ROWS = f"""{AP}, {PERMITS}, u AS (SELECT DISTINCT section, first FROM ap WHERE s
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    a = approvals(spark, d).where("section != '' and first != ''")
+    a = approvals(spark, d, "recno", "section", "first", "day").where("section != '' and first != ''")
     p = table(spark, d, "permit_records").select("permit_id", F.when(F.col("construction_start").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("construction_start")).alias("day"), F.explode("parcels").alias("x"))
     first = p.where("x.section is not null").groupBy("permit_id", F.col("x.section").alias("section"), "day").agg(F.min("x.mono").alias("first"))
     permit = first.where("day is not null").join(a.select("section", "first").distinct(), ["section", "first"]).select("section", "first", "day", F.lit(0).alias("rank"), F.lit("permit").alias("kind"), F.col("permit_id").alias("id"))
@@ -34,7 +34,7 @@ def timeline(spark: SparkSession, d: str) -> DataFrame:
 def stage_clusters(spark: SparkSession, d: str) -> DataFrame:
     """The day of a stage is that of its first dated member without a name of its own, else the earliest."""
     own = F.col("day").isNotNull() & (F.col("anchor") == "")
-    g = approvals(spark, d).groupBy("section", "first", "stage_index")
+    g = approvals(spark, d, "recno", "section", "first", "stage_index", "day", "anchor").groupBy("section", "first", "stage_index")
     return g.agg(F.coalesce(F.min_by(F.when(own, F.col("day")), F.when(own, F.col("recno"))), F.min("day")).alias("day"), F.count("*").alias("n"))
 
 
@@ -42,7 +42,7 @@ def stage_clusters(spark: SparkSession, d: str) -> DataFrame:
 def undated_chain_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Consecutive undated members of one track, the first of them a first stage."""
     w = Window.partitionBy("section", "first", "track").orderBy("recno")
-    v = approvals(spark, d).where("day is null").select(F.lag("recno").over(w).alias("frm"), F.lag("stage_index").over(w).alias("p"), F.col("recno").alias("to"))
+    v = approvals(spark, d, "recno", "section", "first", "track", "stage_index", "day").where("day is null").select(F.lag("recno").over(w).alias("frm"), F.lag("stage_index").over(w).alias("p"), F.col("recno").alias("to"))
     return v.where("p = 0").select("frm", "to")
 
 
@@ -59,7 +59,7 @@ def permit_slots(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {AP} SELECT recno, coalesce(nullif(anchor, ''), nullif(implementer, ''), nullif(first, '')) AS label FROM ap")
 def first_label(spark: SparkSession, d: str) -> DataFrame:
     """The first non-empty of several labels."""
-    return approvals(spark, d).select("recno", F.coalesce(*[F.nullif(c, F.lit("")) for c in ("anchor", "implementer", "first")]).alias("label"))
+    return approvals(spark, d, "recno", "anchor", "implementer", "first").select("recno", F.coalesce(*[F.nullif(c, F.lit("")) for c in ("anchor", "implementer", "first")]).alias("label"))
 
 
 @query("""SELECT case_name, chk_date, count(DISTINCT regexp_replace(land_core, '\\s+', '', 'g')) AS lands FROM search_results WHERE status = 'resolved' AND chk_date IS NOT NULL AND case_name IS NOT NULL GROUP BY ALL HAVING count(DISTINCT regexp_replace(land_core, '\\s+', '', 'g')) >= 2""")
@@ -78,7 +78,7 @@ def plan_values(spark: SparkSession, d: str) -> DataFrame:
     """A unit's value from its first plan, else its latest; whether its rows disagree."""
     said = F.col("implementer") != ""
     plan = said & (F.col("stage_index") == 0)
-    g = approvals(spark, d).where("section != ''").groupBy("section", "first").agg(
+    g = approvals(spark, d, "recno", "section", "first", "stage_index", "implementer").where("section != ''").groupBy("section", "first").agg(
         F.min_by(F.when(plan, F.col("implementer")), F.when(plan, F.col("recno"))).alias("plan"),
         F.max_by(F.when(said, F.col("implementer")), F.when(said, F.col("recno"))).alias("latest"),
         F.count_distinct(F.when(said, F.col("implementer"))).alias("n"),
@@ -148,5 +148,5 @@ def label_centroids(spark: SparkSession, d: str) -> DataFrame:
 def parcel_drift(spark: SparkSession, d: str) -> DataFrame:
     """How a unit's parcels change from one approval to the next."""
     w = Window.partitionBy("district", "section", "first").orderBy("recno")
-    a = approvals(spark, d).where("section != '' and first != ''").withColumns({"next": F.lead("recno").over(w), "np": F.lead("parcels").over(w)})
+    a = approvals(spark, d, "recno", "district", "section", "first", "parcels").where("section != '' and first != ''").withColumns({"next": F.lead("recno").over(w), "np": F.lead("parcels").over(w)})
     return a.where("next is not null").select("recno", "next", F.round(jaccard(F.col("parcels"), F.col("np")), 6).alias("overlap"))
