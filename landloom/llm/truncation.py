@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.moments import readings
+from ..runtime import materialize
 
 PAIRS = {")": "(", "]": "[", "}": "{", "」": "「", "』": "『", "》": "《", "】": "【"}
 OPENERS = frozenset(PAIRS.values())
@@ -146,7 +147,8 @@ def conditions(df: DataFrame, key: str, source: str, fields: dict[str, str]) ->
 
 def truncated(df: DataFrame, key: str, source: str, fields: dict[str, str], bare_share: float = 0.2) -> DataFrame:
     """The judged values with ``cut``. The baseline has one row per source and field."""
-    judged = conditions(df, key, source, fields)
+    # Judged once: the baseline and the verdict read the same small table.
+    judged = materialize(conditions(df, key, source, fields), "judged")
     clean = F.col("condition").isin("closed", "bare")
     base = judged.groupBy(source, "field").agg((F.count_if(F.col("condition") == "bare") / F.greatest(F.count_if(clean), F.lit(1))).alias("share"))
     base = base.select(F.col(source).alias("_source"), F.col("field").alias("_field"), "share")
