@@ -50,7 +50,7 @@ def kpi_by_nation_rollup(spark: SparkSession, d: str) -> DataFrame:
     return measures.with_total(
         j, "n_name", "全部",
         F.count("*").alias("n"),
-        half_up(F.count_if(F.col("o_orderstatus") == "F") * 100.0 / F.count("*"), 1).alias("done_pct"),
+        half_up(F.count_if(F.col("o_orderstatus") == "F") * 100.0 / F.nullif(F.count("*"), F.lit(0)), 1).alias("done_pct"),
         F.percentile(F.datediff("first_ship", "od").cast("double"), F.lit(0.5)).alias("med_days"),
         F.count_if(F.datediff("last_ship", "od") > 100).alias("slow"),
         F.sum("lines").alias("lines"),
@@ -176,13 +176,13 @@ def case_coverage(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("case_id").isNull()).alias("without_case"), F.count_if("known").alias("known"), F.count_if(F.col("case_id").isNotNull() & F.col("known").isNull()).alias("orphan"))
 
 
-@query(f"WITH {AP} SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS n, count(*) FILTER (day IS NULL) AS undated, count(*) FILTER (orig > 0 AND \"count\" > 0 AND orig <> \"count\") AS disagree, floor(count(*) FILTER (stage_index > 0) * 1000.0 / count(*) + 0.5) / 10 AS repeat_pct FROM ap")
+@query(f"WITH {AP} SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS n, count(*) FILTER (day IS NULL) AS undated, count(*) FILTER (orig > 0 AND \"count\" > 0 AND orig <> \"count\") AS disagree, floor(count(*) FILTER (stage_index > 0) * 1000.0 / nullif(count(*), 0) + 0.5) / 10 AS repeat_pct FROM ap")
 def corpus_measurements(spark: SparkSession, d: str) -> DataFrame:
     """A17."""
     a = approvals(spark, d, "day", "orig", "count", "stage_index")
     return a.agg(
         F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("n"), F.count_if(F.col("day").isNull()).alias("undated"),
-        F.count_if((F.col("orig") > 0) & (F.col("count") > 0) & (F.col("orig") != F.col("count"))).alias("disagree"), half_up(F.count_if(F.col("stage_index") > 0) * 100.0 / F.count("*"), 1).alias("repeat_pct"),
+        F.count_if((F.col("orig") > 0) & (F.col("count") > 0) & (F.col("orig") != F.col("count"))).alias("disagree"), half_up(F.count_if(F.col("stage_index") > 0) * 100.0 / F.nullif(F.count("*"), F.lit(0)), 1).alias("repeat_pct"),
     )
 
 

@@ -70,7 +70,7 @@ def coverage_diff(spark: SparkSession, d: str) -> DataFrame:
     """Which lands lost their day between the last two releases."""
     r = releases(spark, d)
     s = r.groupBy("k", "land").agg(F.bool_or(F.col("day").isNotNull()).alias("f"))
-    last = r.agg(F.max("k")).first()[0]
+    last = r.agg(F.max("k")).first()[0] or 0
     return pub.snapshot_diff(s.where(F.col("k") == last - 1).drop("k"), s.where(F.col("k") == last).drop("k"), "land", "f")
 
 
