@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import hot_join
-from ..runtime import materialize
+from ..runtime import discard, materialize
 from .tokens import slices
 
 LENGTH, PREFIX, SUBTREE = 200, 64, 2_000
@@ -240,7 +240,10 @@ def shared_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     found = materialize(suffix_places(docs, length, prefix), "places")
     two = found.groupBy("k").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.count("*").alias("n")).where("d1 < d2").select("k", "n")
     # A boilerplate prefix may lie at a large share of the places.
-    kept = materialize(hot_join(found, materialize(two, "prefixes"), ["k"], "n", found.count(), "left_semi"), "kept")
+    two = materialize(two, "prefixes")
+    kept = materialize(hot_join(found, two, ["k"], "n", found.count(), "left_semi"), "kept")
+    discard(found)
+    discard(two)
     stretch = ["k", "c1", "c2"]
     distinct = kept.groupBy(*stretch).agg((F.min("doc") < F.max("doc")).alias("many"), F.count("*").alias("copies"), F.min_by(F.struct("doc", "lo", "hi"), F.struct("doc", "lo")).alias("r"))
     size = distinct.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
