@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import materialize
+from ..runtime import discard, materialize
 
 _DROP = re.compile(r"[\s、,，]+")
 
@@ -104,6 +104,7 @@ def snapshot_changes(
     new = rows.where(~F.col("seen_before") & (F.col("ord") > 1)).select((F.col("ord") - 1).alias("pair"), "rid", F.lit(False).alias("old"), *KEYS)
     both = old.unionByName(new).groupBy("pair", *KEYS).agg(F.min(F.when(F.col("old"), F.col("rid"))).alias("o"), F.min(F.when(~F.col("old"), F.col("rid"))).alias("n"))
     rest = materialize(both.where(F.col("o").isNull() | F.col("n").isNull()), "unpaired")
+    discard(rows)
     pairs = None
     for a, b in (("l", "n"), ("d", "n"), ("d", "l")):
         on = ["pair", *_content(a), *_content(b)]
