@@ -6,9 +6,12 @@ Null and unreadable values give null.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .moments import day_on
 from .text import fold_width
 
 ROC_OFFSET, FIRST_GREGORIAN = 1911, 1911
@@ -45,6 +48,17 @@ def real_day(iso: Column) -> Column:
     return F.try_to_date(F.when(m.between(1, 12) & d.between(1, 31), iso_text(y, m, d)), "yyyy-MM-dd")
 
 
+@F.pandas_udf(T.StringType())
+def _clock_day(value: pd.Series, clock: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None else day_on(v, z) for v, z in zip(value, clock)], dtype=object)
+
+
+def clock_day(c: Column, clock: Column) -> Column:
+    """The day a value in any form of the register names, as ISO text; ISO days stay as they are, a moment is read on ``clock``."""
+    iso = c.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return F.coalesce(F.when(iso, c), _clock_day(F.when(~iso, c), clock))
+
+
 def roc_compact(c: Column) -> Column:
     """``YYYMMDD`` or ``YYMMDD`` with full-width digits folded; ROC years 50 to 200 and real days only."""
     t = fold_width(F.trim(c))

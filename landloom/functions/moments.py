@@ -16,6 +16,8 @@ from zoneinfo import ZoneInfo
 
 UTC = dt.timezone.utc
 MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
+#: The clock of the register, for values whose source has none.
+REGISTER = "Asia/Taipei"
 #: Zone abbreviations and their offsets in hours. CST is two clocks, so it has two readings.
 ABBREVIATIONS = {
     "Z": [0], "UTC": [0], "GMT": [0], "WET": [0], "BST": [1], "WEST": [1], "CET": [1], "CEST": [2], "EET": [2], "EEST": [3],
@@ -138,3 +140,10 @@ def readings(value: str | None, clock: str | None) -> list[tuple[str, str, int]]
         out = _with_time("dmy" + m["sep"], _day(y, b, a), g, clock) + _with_time("mdy" + m["sep"], _day(y, a, b), g, clock)
         return out if len({x[1] for x in out}) > 1 else out[:1]
     return []
+
+
+def day_on(value: str | None, clock: str | None) -> str | None:
+    """The day a value names, as ISO text; of a moment, its day on the clock. Null if there is none or the readings differ."""
+    zone = _zone(clock or REGISTER) or _zone(REGISTER)
+    found = {n if len(n) == 10 else dt.datetime.fromtimestamp(t, zone).date().isoformat() for _, n, t in readings(value, zone.key)}
+    return found.pop() if len(found) == 1 else None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import land
+from ..functions import dates, land
 from ..functions.similarity import complete_list, gestalt_ratio, repair_order
 from ..operators import matching as match
 from ..operators.cleanse import cleanse
@@ -17,8 +17,8 @@ SEARCH = r"""se AS (SELECT search_id, land_core, view_id, case_ids, nullif(regex
 
 def _search(spark: SparkSession, d: str) -> DataFrame:
     pattern = r"區([^0-9區]*段[^0-9]*小段)([0-9]+)"
-    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'")
-    return s.select("search_id", "land_core", "view_id", "case_ids", F.nullif(F.regexp_extract("land_core", pattern, 1), F.lit("")).alias("section"), F.try_to_date("chk_date", "yyyy-MM-dd").alias("day"))
+    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date is not null")
+    return s.select("search_id", "land_core", "view_id", "case_ids", F.nullif(F.regexp_extract("land_core", pattern, 1), F.lit("")).alias("section"), dates.real_day(dates.clock_day(F.col("chk_date"), F.lit(None).cast("string"))).alias("day")).where("day is not null")
 
 
 TIERS = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import land
+from ..functions import dates, land
 from ..operators import matching as match
 from ..operators.intervals import merged, uncovered
 from ..runtime import table
@@ -30,9 +30,9 @@ def recovered_days(spark: SparkSession, d: str) -> DataFrame:
     """An undated record takes its day from the cases of its unit, count and stage, if they agree on one."""
     n = F.col("case_name")
     stage = F.when(n.startswith("擬訂"), 0).when(n.startswith("變更(第"), F.instr(F.lit(land.NUMERALS), F.substring(n, 5, 1))).when(n.startswith("變更"), 1)
-    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'").select(
-        F.regexp_extract(n, "區(.*?段.小段)", 1).alias("section"), F.regexp_extract(n, "小段([0-9]+(?:-[0-9]+)?)地號", 1).alias("first"), F.nullif(F.regexp_extract(n, "等([0-9]+)筆", 1), F.lit("")).try_cast("bigint").alias("count"), stage.cast("bigint").alias("stage_index"), F.col("chk_date").alias("day")
-    )
+    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date is not null").select(
+        F.regexp_extract(n, "區(.*?段.小段)", 1).alias("section"), F.regexp_extract(n, "小段([0-9]+(?:-[0-9]+)?)地號", 1).alias("first"), F.nullif(F.regexp_extract(n, "等([0-9]+)筆", 1), F.lit("")).try_cast("bigint").alias("count"), stage.cast("bigint").alias("stage_index"), dates.clock_day(F.col("chk_date"), F.lit(None).cast("string")).alias("day")
+    ).where("day is not null")
     a = approvals(spark, d, "recno", "day", "section", "first", "count", "stage_index").where("day is null and section != '' and first != ''").select("recno", "section", "first", "count", "stage_index")
     return match.unique_or_nothing(a.join(s, ["section", "first", "count", "stage_index"]).select("recno", "day"), ["recno"], "day")
 

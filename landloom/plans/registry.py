@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import clock_day
 from ..functions.land import PARCEL
 from ..operators.matching import first_per_key
 from ..runtime import table
@@ -35,12 +36,15 @@ AP = r"""ap AS (SELECT recno::BIGINT AS recno, CASE WHEN regexp_full_match(iso_d
 
 
 def approvals(spark: SparkSession, d: str, *need: str) -> DataFrame:
-    """The approvals of ``AP``, with the columns ``need`` names or all; only their sources are read and shuffled."""
+    """The approvals, with the columns ``need`` names or all; only their sources are read and shuffled.
+
+    ``day`` reads every form of ``iso_date``, a moment on the clock of its feed; ``AP`` knows only ISO days.
+    """
     text = lambda n: F.coalesce(n, F.lit(""))
     number = lambda n, other: F.coalesce(n, F.lit(other)).cast("bigint")
     made = {
         "recno": ("recno", F.col("recno").cast("bigint")),
-        "day": ("iso_date", F.when(F.col("iso_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("iso_date"))),
+        "day": ("iso_date", clock_day(F.col("iso_date"), F.col("zone"))),
         "district": ("district", text("district")),
         "section": ("section", text("section")),
         "first": ("first_parcel", text("first_parcel")),
@@ -55,7 +59,10 @@ def approvals(spark: SparkSession, d: str, *need: str) -> DataFrame:
     }
     made = {n: made[n] for n in (need or made)}
     c = table(spark, d, "clean_records").where("recno is not null")
-    c = first_per_key(c.select("recno", "clean_id", *[src for src, _ in made.values() if src != "recno"]), ["recno"], [F.col("clean_id")])
+    dated = "day" in made
+    c = first_per_key(c.select("recno", "clean_id", *[src for src, _ in made.values() if src != "recno"], *["feed_id"] * dated), ["recno"], [F.col("clean_id")])
+    if dated:
+        c = c.join(table(spark, d, "feeds").select("feed_id", "zone"), "feed_id", "left")
     return c.select(*[e.alias(n) for n, (_, e) in made.items()])
 
 
