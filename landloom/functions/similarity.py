@@ -27,6 +27,28 @@ def _key(p: str) -> tuple[int, int]:
     return int(main or 0), int(sub) if sub else -1
 
 
+def _break(xs: list[str]) -> int | None:
+    """The position of the only token that doesn't lie between its neighbours, though these ascend; None if there is none or several."""
+    keys = [_key(x) for x in xs]
+    bad = [i for i in range(1, len(xs) - 1) if keys[i - 1] < keys[i + 1] and not keys[i - 1] < keys[i] < keys[i + 1]]
+    return bad[0] if len(bad) == 1 else None
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("old", T.StringType()), T.StructField("new", T.StringType())])))
+def order_repairs(parcels: pd.Series) -> pd.Series:
+    """The numbers that may stand where a printed list breaks its order: one digit more or less, between the neighbours, not in the list."""
+
+    def options(xs):
+        xs = [] if xs is None else list(xs)
+        if (i := _break(xs)) is None:
+            return []
+        x, lo, hi = xs[i], _key(xs[i - 1]), _key(xs[i + 1])
+        made = {x[:k] + x[k + 1 :] for k in range(len(x)) if x[k].isdigit()} | {x[:k] + d + x[k:] for k in range(len(x) + 1) for d in "0123456789"}
+        return [{"at": i, "old": x, "new": o} for o in sorted(made) if o and o[0].isdigit() and o[-1].isdigit() and o not in xs and lo < _key(o) < hi]
+
+    return pd.Series([options(x) for x in parcels])
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def repair_order(parcels: pd.Series) -> pd.Series:
     """Printed parcels with one mistyped number put right.
@@ -40,11 +62,9 @@ def repair_order(parcels: pd.Series) -> pd.Series:
         xs = None if xs is None else list(xs)
         if not xs or len(xs) < 3:
             return xs
-        keys = [_key(x) for x in xs]
-        bad = [i for i in range(1, len(xs) - 1) if keys[i - 1] < keys[i + 1] and not keys[i - 1] < keys[i] < keys[i + 1]]
-        if len(bad) != 1:
+        if (i := _break(xs)) is None:
             return xs
-        i = bad[0]
+        keys = [_key(x) for x in xs]
         options = {xs[i][:k] + xs[i][k + 1 :] for k in range(len(xs[i])) if xs[i][k].isdigit()}
         fit = [o for o in options if o and o[0].isdigit() and o[-1].isdigit() and keys[i - 1] < _key(o) < keys[i + 1]]
         return xs[:i] + fit + xs[i + 1 :] if len(fit) == 1 else xs

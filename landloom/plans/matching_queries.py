@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, land
-from ..functions.similarity import complete_list, gestalt_ratio, repair_order
+from ..functions.similarity import complete_list, gestalt_ratio, order_repairs
 from ..operators import matching as match
+from ..functions.text import nfkc
 from ..operators.cleanse import cleanse
+from ..operators.packed import land_items, split_items
 from ..runtime import table
 from .registry import AP, REL, approvals, query, releases
 
@@ -199,8 +201,31 @@ def name_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def repaired_lists(spark: SparkSession, d: str) -> DataFrame:
-    """permits' numbers with a single mistyped one put right, and cells completed from their unit."""
-    a = approvals(spark, d, "recno", "district", "section", "first", "count", "parcels").where(F.size("parcels") > 2).select("recno", "district", "section", "first", "count", land.sorted_parcels(F.col("parcels")).alias("p"))
-    full = a.groupBy("district", "section", "first").agg(F.max_by("p", F.size("p")).alias("all"))
-    j = a.join(full, ["district", "section", "first"])
-    return j.select("recno", F.array_join(repair_order("p"), ",").alias("repaired"), F.array_join(complete_list(F.col("p"), F.col("all"), F.col("count")), ",").alias("completed"))
+    """printed lists with a single mistyped number put right, and cut ones completed from a list of their unit.
+
+    A number out of the printed order that no other record of the section has is replaced by the only number of another
+    record that is one digit longer or shorter and fits its place. A list is completed where exactly one completion closes the count.
+    """
+    unit = ["district", "section", "first"]
+    said = lambda c: F.coalesce(c, F.lit(""))
+    c = table(spark, d, "clean_records").where("recno is not null").select(F.col("recno").cast("bigint").alias("recno"), "clean_id", "district", "section", "first_parcel", "land_count", "name", "parcels", "land")
+    c = match.first_per_key(c, ["recno"], [F.col("clean_id")])
+    # A cell without items is as good as none: the land shows the list too.
+    numbers = lambda items: F.filter(F.transform(items, lambda x: F.regexp_extract(x, f"^({land.PARCEL})", 1)), lambda x: x != "")
+    c = c.withColumns({n: nfkc(n) for n in ("parcels", "land", "name")}).withColumns({"_p": numbers(split_items(F.col("parcels"))), "_l": numbers(land_items(F.col("land")))})
+    p = F.array_distinct(F.when(F.size("_p") > 0, F.col("_p")).otherwise(F.coalesce("_l", F.array().cast("array<string>"))))
+    a = c.select("recno", said(F.col("district")).alias("district"), said(F.col("section")).alias("section"), F.coalesce(F.nullif("first_parcel", F.lit("")), F.get(p, F.lit(0))).alias("first"),
+                 F.coalesce(F.nullif("land_count", F.lit(0)), land.declared_count(F.col("name")), F.lit(0)).alias("count"), p.alias("p")).where(F.size("p") > 0)
+    place = ["district", "section"]
+    held = a.select("recno", *place, F.explode("p").alias("x")).groupBy(*place, "x").agg(F.min("recno").alias("_lo"), F.max("recno").alias("_hi"))
+    o = a.select("recno", *place, F.explode(order_repairs("p")).alias("o")).select("recno", *place, "o.*")
+    alone = o.select("recno", *place, F.col("old").alias("x")).distinct().join(held, [*place, "x"]).where("_lo = _hi").select("recno")
+    known = o.join(held.select(*place, F.col("x").alias("new")), [*place, "new"]).join(alone, "recno", "left_semi")
+    fix = known.groupBy("recno").agg(F.count("*").alias("_k"), F.min("old").alias("old"), F.min("new").alias("new")).where("_k = 1").drop("_k")
+    r = a.join(fix, "recno", "left").withColumn("p", F.transform("p", lambda x: F.when(x == F.col("old"), F.col("new")).otherwise(x)))
+    r = r.withColumn("s", land.sorted_parcels(F.col("p")))
+    lists = r.where("section != ''").groupBy(*unit).agg(F.collect_set("s").alias("lists"))
+    j = r.join(lists, unit, "left")
+    own = F.coalesce("lists", F.array("s"))
+    whole = F.array_distinct(F.filter(F.transform(own, lambda x: complete_list(F.col("s"), x, F.col("count"))), lambda x: x.isNotNull()))
+    return j.select("recno", F.array_join("p", ",").alias("repaired"), F.array_join(F.when(F.size(whole) == 1, whole[0]), ",").alias("completed"))

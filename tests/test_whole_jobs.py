@@ -57,3 +57,17 @@ def test_days_of_all_forms_are_recovered(run):
     tables = {"feeds": FEEDS, "clean_records": approvals}
     assert run("recovered_days", **tables, search_results=[case(1, "108/6/8", **heading), case(2, "108.06.08", **heading)]) == [(1, "2019-06-08")]
     assert run("recovered_days", **tables, search_results=[case(1, "2019-06-08", **heading), case(2, "108/6/9", **heading)]) == []
+
+
+def test_mistyped_and_cut_lists(run):
+    cells = {1: ("10|115|12", 3), 2: ("11、14", 2), 3: ("10,11", 4), 4: ("10/11/12/13", 4), 5: ("20,28,22,23", 4), 6: ("218,21", 0), 7: ("30,30-11,30-3", 3), 8: ("10", 4), 9: ("", 2)}
+    first = {5: "20", 2: "11", 6: "21", 7: "30"}
+    approvals = [approval(k, "2019-06-08", parcels=v, land_count=n, first_parcel=first.get(k, "10")) for k, (v, n) in cells.items()]
+    approvals.append(approval(10, "2019-06-08", parcels="400,41,402", land_count=3, first_parcel="400") | {"name": "x"})
+    approvals.append(approval(11, "2019-06-08", parcels="401", first_parcel="401") | {"name": "擬訂松濤段一小段401地號等1筆土地"})
+    approvals.append(approval(12, "2019-06-08", parcels=None, first_parcel="60", land="大安區松濤段一小段60、61地號等2筆土地", land_count=2))
+    assert run("repaired_lists", clean_records=approvals) == [
+        # 115 is put right by record 2; 41 by 401 of record 11; 28 and 30-11 have no number in their place.
+        (1, "10,11,12", "10,11,12"), (10, "400,401,402", "400,401,402"), (11, "401", "401"), (12, "60,61", "60,61"), (2, "11,14", "11,14"), (3, "10,11", "10,11,12,13"),
+        (4, "10,11,12,13", "10,11,12,13"), (5, "20,28,22,23", "20,22,23,28"), (6, "218,21", None), (7, "30,30-11,30-3", "30,30-3,30-11"), (8, "10", "10,11,12,13"),
+    ]
