@@ -73,10 +73,16 @@ def single_witness(overlap: DataFrame, left_key: str, right_key: str, evidence:
     return j.select(left_key, F.when(F.col("n") == 1, F.col("one")).otherwise(F.col("named")).alias(right_key), how.alias("how"))
 
 
-def gap_ids(held: DataFrame, stem: str, number: str) -> DataFrame:
-    """(``stem``, ``number``): numbers strictly between the lowest and highest of a stem that it doesn't hold."""
-    span = held.groupBy(stem).agg(F.min(number).alias("lo"), F.max(number).alias("hi")).where("hi - lo > 1")
-    return span.select(stem, F.explode(F.sequence(F.col("lo") + 1, F.col("hi") - 1)).alias(number)).join(held.select(stem, number), [stem, number], "left_anti")
+def gap_ids(held: DataFrame, stem: str, number: str, block: int = 1000) -> DataFrame:
+    """(``stem``, ``number``): numbers strictly between the lowest and highest of a stem that it doesn't hold.
+
+    Each gap lies between a held number and the next, and is written out in blocks, so a wide one makes no long array.
+    """
+    n = held.where(F.col(stem).isNotNull() & F.col(number).isNotNull()).select(stem, F.col(number).cast("bigint").alias("_n")).distinct()
+    gaps = n.withColumn("_m", F.lead("_n").over(Window.partitionBy(stem).orderBy("_n"))).where("_m - _n > 1")
+    starts = gaps.select(stem, "_m", F.explode(F.sequence(F.col("_n") + 1, F.col("_m") - 1, F.lit(block).cast("bigint"))).alias("_s"))
+    each = starts.select(stem, F.explode(F.sequence("_s", F.least(F.col("_s") + (block - 1), F.col("_m") - 1))).alias("_g"))
+    return each.select(stem, F.col("_g").cast(dict(held.dtypes)[number]).alias(number))
 
 
 def superseded(cases: DataFrame, on: list[str], key: str, evidence: str, least: int = 1) -> DataFrame:

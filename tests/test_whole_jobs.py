@@ -71,3 +71,11 @@ def test_mistyped_and_cut_lists(run):
         (1, "10,11,12", "10,11,12"), (10, "400,401,402", "400,401,402"), (11, "401", "401"), (12, "60,61", "60,61"), (2, "11,14", "11,14"), (3, "10,11", "10,11,12,13"),
         (4, "10,11,12,13", "10,11,12,13"), (5, "20,28,22,23", "20,22,23,28"), (6, "218,21", None), (7, "30,30-11,30-3", "30,30-3,30-11"), (8, "10", "10,11,12,13"),
     ]
+
+
+def test_gaps_of_wide_spans(run):
+    held = {1: ["1", "3"], 2: ["5", "2510", "2508"], 3: ["7", "8"]}
+    permits = [{"permit_id": k, "permit_no": str(k), "parcels": [("大安區", "松濤段", n) for n in v]} for k, v in held.items()]
+    want = {(1, 2), (2, 2509)} | {(2, n) for n in range(6, 2508)}
+    got = run("parcel_gaps", permit_records=permits)
+    assert len(got) == len(want) and {(k, n) for k, _, n in got} == want
