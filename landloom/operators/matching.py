@@ -49,12 +49,12 @@ def drift_join(left: DataFrame, right: DataFrame, on: list[str], left_day: str,
     return a.join(b, [*on, "_b"]).where(F.abs(F.datediff(F.col(left_day), F.col(right_day))) <= days).drop("_b")
 
 
-def prefix_completion(cut: DataFrame, whole: DataFrame, on: list[str], text: str, key: str, width: int = 12) -> DataFrame:
-    """(``key``, completed): the least whole text that a cut one begins, on equal keys and equal first ``width`` characters."""
-    a = cut.where(F.length(text) >= width).select(*on, key, F.col(text).alias("_cut"), F.substring(text, 1, width).alias("_p"))
-    b = whole.where(F.length(text) >= width).select(*on, F.col(text).alias("_whole"), F.substring(text, 1, width).alias("_p")).distinct()
-    hit = a.join(b, [*on, "_p"]).where(F.col("_whole").startswith(F.col("_cut")) & (F.length("_whole") > F.length("_cut")))
-    return hit.groupBy(key).agg(F.min("_whole").alias("completed"))
+def prefix_completion(cut: DataFrame, whole: DataFrame, on: list[str], text: str, tokens: str, key: str, label: str) -> DataFrame:
+    """(``key``, completed): the least ``label`` of the whole rows with equal ``on`` whose ``text`` a cut one begins and that hold all its ``tokens`` (array)."""
+    a = cut.select(*on, key, F.col(text).alias("_cut"), F.col(tokens).alias("_seen"))
+    b = whole.select(*on, F.col(text).alias("_whole"), F.col(tokens).alias("_held"), F.col(label).alias("_label")).distinct()
+    hit = a.join(b, on).where(F.col("_whole").startswith(F.col("_cut")) & (F.length("_whole") > F.length("_cut")) & (F.size(F.array_except("_seen", "_held")) == 0))
+    return hit.groupBy(key).agg(F.min("_label").alias("completed"))
 
 
 def best_overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str, token: list[str]) -> DataFrame:

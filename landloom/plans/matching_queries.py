@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, land
 from ..functions.similarity import complete_list, gestalt_ratio, order_repairs
 from ..operators import matching as match
-from ..functions.text import nfkc
+from ..functions.text import SPACE, fold_width, nfkc
 from ..operators.cleanse import cleanse
 from ..operators.packed import land_items, split_items
 from ..runtime import table
@@ -75,10 +77,26 @@ def name_tier_cascade(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH c AS (SELECT raw_id, district, land FROM raw_records WHERE length(land) >= 12 AND NOT regexp_matches(trim(land), '(?:地號|土地|筆)$')), w AS (SELECT DISTINCT district, land FROM raw_records WHERE length(land) >= 12 AND regexp_matches(trim(land), '(?:地號|土地|筆)$'))
  SELECT raw_id, min(w.land) AS completed FROM c JOIN w ON w.district = c.district AND substr(w.land, 1, 12) = substr(c.land, 1, 12) AND starts_with(w.land, c.land) AND length(w.land) > length(c.land) GROUP BY raw_id""")
 def prefix_completion(spark: SparkSession, d: str) -> DataFrame:
-    """Open land cells completed from closed ones of the district that they begin."""
-    r = table(spark, d, "raw_records").select("raw_id", "district", "land")
-    closed = F.trim("land").rlike("(?:地號|土地|筆)$")
-    return match.prefix_completion(r.where(~closed), r.where(closed), ["district"], "land", "raw_id")
+    """Open land cells completed from a closed one of the district, section and first parcel that they begin.
+
+    The candidate, of any table, holds the cell's parcels and as many as the name declares. A cell cut before the end
+    of its first number takes the first parcel from its name; one cut inside a later number is not completed.
+    """
+    text = lambda c: fold_width(F.trim(c))
+    # From the section on, with one mark between items whatever was printed.
+    body = F.regexp_replace(F.regexp_replace(text(F.col("land")), "^[^0-9]*區", ""), rf"[{SPACE}、､,;/|及與]+", "、")
+    plain = F.regexp_replace(body, r"\([^()]*\)", "")
+    district = F.coalesce(F.nullif(F.trim("district"), F.lit("")), F.nullif(F.regexp_extract("land", "(..區)", 1), F.lit("")))
+    section = F.nullif(F.regexp_extract(body, "^([^0-9]*段(?:[^0-9]*小段)?)", 1), F.lit(""))
+    cell = {"district": district, "section": section, "_body": body, "_seen": land.parcel_tokens(plain)}
+    named = land.name_identity(text(F.col("name")))["parcel"]
+    first = F.when(plain.rlike(f"段[^0-9]*{land.PARCEL}[^0-9-]"), F.get("_seen", F.lit(0))).otherwise(F.coalesce(named, F.get("_seen", F.lit(0))))
+    closed = text(F.col("land")).rlike("(?:地號|土地|筆)$")
+    raw = table(spark, d, "raw_records").select("raw_id", "district", "name", "land")
+    cut = raw.where(~closed).withColumns({**cell, "count": land.declared_count(text(F.col("name")))}).withColumn("first", first)
+    whole = reduce(DataFrame.unionByName, [table(spark, d, t).select("district", "land") for t in ("raw_records", "clean_records", "release_records")]).distinct()
+    whole = whole.where(closed).withColumns(cell).withColumns({"first": F.get("_seen", F.lit(0)), "count": F.size("_seen")})
+    return match.prefix_completion(cut, whole, ["district", "section", "first", "count"], "_body", "_seen", "raw_id", "land")
 
 
 TOK = """pt AS (SELECT project_id, section, unnest(member_recnos)::BIGINT AS recno FROM projects), lt AS (SELECT DISTINCT pt.project_id, ap.section, regexp_extract(p, '^[0-9]+') AS main FROM pt JOIN ap USING (recno), unnest(ap.parcels) t(p) WHERE ap.section <> ''),

@@ -79,3 +79,16 @@ def test_gaps_of_wide_spans(run):
     want = {(1, 2), (2, 2509)} | {(2, n) for n in range(6, 2508)}
     got = run("parcel_gaps", permit_records=permits)
     assert len(got) == len(want) and {(k, n) for k, _, n in got} == want
+
+
+def test_completion_closes_the_declared_count(run):
+    name = "擬訂臺北市大安區松濤段一小段{}地號等{}筆土地都市更新事業計畫案"
+    cuts = {1: ("1、2", "1", 4), 2: ("1、2、3", "1", 9), 3: ("1", "1", 3), 4: ("", "5", 2), 5: ("1、2、1", "1", 4), 6: ("５,　６", "5", "３")}
+    raw = [{"raw_id": k, "district": "大安區", "name": name.format(f, n), "land": f"臺北市大安區松濤段一小段{x}"} for k, (x, f, n) in cuts.items()]
+    raw.append({"raw_id": 7, "district": None, "name": name.format("1", 3), "land": "大安區松濤段一小段1、"})
+    lands = ["大安區松濤段一小段1、2、11地號等3筆土地", "臺北市大安區松濤段一小段1、2、3、12地號等4筆土地", "臺北市大安區松濤段二小段1、2、3、4地號等4筆土地", "臺北市大安區松濤段一小段5、6地號等2筆土地", "臺北市大安區松濤段一小段5、6、7(東側,1/2)地號等3筆土地", "臺北市大安區松濤段一小段8、9地號等2筆土地"]
+    raw += [{"raw_id": 10 + k, "district": "大安區", "land": x} for k, x in enumerate(lands[:4])]
+    clean = [{"clean_id": 1, "district": "大安區", "land": lands[4]}]
+    release = [{"release_row": 1, "district": "大安區", "land": lands[5]}]
+    want = [(1, lands[1]), (3, lands[0]), (4, lands[3]), (6, lands[4]), (7, lands[0])]
+    assert run("prefix_completion", raw_records=raw, clean_records=clean, release_records=release) == want
