@@ -108,6 +108,11 @@ def unique_top(scored: DataFrame, key: str, other: str, score: str) -> DataFrame
     return unique_or_nothing(scored.join(top, [key, score]), [key, score], other)
 
 
+def claimed_once(pairs: DataFrame, scope: list[str], left: str, right: str, rank: list[Column]) -> DataFrame:
+    """The pairs in which ``right`` is taken for the first time within ``scope``, by ``rank``; those that come later have nothing."""
+    return pairs.groupBy(*scope, right).agg(F.min_by(left, F.struct(*rank)).alias(left)).select(*scope, left, right)
+
+
 def one_to_one(scored: DataFrame, left: str, right: str, score: str, max_rounds: int = 1000) -> DataFrame:
     """Greedy one-to-one pairing, strongest first, ties by left then right.
 

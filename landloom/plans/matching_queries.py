@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, land
 from ..functions.similarity import complete_list, gestalt_ratio, order_repairs
 from ..operators import matching as match
-from ..functions.text import SPACE, fold_width, nfkc
+from ..functions.text import SPACE, fold_width, nfkc, no_space
 from ..operators.cleanse import cleanse
 from ..operators.packed import land_items, split_items
 from ..runtime import table
@@ -161,9 +161,29 @@ def alias_votes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{VOTES}, t AS (SELECT k, old_unit, max(votes) AS m FROM v GROUP BY ALL) SELECT v.k, v.old_unit, min(new_unit) AS new_unit FROM v JOIN t ON v.k = t.k AND v.old_unit = t.old_unit AND votes = m GROUP BY ALL HAVING count(DISTINCT new_unit) = 1")
 def unit_aliases(spark: SparkSession, d: str) -> DataFrame:
-    """The only best-voted successor of each unit."""
+    """The only best-voted successor of each unit; without any vote the only one of the section that shares most parcels, half at least.
+
+    A new unit is taken once: by names before parcels, by the unit that keeps its name first, then in the order of the old units.
+    A unit with several best successors, or whose best is taken, has no alias.
+    """
     v = alias_votes(spark, d).select(F.struct("k", "old_unit").alias("o"), "new_unit", "votes")
-    return match.unique_top(v, "o", "new_unit", "votes").select("o.k", "o.old_unit", "new_unit")
+    claim = lambda t: match.claimed_once(t.select("o.k", "o.old_unit", "new_unit"), ["k"], "old_unit", "new_unit", [F.col("old_unit") != F.col("new_unit"), F.col("old_unit")])
+    named = claim(match.unique_top(v, "o", "new_unit", "votes"))
+    body = F.regexp_replace(no_space(fold_width(F.regexp_replace("land", rf"[{SPACE}]+", "、"))), r"\([^()]*\)", "")
+    section = F.replace(F.regexp_extract(body, "(?:區|^)、?([^0-9區]*段(?:[^0-9]*小段)?)", 1), F.lit("、"), F.lit(""))
+    f = releases(spark, d, section.alias("sec"), land.parcel_tokens(body).alias("parcels")).withColumn("unit", F.concat("district", F.lit("|"), F.regexp_extract("land", "(.{0,4}段.小段[0-9]+)", 1)))
+    f = f.where("sec != '' and unit rlike '[0-9]$' and size(parcels) > 0").select("k", "district", "sec", "unit", "parcels").distinct()
+    cur = f.groupBy("k").agg(F.lit(1).alias("_")).select((F.col("k") - 1).alias("k"))
+    old = f.join(cur, "k", "left_semi").join(v.select("o.k", F.col("o.old_unit").alias("unit")).distinct(), ["k", "unit"], "left_anti")
+    old = old.groupBy("k", "unit").agg(F.collect_set(F.struct("district", "sec")).alias("at"), F.array_distinct(F.flatten(F.collect_set("parcels"))).alias("parcels"))
+    a = old.select(F.struct("k", F.col("unit").alias("old_unit")).alias("o"), "k", F.explode("at").alias("at"), "parcels").select("o", "k", "at.*", "parcels")
+    b = f.select((F.col("k") - 1).alias("k"), "district", "sec", F.struct("unit", "parcels").alias("n"))
+    j = a.withColumn("p", F.explode("parcels")).join(b.withColumn("p", F.explode("n.parcels")), ["k", "district", "sec", "p"])
+    j = j.groupBy("o", "district", "sec", "n").agg(F.count("*").alias("both"), F.first(F.size("parcels") + F.size("n.parcels")).alias("all"))
+    near = j.select("o", F.col("n.unit").alias("new_unit"), F.round(F.col("both") / (F.col("all") - F.col("both")), 9).alias("score")).where("score >= 0.5")
+    near = near.groupBy("o", "new_unit").agg(F.max("score").alias("score"))
+    like = claim(match.unique_top(near, "o", "new_unit", "score"))
+    return named.unionByName(like.join(named, ["k", "new_unit"], "left_anti").select("k", "old_unit", "new_unit"))
 
 
 @query()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import clock_day
@@ -71,9 +71,9 @@ REL = r"""rel AS (SELECT release_row, release_id, dense_rank() OVER (ORDER BY re
  iso_date AS day, district, recno::BIGINT AS recno, name, section FROM release_records)"""
 
 
-def releases(spark: SparkSession, d: str) -> DataFrame:
-    """One row per printed row; ``k`` counts the releases from 1. The list of releases is one row per delivery."""
+def releases(spark: SparkSession, d: str, *more: Column) -> DataFrame:
+    """One row per printed row, with ``more`` columns; ``k`` counts the releases from 1. The list of releases is one row per delivery."""
     r = table(spark, d, "release_records")
     ids = sorted(x[0] for x in r.select("release_id").distinct().collect())
     k = F.array_position(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), F.col("release_id"))
-    return r.select("release_row", "release_id", k.alias("k"), F.regexp_replace("land", r"[\s、,，]+", "").alias("land"), F.col("iso_date").alias("day"), "district", F.col("recno").cast("bigint").alias("recno"), "name", "section")
+    return r.select("release_row", "release_id", k.alias("k"), F.regexp_replace("land", r"[\s、,，]+", "").alias("land"), F.col("iso_date").alias("day"), "district", F.col("recno").cast("bigint").alias("recno"), "name", "section", *more)

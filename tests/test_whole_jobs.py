@@ -92,3 +92,16 @@ def test_completion_closes_the_declared_count(run):
     release = [{"release_row": 1, "district": "大安區", "land": lands[5]}]
     want = [(1, lands[1]), (3, lands[0]), (4, lands[3]), (6, lands[4]), (7, lands[0])]
     assert run("prefix_completion", raw_records=raw, clean_records=clean, release_records=release) == want
+
+
+def test_aliases_by_parcels_and_claims(run):
+    def rows(release, units):
+        return [{"release_row": hash((release, i)) % 10**9, "release_id": release, "district": "大安區", "name": n, "land": f"大安區松濤段一小段{p}地號"} for i, (n, p) in enumerate(units)]
+
+    old = [("甲", "1、2"), ("乙", "20、21、22"), ("丙", "30、31"), ("丁", "40、41"), ("戊", "50"), ("己", "61"), ("己", "62"), ("庚", "70、71")]
+    new = [("甲", "1、2"), ("乙改", "19、20、21、22"), ("丙改", "29、31、32、33"), ("丁改", "39、40"), ("戊改", "49、50"), ("戊又", "48、50"), ("己", "60"), ("庚改", "69\n70\n71")]
+    got = run("unit_aliases", release_records=rows("r1", old) + rows("r2", new))
+    unit = lambda n: f"大安區|安區松濤段一小段{n}"
+    # 2 of 4 and 1 of 3 parcels: 20 and 70 overlap enough, 30 and 40 do not; 50 has two equal successors; 61 comes before 62.
+    want = {(1, unit(a), unit(b)) for a, b in ((12, 12), (202122, 19202122), (61, 60), (7071, 697071))}
+    assert set(got) == want and len(got) == len(want)
