@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import fold_width, no_space
+from .text import SPACE, fold_width, no_space
 
 #: Fixed values of the register.
 NUMERALS = "一二三四五六七八九"
@@ -62,6 +62,12 @@ def declared_count(c: Column) -> Column:
     return _group(c, r"等\s*([0-9]+)\s*筆", 1).try_cast("int")
 
 
+def even_cell(c: Column) -> Column:
+    """A land cell in half width, without line breaks or spaces; between two numbers a space is a separator and becomes 、."""
+    t = F.regexp_replace(fold_width(c), rf"(?<=[0-9])[{SPACE}]+(?=[0-9])", "、")
+    return no_space(t)
+
+
 def parcel_tokens(land: Column) -> Column:
     """Distinct parcel numbers of a land cell: what stands between the section and the closing words."""
     body = F.regexp_replace(F.regexp_replace(land, r"^.*段", ""), CLOSING, "")

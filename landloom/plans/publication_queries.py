@@ -205,8 +205,8 @@ def stages_and_tracks(spark: SparkSession, d: str) -> DataFrame:
 )
 def land_cell_counts(spark: SparkSession, d: str) -> DataFrame:
     """Parcels a cell shows, whether it closes, and the count its name declares."""
-    r = table(spark, d, "raw_records").where("land is not null").where(~F.col("land").rlike("[\n\r　]"))
-    return r.select("raw_id", F.size(land.parcel_tokens(F.col("land"))).cast("bigint").alias("tokens"), land.has_closing(F.col("land")).alias("closed"), land.declared_count(F.col("name")).alias("declared"))
+    r = table(spark, d, "raw_records").where("land is not null").withColumn("_cell", land.even_cell(F.col("land")))
+    return r.select("raw_id", F.size(land.parcel_tokens(F.col("_cell"))).cast("bigint").alias("tokens"), land.has_closing(F.col("_cell")).alias("closed"), land.declared_count(F.col("name")).alias("declared"))
 
 
 @query(f"WITH {AP}, s AS (SELECT recno, unnest(parcels) AS p FROM ap), o AS (SELECT recno, string_agg(p, ',' ORDER BY regexp_extract(p, '^[0-9]+')::BIGINT, coalesce(try_cast(nullif(regexp_extract(p, '-([0-9]+)$', 1), '') AS BIGINT), -1), p) AS ordered, string_agg(lpad(regexp_extract(p, '^([0-9]+)', 1), 4, '0') || lpad(regexp_extract(p, '-([0-9]+)$', 1), 4, '0'), ',' ORDER BY p) AS keys FROM s GROUP BY recno) SELECT recno, ordered, keys FROM o")

@@ -16,9 +16,10 @@ TOKENS = r"len(list_distinct(regexp_extract_all(regexp_replace(regexp_replace(la
 
 @query(f"SELECT release_id, district, nullif(regexp_extract(land, '區([^0-9區]*段(?:[^0-9]*小段)?)', 1), '') AS section, count(*) AS cells, max({TOKENS}) AS most FROM release_records WHERE NOT regexp_matches(land, '[\\n\\r　]') GROUP BY ALL")
 def candidate_corpus(spark: SparkSession, d: str) -> DataFrame:
-    """The cells that may complete others, by publication and section."""
-    r = table(spark, d, "release_records").where(~F.col("land").rlike("[\n\r　]"))
-    return r.groupBy("release_id", "district", land.section_token(F.col("land")).alias("section")).agg(F.count("*").alias("cells"), F.max(F.size(land.parcel_tokens(F.col("land"))).cast("bigint")).alias("most"))
+    """The cells that may complete others, by publication and section; width and spacing don't tell cells apart."""
+    r = table(spark, d, "release_records").withColumn("_cell", land.even_cell(F.col("land")))
+    size = F.coalesce(F.size(land.parcel_tokens(F.col("_cell"))), F.lit(0)).cast("bigint")
+    return r.groupBy("release_id", "district", land.section_token(F.col("_cell")).alias("section")).agg(F.count("*").alias("cells"), F.max(size).alias("most"))
 
 
 CASE = r"""s AS (SELECT regexp_extract(case_name, '區(.*?段.小段)', 1) AS section, regexp_extract(case_name, '小段([0-9]+(?:-[0-9]+)?)地號', 1) AS first, try_cast(nullif(regexp_extract(case_name, '等([0-9]+)筆', 1), '') AS BIGINT) AS "count",

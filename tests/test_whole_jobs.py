@@ -105,3 +105,11 @@ def test_aliases_by_parcels_and_claims(run):
     # 2 of 4 and 1 of 3 parcels: 20 and 70 overlap enough, 30 and 40 do not; 50 has two equal successors; 61 comes before 62.
     want = {(1, unit(a), unit(b)) for a, b in ((12, 12), (202122, 19202122), (61, 60), (7071, 697071))}
     assert set(got) == want and len(got) == len(want)
+
+
+def test_cells_of_any_spacing_count(run):
+    lands = ["臺北市大安區松濤段一小段1、2地號等2筆土地", "臺北市大安區\n松濤段一小段1\n2\n3地號等3筆土地", "臺北市大安區松濤段　一小段１、　２、３、４地號", None]
+    rows = [{"release_row": i, "release_id": "r1", "district": "大安區", "land": x} for i, x in enumerate(lands)]
+    assert run("candidate_corpus", release_records=rows) == [("r1", "大安區", "松濤段一小段", 3, 4), ("r1", "大安區", None, 1, 0)]
+    raw = [{"raw_id": i, "land": x, "name": "x"} for i, x in enumerate(lands)]
+    assert run("land_cell_counts", raw_records=raw) == [(0, 2, True, None), (1, 3, True, None), (2, 4, True, None)]
