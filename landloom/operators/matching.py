@@ -113,21 +113,27 @@ def claimed_once(pairs: DataFrame, scope: list[str], left: str, right: str, rank
     return pairs.groupBy(*scope, right).agg(F.min_by(left, F.struct(*rank)).alias(left)).select(*scope, left, right)
 
 
-def one_to_one(scored: DataFrame, left: str, right: str, score: str, max_rounds: int = 1000) -> DataFrame:
+def one_to_one(scored: DataFrame, left: str, right: str, score: str, max_rounds: int | None = None) -> DataFrame:
     """Greedy one-to-one pairing, strongest first, ties by left then right.
 
     Each round takes every pair that is the best of both its sides, which the greedy order would take too, and drops
-    the pairs of what is taken; the strongest remaining pair always qualifies, so it ends.
+    the pairs of what is taken; the strongest remaining pair always qualifies, so it ends. With ``max_rounds``, an
+    error if pairs remain after so many.
     """
     order = F.struct(F.col(score), -F.col(left), -F.col(right))
-    rest, taken = materialize(scored.select(left, right, score), "pairs"), None
-    for _ in range(max_rounds):
+    rest, taken, rounds = materialize(scored.select(left, right, score), "pairs"), None, 0
+    while True:
         bl = rest.groupBy(left).agg(F.max(order).alias("_o"))
         br = rest.groupBy(right).agg(F.max(order).alias("_o"))
         best = materialize(rest.withColumn("_o", order).join(bl, [left, "_o"], "left_semi").join(br, [right, "_o"], "left_semi").select(left, right, score), "best")
         if best.isEmpty():
             break
+        if rounds == max_rounds:
+            raise RuntimeError(f"pairs remain after {max_rounds} rounds")
+        rounds += 1
         taken = best if taken is None else taken.unionByName(best)
+        if rounds % 50 == 0:  # a long chain of ties takes a round a pair
+            taken = materialize(taken, "taken")
         new = materialize(rest.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti").select(left, right, score), "pairs")
         discard(rest)
         rest = new

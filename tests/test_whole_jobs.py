@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from landloom.functions.moments import day_on
+from landloom.operators.matching import one_to_one
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -113,3 +114,11 @@ def test_cells_of_any_spacing_count(run):
     assert run("candidate_corpus", release_records=rows) == [("r1", "大安區", "松濤段一小段", 3, 4), ("r1", "大安區", None, 1, 0)]
     raw = [{"raw_id": i, "land": x, "name": "x"} for i, x in enumerate(lands)]
     assert run("land_cell_counts", raw_records=raw) == [(0, 2, True, None), (1, 3, True, None), (2, 4, True, None)]
+
+
+def test_pairing_says_when_pairs_remain(spark):
+    chain = spark.createDataFrame([(i, j, 1) for i in range(5) for j in (i, i + 1)], "l int, r int, s int")
+    assert sorted(map(tuple, one_to_one(chain, "l", "r", "s").collect())) == [(i, i, 1) for i in range(5)]
+    assert one_to_one(chain, "l", "r", "s", max_rounds=5).count() == 5
+    with pytest.raises(RuntimeError):
+        one_to_one(chain, "l", "r", "s", max_rounds=3)
