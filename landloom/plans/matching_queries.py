@@ -142,7 +142,10 @@ def fragment_families(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH s AS (SELECT case_ids[1] AS case_id, case_name, list_sort(list_distinct(list(land_core))) AS lands FROM search_results WHERE status = 'resolved' AND case_name IS NOT NULL GROUP BY 1, 2),
  h AS (SELECT a.case_id, b.case_id AS successor FROM s a JOIN s b ON a.case_name = b.case_name AND b.case_id > a.case_id AND list_has_all(b.lands, a.lands)) SELECT case_id, min(successor) AS successor FROM h GROUP BY 1 HAVING count(DISTINCT successor) = 1""")
 def superseding_cases(spark: SparkSession, d: str) -> DataFrame:
-    """The only later case of the same name that was found on all the lands of the earlier one."""
+    """The only later case of the same name that was found on all the lands of the earlier one.
+
+    A second id of a search is the first with a sub-number (``…-1``): the same case under the same heading, so it is no case of its own.
+    """
     s = table(spark, d, "search_results").where("status = 'resolved' and case_name is not null").groupBy(F.get("case_ids", F.lit(0)).alias("case_id"), "case_name").agg(F.collect_set("land_core").alias("lands"))
     return match.superseded(s, ["case_name"], "case_id", "lands")
 
