@@ -49,9 +49,9 @@ def name_identity(name: Column) -> Column:
 
 
 def stage_index(name: Column) -> Column:
-    """擬訂 0, 變更 1, the N-th change N, else -1."""
-    nth = _group(name, r"第([一二三四五六七八九十]+)次", 1)
-    return F.when(name.contains("變更"), F.coalesce(cn_to_int(nth), F.lit(1))).when(name.rlike("擬[訂定]"), 0).otherwise(-1)
+    """擬訂 0, 變更 1, the N-th change N, else -1; a name without white space begins with its stage."""
+    nth = _group(name, r"^變更\(第([一二三四五六七八九十]+)次\)", 1)
+    return F.when(name.startswith("變更"), F.coalesce(cn_to_int(nth), F.lit(1))).when(name.startswith("擬訂"), 0).otherwise(-1)
 
 
 def tracks(name: Column) -> Column:
@@ -69,9 +69,31 @@ def even_cell(c: Column) -> Column:
 
 
 def parcel_tokens(land: Column) -> Column:
-    """Distinct parcel numbers of a land cell: what stands between the section and the closing words."""
-    body = F.regexp_replace(F.regexp_replace(land, r"^.*段", ""), CLOSING, "")
-    return F.array_distinct(F.regexp_extract_all(body, F.lit(f"({PARCEL})"), F.lit(1)))
+    """Distinct parcel numbers of a land cell: what stands between the section and the closing words.
+
+    Bracketed notes hold no parcels of the cell, and leading zeros don't tell numbers apart.
+    """
+    plain = F.regexp_replace(land, r"\([^()]*\)", "")
+    body = F.regexp_replace(F.regexp_replace(plain, r"^.*段", ""), CLOSING, "")
+    found = F.regexp_extract_all(body, F.lit(f"({PARCEL})"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")))
+
+
+def cell_aliases(land: Column) -> Column:
+    """``parcel:alias`` texts of a land cell's notes on former numbers, as in 5地號(原12、13)."""
+    notes = F.regexp_extract_all(land, F.lit(rf"({PARCEL}地號\(原(?:核定地號為)?[^()]+\))"), F.lit(1))
+    each = F.transform(
+        notes,
+        lambda n: F.transform(
+            F.regexp_extract_all(F.substring_index(n, "(原", -1), F.lit(f"({PARCEL})"), F.lit(1)), lambda a: F.concat(F.regexp_extract(n, f"^0*({PARCEL})", 1), F.lit(":"), a)
+        ),
+    )
+    return F.array_distinct(F.flatten(each))
+
+
+def area_section(land: Column) -> Column:
+    """The lettered area a cell names, '' without one."""
+    return F.regexp_extract(land, r"\(([A-D甲乙丙丁])區段\)", 1)
 
 
 def has_closing(land: Column) -> Column:
@@ -82,6 +104,37 @@ def section_token(c: Column) -> Column:
     return _group(c, r"區([^0-9區]*段(?:[^0-9]*小段)?)", 1)
 
 
+def section_key(section: Column) -> Column:
+    """A section's name without the words for section and subsection and with its number as a numeral; spellings differ in these."""
+    return F.translate(F.regexp_replace(section, "[段小]", ""), "123456789", NUMERALS)
+
+
+#: District (optional), section, parcel and count of a searched land or a heading, without white space.
+PLACE = r"(?:([^市]{2}區))?([^0-9區市]+(?:[0-9]小段)?)([0-9]+(?:-[0-9]+)?)(?:地號)?(?:等([0-9]+)筆)?"
+STAGE_HEAD = r"^(擬[訂定]|變更(?:\(第[一二三四五六七八九十]+次\))?)"
+STAGE_TAIL = r"\((擬[訂定]|變更(?:\(第[一二三四五六七八九十]+次\))?)\)$"
+KINDS = {"概": "概要", "事": "事業計畫", "權": "權利變換"}
+
+
+def place(c: Column) -> Column:
+    """struct(dist, sec, first, cnt) of a searched land or a heading: the section as its key, '' where nothing is said."""
+    return F.struct(
+        F.regexp_extract(c, PLACE, 1).alias("dist"), section_key(F.regexp_extract(c, PLACE, 2)).alias("sec"), F.regexp_replace(F.regexp_extract(c, PLACE, 3), "^0+(?=[0-9])", "").alias("first"), _group(c, PLACE, 4).try_cast("bigint").alias("cnt")
+    )
+
+
+def heading_stage(name: Column) -> Column:
+    """The stage a case name says at its head, or in brackets at its end; null where it says none."""
+    w = F.coalesce(_group(name, STAGE_HEAD, 1), _group(name, STAGE_TAIL, 1))
+    nth = F.regexp_extract(w, "第([一二三四五六七八九十]+)次", 1)
+    return F.when(w.startswith("擬"), 0).when(nth != "", cn_to_int(nth)).when(w.isNotNull(), 1).cast("bigint")
+
+
+def kinds(name: Column) -> Column:
+    """The kinds of plan a name or track speaks of."""
+    return F.array_compact(F.array(*[F.when(name.contains(w), k) for k, w in KINDS.items()]))
+
+
 def land_core(district: Column, section: Column, parcel: Column, count: Column) -> Column:
     """district + section + first parcel + 地號, with the count where there is one."""
     return F.concat(F.coalesce(district, F.lit("")), section, parcel, F.lit("地號"), F.when(F.coalesce(count, F.lit(0)) > 0, F.concat(F.lit("等"), count.cast("string"), F.lit("筆"))).otherwise(""))
@@ -109,25 +162,35 @@ def carries_parcel(text: Column, parcel: Column) -> Column:
     return F.when(at(parcel), "exact").when(at(stem), "stem").otherwise("none")
 
 
+def parcel_set(parcels: Column, aliases: Column) -> Column:
+    """A record's parcels with the keys and values of its ``parcel:alias`` texts."""
+    return F.array_union(parcels, F.flatten(F.transform(aliases, lambda x: F.split(x, ":"))))
+
+
 def record_score(a: dict[str, Column], b: dict[str, Column]) -> Column:
     """Similarity of two approvals from anchor, place, first parcel, counts and parcel sets (0 to 1).
 
-    Each side has anchor, district, section, first, parcels, count, orig. The weights are fixed values: .35 for the
-    place, .2 for the first parcel, .3 for the parcels' overlap, .1 for the counts; without parcels the rest is
-    scaled to the weights that remain.
+    Each side has anchor, district, section, first, parcels, aliases, count, orig. The weights are fixed values: .35
+    for the place, .2 for the first parcel (1 equal, .95 bridged by an alias, .7 held by the other), .3 for the overlap
+    of the parcel sets, .1 for the counts; without parcels, or where a declared change of the count bridges the two,
+    the rest is scaled to the weights that remain.
     """
     said = lambda c: F.coalesce(c, F.lit("")) != ""
     number = lambda c: F.coalesce(c, F.lit(0))
-    fp = (
-        F.when(said(a["first"]) & (a["first"] == b["first"]), 1.0)
-        .when(said(a["first"]) & said(b["first"]) & (F.array_contains(b["parcels"], a["first"]) | F.array_contains(a["parcels"], b["first"])), 0.7)
-        .otherwise(0.0)
-    )
+    held = [parcel_set(x["parcels"], x["aliases"]) for x in (a, b)]
+    bridge = lambda x, y: F.array_contains(y["parcels"], y["first"]) & F.array_contains(y["aliases"], F.concat(y["first"], F.lit(":"), x["first"]))
+    fp = F.when(said(a["first"]) & said(b["first"]), (
+        F.when(a["first"] == b["first"], 1.0)
+        .when(bridge(a, b) | bridge(b, a), 0.95)
+        .when(F.array_contains(held[1], a["first"]) | F.array_contains(held[0], b["first"]), 0.7)
+    )).otherwise(0.0)
+    fp = F.coalesce(fp, F.lit(0.0))
     shrunk = (number(a["orig"]) > 0) & (number(a["orig"]) == number(b["count"])) | (number(b["orig"]) > 0) & (number(b["orig"]) == number(a["count"]))
-    cnt = F.when((number(a["count"]) > 0) & (number(a["count"]) == number(b["count"])), 1.0).when(shrunk, 0.8).otherwise(0.0)
-    both = (F.size(a["parcels"]) > 0) & (F.size(b["parcels"]) > 0)
-    jac = F.when(both, F.size(F.array_intersect(a["parcels"], b["parcels"])) / F.size(F.array_union(a["parcels"], b["parcels"]))).otherwise(0.0)
-    neither = (F.size(a["parcels"]) == 0) & (F.size(b["parcels"]) == 0)
+    counted = (number(a["count"]) > 0) & (number(b["count"]) > 0)
+    cnt = F.when(counted & (number(a["count"]) == number(b["count"])), 1.0).when(counted & shrunk, 0.8).otherwise(0.0)
+    both = (F.size(held[0]) > 0) & (F.size(held[1]) > 0)
+    jac = F.when(both, F.size(F.array_intersect(*held)) / F.size(F.array_union(*held))).otherwise(0.0)
+    neither = (F.size(held[0]) == 0) & (F.size(held[1]) == 0)
     return (
         F.when(said(a["anchor"]) & (a["anchor"] == b["anchor"]), 1.0)
         .when((a["district"] != b["district"]) | (a["section"] != b["section"]), 0.0)

@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.land import land_core, record_score
+from ..functions.land import land_core, parcel_set, record_score
 from ..runtime import discard, materialize
 
-SIDE = ["district", "section", "first", "parcels", "count", "orig", "anchor"]
+SIDE = ["district", "section", "first", "parcels", "aliases", "count", "orig", "anchor"]
 LINK, BORDER = 0.7, 0.5
 
 
@@ -34,8 +34,8 @@ def _sides(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def scored_pairs(reps: DataFrame) -> DataFrame:
-    """(a, b, score) with a < b of every pair of representatives that share a parcel in their section, or an anchor."""
-    tok = reps.select("recno", "district", "section", F.explode(F.array_distinct(F.concat("parcels", F.array("first")))).alias("t")).where("t != ''")
+    """(a, b, score) with a < b of every pair of representatives that share a present or former parcel in their section, or an anchor."""
+    tok = reps.select("recno", "district", "section", F.explode(F.array_union(parcel_set(F.col("parcels"), F.col("aliases")), F.array("first"))).alias("t")).where("t != ''")
     met = tok.select(F.col("recno").alias("a"), "district", "section", "t").join(tok.select(F.col("recno").alias("b"), "district", "section", "t"), ["district", "section", "t"])
     near = met.where("a < b").select("a", "b").distinct()
     named = reps.where("anchor != ''").select("recno", "anchor")

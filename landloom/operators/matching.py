@@ -73,15 +73,18 @@ def single_witness(overlap: DataFrame, left_key: str, right_key: str, evidence:
     return j.select(left_key, F.when(F.col("n") == 1, F.col("one")).otherwise(F.col("named")).alias(right_key), how.alias("how"))
 
 
-def gap_ids(held: DataFrame, stem: str, number: str, block: int = 1000) -> DataFrame:
-    """(``stem``, ``number``): numbers strictly between the lowest and highest of a stem that it doesn't hold.
+def gap_ranges(held: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """(``keys``, first, last): the ranges of numbers between two held ones that the key doesn't hold. As many rows as numbers at most, however wide the gaps."""
+    n = held.where(F.col(number).isNotNull()).select(*keys, F.col(number).cast("bigint").alias("_n")).distinct()
+    gaps = n.withColumn("_m", F.lead("_n").over(Window.partitionBy(*keys).orderBy("_n"))).where("_m - _n > 1")
+    return gaps.select(*keys, (F.col("_n") + 1).alias("first"), (F.col("_m") - 1).alias("last"))
 
-    Each gap lies between a held number and the next, and is written out in blocks, so a wide one makes no long array.
-    """
-    n = held.where(F.col(stem).isNotNull() & F.col(number).isNotNull()).select(stem, F.col(number).cast("bigint").alias("_n")).distinct()
-    gaps = n.withColumn("_m", F.lead("_n").over(Window.partitionBy(stem).orderBy("_n"))).where("_m - _n > 1")
-    starts = gaps.select(stem, "_m", F.explode(F.sequence(F.col("_n") + 1, F.col("_m") - 1, F.lit(block).cast("bigint"))).alias("_s"))
-    each = starts.select(stem, F.explode(F.sequence("_s", F.least(F.col("_s") + (block - 1), F.col("_m") - 1))).alias("_g"))
+
+def gap_ids(held: DataFrame, stem: str, number: str, block: int = 1000) -> DataFrame:
+    """(``stem``, ``number``): each number of ``gap_ranges``, written out in blocks, so a wide gap makes no long array. For narrow spans: a row a number."""
+    gaps = gap_ranges(held.where(F.col(stem).isNotNull()), [stem], number)
+    starts = gaps.select(stem, "last", F.explode(F.sequence("first", "last", F.lit(block).cast("bigint"))).alias("_s"))
+    each = starts.select(stem, F.explode(F.sequence("_s", F.least(F.col("_s") + (block - 1), F.col("last")))).alias("_g"))
     return each.select(stem, F.col("_g").cast(dict(held.dtypes)[number]).alias(number))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 
 def half_up(c: Column, places: int) -> Column:
     """Rounding that doesn't depend on the engine: half up after scaling."""
@@ -74,12 +76,28 @@ def longest_gap(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     return df.withColumn("_gap", sec - F.lag(sec).over(w)).groupBy(*keys).agg(F.max("_gap").alias("max_gap_s"), F.count("*").alias("n"))
 
 
+def _in_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` cut into ranges of (keys, order), numbered by ``_b``: a key with any share of the rows lies in many blocks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn("_b", F.spark_partition_id())
+    return materialize(ranged, "blocks")  # read by several branches, which must see the same ranges
+
+
 def islands(df: DataFrame, keys: list[str], order: list[str], what: str) -> DataFrame:
-    """Runs of equal ``what`` in order: (keys, island, what, n)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    step = df.withColumn("_s", F.when(F.lag(what).over(w).eqNullSafe(F.col(what)) & F.lag(F.lit(1)).over(w).isNotNull(), 0).otherwise(1))
-    numbered = step.withColumn("island", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "island", what).agg(F.count("*").alias("n"))
+    """Runs of equal ``what`` in order: (keys, island, what, n). Runs are found in blocks, which meet through their ends, one row a block."""
+    d = _in_blocks(df.select(*keys, *order, what), keys, order)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    step = d.withColumn("_s", F.when(F.lag(what).over(w).eqNullSafe(F.col(what)) & F.lag(F.lit(1)).over(w).isNotNull(), 0).otherwise(1))
+    run = step.withColumn("_r", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "_b", "_r", what).agg(F.count("*").alias("n"))
+    run = materialize(run, "runs")
+    ends = run.groupBy(*keys, "_b").agg(F.max("_r").alias("_n"), F.min_by(F.struct(what), "_r").alias("_first"), F.max_by(F.struct(what), "_r").alias("_last"))
+    over = Window.partitionBy(*keys).orderBy("_b")
+    ends = ends.withColumn("_joined", F.coalesce(F.lag("_last").over(over).eqNullSafe(F.col("_first")) & F.lag("_b").over(over).isNotNull(), F.lit(False)).cast("int"))
+    upto = over.rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.select(*keys, "_b", (F.sum("_n").over(upto) - F.col("_n") - F.sum("_joined").over(upto)).alias("_base"))
+    on = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*keys, "_b"]]
+    j = run.alias("x").join(ends.alias("y"), on).select(*[f"x.{k}" for k in keys], (F.col("_r") + F.col("_base")).alias("island"), f"x.{what}", "n")
+    return j.groupBy(*keys, "island", what).agg(F.sum("n").alias("n"))
 
 
 def changes_by_key(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
@@ -89,9 +107,15 @@ def changes_by_key(df: DataFrame, keys: list[str], order: list[str], value: str)
 
 
 def nearest_marked(df: DataFrame, keys: list[str], order: list[str], mark: Column, value: str) -> DataFrame:
-    """Each row with the nearest marked row's value above it, else below."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    v = F.when(mark, F.col(value))
-    above = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    below = F.first(v, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    return df.withColumn("nearest", F.coalesce(above, below))
+    """Each row with the nearest marked row's value above it, else below. Blocks hand their first and last marked value on, one row a block."""
+    d = _in_blocks(df.withColumn("_v", F.when(mark, F.col(value))), keys, order)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    last = lambda c, win: F.last(c, ignorenulls=True).over(win.rowsBetween(Window.unboundedPreceding, -1))
+    first = lambda c, win: F.first(c, ignorenulls=True).over(win.rowsBetween(1, Window.unboundedFollowing))
+    d2 = d.withColumns({"_above": last("_v", w), "_below": first("_v", w)})
+    at = F.when(F.col("_v").isNotNull(), F.struct(*order))
+    ends = d.groupBy(*keys, "_b").agg(F.min_by("_v", at).alias("_first"), F.max_by("_v", at).alias("_last"))
+    over = Window.partitionBy(*keys).orderBy("_b")
+    ends = ends.select(*keys, "_b", last("_last", over).alias("_before"), first("_first", over).alias("_after"))
+    on = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*keys, "_b"]]
+    return d2.alias("x").join(ends.alias("y"), on).select(*[f"x.{c}" for c in df.columns], F.coalesce("_above", "_before", "_below", "_after").alias("nearest"))

@@ -17,17 +17,18 @@ def effective(entries: DataFrame, key: str = "seq", supersedes: str = "supersede
 
 
 def field_values(entries: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """One row per key with the last value written to each field, and how many entries it came from."""
-    last = lambda f: F.max_by(F.when(F.col("field") == f, F.col("to_value")), F.when(F.col("field") == f, F.col("seq"))).alias(f)
+    """One row per key with the last value written to each field as ``new_<field>``, and how many entries it came from."""
+    last = lambda f: F.max_by(F.when(F.col("field") == f, F.col("to_value")), F.when(F.col("field") == f, F.col("seq"))).alias(f"new_{f}")
     return entries.groupBy(*keys).agg(*[last(f) for f in fields], F.count("*").alias("entries"))
 
 
 def apply_corrections(records: DataFrame, values: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """Records with the corrected fields in place of their own, and ``corrected``."""
-    v = values.select(*keys, *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_hit"))
+    v = values.select(*keys, *[F.col(f"new_{f}") for f in fields], F.lit(True).alias("_hit"))
     j = records.join(v, keys, "left")
     keep = [c for c in records.columns if c not in fields]
-    return j.select(*keep, *[F.coalesce(f"_{f}", f).alias(f) for f in fields], F.coalesce("_hit", F.lit(False)).alias("corrected"))
+    kinds = dict(records.dtypes)
+    return j.select(*keep, *[F.coalesce(F.col(f"new_{f}").try_cast(kinds[f]), f).alias(f) for f in fields], F.coalesce("_hit", F.lit(False)).alias("corrected"))
 
 
 def unmatched(values: DataFrame, records: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, land
@@ -13,39 +13,38 @@ from ..operators import matching as match
 from ..functions.text import SPACE, fold_width, nfkc, no_space
 from ..operators.cleanse import cleanse
 from ..operators.packed import land_items, split_items
-from ..runtime import table
-from .registry import AP, REL, approvals, query, releases
-
-SEARCH = r"""se AS (SELECT search_id, land_core, view_id, case_ids, nullif(regexp_extract(land_core, '區([^0-9區]*段[^0-9]*小段)([0-9]+)', 1), '') AS section, nullif(regexp_extract(land_core, '区?([^0-9區]*段[^0-9]*小段)([0-9]+)', 2), '') AS main, try_cast(chk_date AS DATE) AS day FROM search_results WHERE status = 'resolved' AND regexp_full_match(chk_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}'))"""
-
-
-def _search(spark: SparkSession, d: str) -> DataFrame:
-    pattern = r"區([^0-9區]*段[^0-9]*小段)([0-9]+)"
-    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date is not null")
-    return s.select("search_id", "land_core", "view_id", "case_ids", F.nullif(F.regexp_extract("land_core", pattern, 1), F.lit("")).alias("section"), dates.real_day(dates.clock_day(F.col("chk_date"), F.lit(None).cast("string"))).alias("day")).where("day is not null")
-
+from ..runtime import materialize, table
+from .registry import AP, CASES, PERMIT_PARCELS, REL, SPACES, UNITS, anywhere, approvals, cases, cell_unit, fold_sql, kinds_sql, permit_parcels, query, releases, squeeze_sql, strip0_sql, units
 
 TIERS = (
-    f"WITH {AP}, {SEARCH}, "
-    + """a AS (SELECT recno, section, try_cast(day AS DATE) AS day FROM ap WHERE day IS NOT NULL AND section <> ''), e AS (SELECT search_id, min(recno) AS recno, 1 AS tier FROM se JOIN a USING (section, day) GROUP BY search_id HAVING count(DISTINCT recno) = 1),
- n AS (SELECT search_id, min(recno) AS recno, 2 AS tier FROM se JOIN a ON a.section = se.section AND abs(a.day - se.day) <= 1 WHERE search_id NOT IN (SELECT search_id FROM e) GROUP BY search_id HAVING count(DISTINCT recno) = 1)"""
+    f"WITH {AP}, {UNITS}, {CASES}, "
+    + """h AS (SELECT search_id, recno, abs(cs.dt - a.dt) AS drift FROM cs JOIN un2 a ON a.dist = cs.dist AND a.sec = cs.sec AND a.dt BETWEEN cs.dt - 1 AND cs.dt + 1 WHERE cs.sec <> ''),
+ e AS (SELECT search_id, min(recno) AS recno, 1 AS tier FROM h WHERE drift = 0 GROUP BY search_id HAVING count(DISTINCT recno) = 1),
+ n AS (SELECT search_id, min(recno) AS recno, 2 AS tier FROM h WHERE search_id NOT IN (SELECT search_id FROM e) GROUP BY search_id HAVING count(DISTINCT recno) = 1)"""
 )
 
 
 @query(f"{TIERS} SELECT * FROM e UNION ALL SELECT * FROM n")
 def date_match_tiered(spark: SparkSession, d: str) -> DataFrame:
-    """The only approval of the section on the case's day, else within a day."""
-    a = approvals(spark, d, "recno", "section", "day").where("day is not null and section != ''").select("recno", "section", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
-    return match.by_date(_search(spark, d).where("section is not null"), a, ["section"], "search_id", "recno", "day", "a_day")
+    """The only approval of the district and section on the case's day, else within a day; a case that names no district meets the section's of all."""
+    a = anywhere(units(spark, d, "recno", "district", "section", "day").where("day is not null and sec != ''")).select("recno", "dist", "sec", dates.real_day(F.col("day")).alias("a_day"))
+    return match.by_date(cases(spark, d).where("sec != '' and dt is not null").select("search_id", "dist", "sec", "dt"), a, ["dist", "sec"], "search_id", "recno", "dt", "a_day")
 
 
-@query(f"WITH {AP}, a AS (SELECT recno, section, first, try_cast(day AS DATE) AS day FROM ap WHERE section <> ''), {SEARCH} SELECT search_id, recno, abs(a.day - se.day)::INTEGER AS drift FROM se JOIN a ON a.section = se.section AND contains(se.land_core, a.section || a.first || '地號') WHERE a.first <> '' AND abs(a.day - se.day) <= 10")
+@query(
+    f"""WITH {AP}, {UNITS}, {CASES}, j AS (SELECT DISTINCT search_id, recno, abs(a.dt - cs.dt)::INTEGER AS drift, cs.stage = a.stage_index AS alike FROM cs JOIN un2 a ON a.dist = cs.dist AND a.sec = cs.sec AND a.first = cs.first WHERE cs.sec <> '' AND cs.first <> '' AND abs(a.dt - cs.dt) <= 10),
+ e AS (SELECT search_id, min(recno) AS recno FROM j WHERE drift = 0 GROUP BY 1 HAVING count(DISTINCT recno) = 1), n AS (SELECT search_id, min(recno) AS recno FROM j WHERE alike AND search_id NOT IN (SELECT search_id FROM e) GROUP BY 1 HAVING count(DISTINCT recno) = 1)
+ SELECT search_id, recno, drift FROM j JOIN (SELECT * FROM e UNION ALL SELECT * FROM n) USING (search_id, recno)"""
+)
 def drift_range_join(spark: SparkSession, d: str) -> DataFrame:
-    """Case and approval of one land within ten days."""
-    a = approvals(spark, d, "recno", "section", "first", "day").where("section != '' and first != '' and day is not null").select("recno", "section", "first", F.try_to_date("day", "yyyy-MM-dd").alias("a_day"))
-    j = match.drift_join(_search(spark, d).where("section is not null"), a, ["section"], "day", "a_day", 10)
-    hit = j.where(F.contains("land_core", F.concat("section", "first", F.lit("地號"))))
-    return hit.select("search_id", "recno", F.abs(F.datediff("a_day", "day")).alias("drift"))
+    """The only approval of a case's land on its day, else the only one of its stage within ten days."""
+    a = anywhere(units(spark, d, "recno", "district", "section", "first", "stage_index", "day").where("sec != '' and first != '' and day is not null"))
+    a = a.select("recno", "dist", "sec", "first", "stage_index", dates.real_day(F.col("day")).alias("a_day")).where("a_day is not null")
+    c = cases(spark, d).where("sec != '' and first != '' and dt is not null").select("search_id", "dist", "sec", "first", "stage", "dt")
+    j = match.drift_join(c, a, ["dist", "sec", "first"], "dt", "a_day", 10).select("search_id", "recno", F.abs(F.datediff("a_day", "dt")).alias("drift"), (F.col("stage") == F.col("stage_index")).alias("alike"))
+    exact = match.unique_or_nothing(j.where("drift = 0"), ["search_id"], "recno")
+    near = match.unique_or_nothing(j.where("alike").join(exact, "search_id", "left_anti"), ["search_id"], "recno")
+    return j.drop("alike").join(exact.unionByName(near), ["search_id", "recno"])
 
 
 @query("WITH v AS (SELECT regexp_replace(land_core, '\\s+', '', 'g') AS core, min(view_id) AS view_id FROM search_results WHERE coalesce(view_id, '') <> '' GROUP BY 1 HAVING count(DISTINCT view_id) = 1), k AS (SELECT regexp_replace(land_core, '\\s+', '', 'g') AS core, min(c) AS case_id FROM search_results, unnest(case_ids) t(c) GROUP BY 1 HAVING count(DISTINCT c) = 1) SELECT project_id, coalesce(v.view_id, k.case_id) AS found, CASE WHEN v.view_id IS NOT NULL THEN 'view' WHEN k.case_id IS NOT NULL THEN 'case' ELSE 'none' END AS by FROM projects p LEFT JOIN v ON v.core = p.land_core LEFT JOIN k ON k.core = p.land_core")
@@ -59,23 +58,59 @@ def unique_lookup_chain(spark: SparkSession, d: str) -> DataFrame:
     return j.select("project_id", F.coalesce("view_id", "case_id").alias("found"), by.alias("by"))
 
 
-NAMES = r"""x AS (SELECT search_id, regexp_replace(case_name, '\s+', '', 'g') AS n1, regexp_replace(regexp_replace(case_name, '\s+', '', 'g'), '^(.*?)(臺北市|台北市)', '\1') AS n2 FROM search_results WHERE case_name IS NOT NULL),
- y AS (SELECT recno, regexp_replace(name, '\s+', '', 'g') AS n1, regexp_replace(regexp_replace(name, '\s+', '', 'g'), '^(.*?)(臺北市|台北市)', '\1') AS n2 FROM ap WHERE name IS NOT NULL)"""
+def _loose(c: Column) -> Column:
+    """A name without what differs between publications: counts' 等, former counts, the city, a closing 案."""
+    c = F.regexp_replace(F.replace(F.replace(F.replace(c, F.lit("擬定"), F.lit("擬訂")), F.lit("案及"), F.lit("及")), F.lit("權利變換案"), F.lit("權利變換計畫案")), r"\(原[^)]*\)|等|[臺台]北市", "")
+    return F.regexp_replace(c, "案$", "")
+
+
+LOOSE = lambda c: f"regexp_replace(regexp_replace(replace(replace(replace({c}, '擬定', '擬訂'), '案及', '及'), '權利變換案', '權利變換計畫案'), '\\(原[^)]*\\)|等|[臺台]北市', '', 'g'), '案$', '')"
+NAMES = f"""y AS (SELECT *, translate({squeeze_sql(fold_sql("name"))}, '劃ㄧ', '畫一') AS nm, {kinds_sql("track")} AS own FROM un), h AS (SELECT search_id, recno, 1 AS tier FROM cs JOIN y USING (nm) UNION ALL SELECT search_id, recno, 2 FROM cs JOIN y ON {LOOSE("cs.nm")} = {LOOSE("y.nm")}
+ UNION ALL SELECT search_id, y.recno, 3 FROM cs JOIN y ON cs.h_sec = y.sec AND cs.h_first = y.first AND cs.stage = y.stage_index AND (cs.h_dist = '' OR cs.h_dist = y.district) WHERE cs.h_sec <> '' AND cs.h_first <> '' AND list_has_all(cs.kinds, y.own)),
+ ti AS (SELECT DISTINCT search_id, recno, tier FROM h WHERE tier = (SELECT min(tier) FROM h g WHERE g.search_id = h.search_id))"""
+
+
+def _name_tiers(spark: SparkSession, d: str) -> DataFrame:
+    x = cases(spark, d).where("nm is not null").select("search_id", "nm", "h_dist", "h_sec", "h_first", "stage", "kinds")
+    name = land.normalize_name(fold_width(F.col("name")))
+    y = units(spark, d, "recno", "district", "section", "first", "stage_index", "track", "name").withColumns({"nm": name, "own": land.kinds(F.col("track"))}).drop("name")
+    exact = x.join(y.select("recno", "nm"), "nm")
+    loose = x.withColumn("n2", _loose(F.col("nm"))).join(y.select("recno", _loose(F.col("nm")).alias("n2")), "n2")
+    third = anywhere(y.where("sec != '' and first != ''"), alias="h_dist").select("recno", "h_dist", F.col("sec").alias("h_sec"), F.col("first").alias("h_first"), F.col("stage_index").alias("stage"), "own")
+    third = x.join(third, ["h_dist", "h_sec", "h_first", "stage"]).where(F.size(F.array_except("own", "kinds")) == 0)
+    return match.first_tier([t.select("search_id", "recno").distinct() for t in (exact, loose, third)], ["search_id"]).select("search_id", "recno", "tier")
 
 
-@query(f"WITH {AP}, {NAMES}, h AS (SELECT search_id, recno, 1 AS tier FROM x JOIN y USING (n1) UNION ALL SELECT search_id, recno, 2 FROM x JOIN y USING (n2)) SELECT DISTINCT search_id, recno, tier FROM h WHERE tier = (SELECT min(tier) FROM h g WHERE g.search_id = h.search_id)")
+@query(f"WITH {AP}, {UNITS}, {CASES}, {NAMES} SELECT search_id, recno, tier FROM ti")
 def name_tier_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Equal names first, else equal without the city."""
-    key = lambda c: F.regexp_replace(c, r"\s+", "")
-    loose = lambda c: F.regexp_replace(key(c), "^(.*?)(臺北市|台北市)", "$1")
-    x = table(spark, d, "search_results").where("case_name is not null").select("search_id", key("case_name").alias("n1"), loose("case_name").alias("n2"))
-    y = approvals(spark, d, "recno", "name").where("name is not null").select("recno", key("name").alias("n1"), loose("name").alias("n2"))
-    t = [x.join(y, n).select("search_id", "recno").distinct() for n in ("n1", "n2")]
-    return match.first_tier(t, ["search_id"]).select("search_id", "recno", "tier")
+    """Approvals of a case's name by the first tier that has any: equal names, loosely equal ones, equal stage and land with no kind of plan that the case lacks."""
+    return _name_tiers(spark, d)
 
 
-@query("""WITH c AS (SELECT raw_id, district, land FROM raw_records WHERE length(land) >= 12 AND NOT regexp_matches(trim(land), '(?:地號|土地|筆)$')), w AS (SELECT DISTINCT district, land FROM raw_records WHERE length(land) >= 12 AND regexp_matches(trim(land), '(?:地號|土地|筆)$'))
- SELECT raw_id, min(w.land) AS completed FROM c JOIN w ON w.district = c.district AND substr(w.land, 1, 12) = substr(c.land, 1, 12) AND starts_with(w.land, c.land) AND length(w.land) > length(c.land) GROUP BY raw_id""")
+@query(f"WITH {AP}, {UNITS}, {CASES}, {NAMES}, g AS (SELECT recno, tier, case_id, max(nm) AS nm FROM ti JOIN cs USING (search_id) WHERE case_id IS NOT NULL GROUP BY ALL), f AS (SELECT * FROM g WHERE tier = (SELECT min(tier) FROM g x WHERE x.recno = g.recno)), s AS (SELECT *, regexp_extract(nm, '\\(([A-D甲乙丙丁])區段?\\)', 1) AS area FROM f), n AS (SELECT recno, count(*) AS n, count(DISTINCT nullif(area, '')) AS areas FROM s GROUP BY 1) SELECT recno, case_id, tier FROM s JOIN n USING (recno) WHERE n = 1 OR areas = n")
+def bound_cases(spark: SparkSession, d: str) -> DataFrame:
+    """The case of each approval by name: the only one of its first tier, or all of them if each names an area of its own."""
+    c = cases(spark, d).where("case_id is not null").select("search_id", "case_id", "nm")
+    g = _name_tiers(spark, d).join(c, "search_id").groupBy("recno", "tier", "case_id").agg(F.max("nm").alias("nm"))
+    g = g.join(g.groupBy("recno").agg(F.min("tier").alias("tier")), ["recno", "tier"]).withColumn("area", F.nullif(F.regexp_extract("nm", r"\(([A-D甲乙丙丁])區段?\)", 1), F.lit("")))
+    n = g.groupBy("recno").agg(F.count("*").alias("n"), F.count_distinct("area").alias("areas")).where("n = 1 or areas = n")
+    return g.join(n, "recno").select("recno", "case_id", "tier")
+
+
+_CELL = lambda t: f"regexp_replace(regexp_replace({t}, '^[^0-9]*區', ''), '(?:{SPACES}|[、､,;/|及與])+', '、', 'g')"
+_PLACED = lambda name, source: rf"""{name}_a AS (SELECT *, {fold_sql("trim(land)")} AS t FROM {source}), {name}_b AS (SELECT *, {_CELL("t")} AS body FROM {name}_a),
+ {name} AS (SELECT * EXCLUDE (district), coalesce(nullif(trim(district), ''), nullif(regexp_extract(land, '(..區)', 1), '')) AS district, nullif(regexp_extract(body, '^([^0-9]*段(?:[^0-9]*小段)?)', 1), '') AS sec, regexp_replace(body, '\\([^()]*\\)', '', 'g') AS plain,
+ list_distinct(list_transform(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(body, '\\([^()]*\\)', '', 'g'), '^.*段', ''), '(?:地號|等[0-9]+筆|土地|\\s)+$', ''), '[0-9]+(?:-[0-9]+)?'), lambda x: regexp_replace(x, '^0+([0-9])', '\\1'))) AS seen,
+ list_transform(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(body, '\\([^()]*\\)', '', 'g'), '^.*段', ''), '(?:地號|等[0-9]+筆|土地|\\s)+$', ''), '[0-9]+(?:-[0-9]+)?'), lambda x: regexp_replace(x, '^0+([0-9])', '\\1'))[1] AS head FROM {name}_b)"""
+
+
+@query(
+    rf"""WITH {_PLACED("cut", "(SELECT raw_id, district, name, land FROM raw_records WHERE NOT regexp_matches(" + fold_sql("trim(land)") + ", '(?:地號|土地|筆)$'))")},
+ {_PLACED("whole", "(SELECT DISTINCT district, land FROM (SELECT district, land FROM raw_records UNION SELECT district, land FROM clean_records UNION SELECT district, land FROM release_records) WHERE regexp_matches(" + fold_sql("trim(land)") + ", '(?:地號|土地|筆)$'))")},
+ k AS (SELECT raw_id, district, sec, body, seen, try_cast(nullif(regexp_extract({fold_sql("trim(name)")}, '等\s*([0-9]+)\s*筆', 1), '') AS BIGINT) AS n,
+ CASE WHEN regexp_matches(plain, '段[^0-9]*[0-9]+(?:-[0-9]+)?[^0-9-]') THEN head ELSE coalesce(nullif(regexp_extract({fold_sql("trim(name)")}, '{land.NAME_PATTERN}', 3), ''), head) END AS head FROM cut)
+ SELECT raw_id, min(w.land) AS completed FROM k JOIN whole w ON w.district = k.district AND w.sec = k.sec AND w.head = k.head AND len(w.seen) = k.n WHERE starts_with(w.body, k.body) AND length(w.body) > length(k.body) AND list_has_all(w.seen, k.seen) GROUP BY raw_id"""
+)
 def prefix_completion(spark: SparkSession, d: str) -> DataFrame:
     """Open land cells completed from a closed one of the district, section and first parcel that they begin.
 
@@ -99,24 +134,24 @@ def prefix_completion(spark: SparkSession, d: str) -> DataFrame:
     return match.prefix_completion(cut, whole, ["district", "section", "first", "count"], "_body", "_seen", "raw_id", "land")
 
 
-TOK = """pt AS (SELECT project_id, section, unnest(member_recnos)::BIGINT AS recno FROM projects), lt AS (SELECT DISTINCT pt.project_id, ap.section, regexp_extract(p, '^[0-9]+') AS main FROM pt JOIN ap USING (recno), unnest(ap.parcels) t(p) WHERE ap.section <> ''),
- mt AS (SELECT DISTINCT permit_id, x.section AS section, x.mono AS main FROM permit_records, unnest(parcels) t(x) WHERE is_jianzi), sh AS (SELECT project_id, permit_id, count(*) AS shared FROM lt JOIN mt USING (section, main) GROUP BY ALL)"""
+TOK = rf"""pt AS (SELECT project_id, unnest(member_recnos)::BIGINT AS recno FROM projects), lt AS (SELECT DISTINCT pt.project_id, un2.dist, un2.sec, {strip0_sql("regexp_extract(p, '^[0-9]+')")} AS main FROM pt JOIN un2 USING (recno), unnest(un2.parcels) t(p) WHERE un2.sec <> ''),
+ {PERMIT_PARCELS}, sh AS (SELECT project_id, permit_id, count(*) AS shared FROM lt JOIN mt USING (dist, sec, main) WHERE is_jianzi GROUP BY ALL)"""
 
 
 def _overlap(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "projects").select("project_id", F.explode(F.col("member_recnos").cast("array<bigint>")).alias("recno"))
-    left = m.join(approvals(spark, d, "recno", "section", "parcels").where("section != ''").select("recno", "section", F.explode("parcels").alias("p")), "recno").select("project_id", "section", F.regexp_extract("p", "^([0-9]+)", 1).alias("main"))
-    right = table(spark, d, "permit_records").where("is_jianzi").select("permit_id", F.explode("parcels").alias("x")).select("permit_id", F.col("x.section").alias("section"), F.col("x.mono").alias("main"))
-    return match.best_overlap(left, right, "project_id", "permit_id", ["section", "main"])
+    a = anywhere(units(spark, d, "recno", "district", "section", "parcels").where("sec != ''")).select("recno", "dist", "sec", F.explode("parcels").alias("p"))
+    left = m.join(a, "recno").select("project_id", "dist", "sec", F.regexp_replace(F.regexp_extract("p", "^([0-9]+)", 1), "^0+(?=[0-9])", "").alias("main"))
+    return match.best_overlap(left, permit_parcels(table(spark, d, "permit_records").where("is_jianzi")), "project_id", "permit_id", ["dist", "sec", "main"])
 
 
-@query(f"WITH {AP}, {TOK} SELECT project_id, permit_id, shared FROM sh WHERE shared = (SELECT max(shared) FROM sh s WHERE s.project_id = sh.project_id)")
+@query(f"WITH {AP}, {UNITS}, {TOK} SELECT project_id, permit_id, shared FROM sh WHERE shared = (SELECT max(shared) FROM sh s WHERE s.project_id = sh.project_id)")
 def overlap_permits(spark: SparkSession, d: str) -> DataFrame:
     """The permits that share most parcels with a project, ties kept."""
     return _overlap(spark, d)
 
 
-@query(f"""WITH {AP}, {TOK}, b AS (SELECT project_id, permit_id FROM sh WHERE shared = (SELECT max(shared) FROM sh s WHERE s.project_id = sh.project_id)), e AS (SELECT permit_id FROM permit_records WHERE coalesce(construction_start, '') <> ''),
+@query(f"""WITH {AP}, {UNITS}, {TOK}, b AS (SELECT project_id, permit_id FROM sh WHERE shared = (SELECT max(shared) FROM sh s WHERE s.project_id = sh.project_id)), e AS (SELECT permit_id FROM permit_records WHERE coalesce(construction_start, '') <> ''),
  n AS (SELECT project_id, count(*) AS n, min(permit_id) AS one FROM b GROUP BY 1), w AS (SELECT project_id, min(permit_id) AS named FROM b JOIN e USING (permit_id) GROUP BY 1 HAVING count(DISTINCT permit_id) = 1)
  SELECT project_id, CASE WHEN n = 1 THEN one ELSE named END AS permit_id, CASE WHEN n = 1 THEN 'only' WHEN named IS NOT NULL THEN 'named' ELSE 'ambiguous' END AS how FROM n LEFT JOIN w USING (project_id)""")
 def permit_witness(spark: SparkSession, d: str) -> DataFrame:
@@ -150,39 +185,49 @@ def superseding_cases(spark: SparkSession, d: str) -> DataFrame:
     return match.superseded(s, ["case_name"], "case_id", "lands")
 
 
-VOTES = f"WITH {REL}, f AS (SELECT k, district || '|' || regexp_extract(land, '(.{{0,4}}段.小段[0-9]+)', 1) AS unit, name FROM rel), v AS (SELECT a.k, a.unit AS old_unit, b.unit AS new_unit, count(*) AS votes FROM (SELECT DISTINCT * FROM f) a JOIN (SELECT DISTINCT k - 1 AS k, unit, name FROM f) b USING (k, name) GROUP BY ALL)"
+VOTES = f"WITH {REL}, f AS (SELECT k, unit, name FROM rel WHERE unit IS NOT NULL), v AS (SELECT a.k, a.unit AS old_unit, b.unit AS new_unit, count(*) AS votes FROM (SELECT DISTINCT * FROM f) a JOIN (SELECT DISTINCT k - 1 AS k, unit, name FROM f) b USING (k, name) GROUP BY ALL)"
+
+
+def _printed(spark: SparkSession, d: str) -> DataFrame:
+    """The printed rows that name a unit."""
+    return releases(spark, d, *cell_unit()).where("unit is not null")
 
 
 @query(f"{VOTES} SELECT k, old_unit, new_unit, votes FROM v")
 def alias_votes(spark: SparkSession, d: str) -> DataFrame:
-    """Names that a unit of one release shares with a unit of the next."""
-    f = releases(spark, d).select("k", F.concat("district", F.lit("|"), F.regexp_extract("land", "(.{0,4}段.小段[0-9]+)", 1)).alias("unit"), "name")
+    """Names that a unit of one release shares with a unit of the next; a cell that names no parcel is no unit."""
+    f = _printed(spark, d).select("k", "unit", "name")
     old = f.select(F.struct("k", "unit").alias("old"), "k", "name")
     new = f.select(F.struct("unit").alias("new"), (F.col("k") - 1).alias("k"), "name")
     return match.votes(old, new, "old", "new", ["k", "name"]).select("old.k", F.col("old.unit").alias("old_unit"), F.col("new.unit").alias("new_unit"), "votes")
 
 
-@query(f"{VOTES}, t AS (SELECT k, old_unit, max(votes) AS m FROM v GROUP BY ALL) SELECT v.k, v.old_unit, min(new_unit) AS new_unit FROM v JOIN t ON v.k = t.k AND v.old_unit = t.old_unit AND votes = m GROUP BY ALL HAVING count(DISTINCT new_unit) = 1")
+@query(
+    f"""{VOTES}, t AS (SELECT k, old_unit, max(votes) AS m FROM v GROUP BY ALL), u1 AS (SELECT v.k, v.old_unit, min(new_unit) AS new_unit FROM v JOIN t ON v.k = t.k AND v.old_unit = t.old_unit AND votes = m GROUP BY ALL HAVING count(DISTINCT new_unit) = 1),
+ c1 AS (SELECT k, arg_min(old_unit, (old_unit <> new_unit, old_unit)) AS old_unit, new_unit FROM u1 GROUP BY k, new_unit), s AS (SELECT DISTINCT k, district, sec, unit, list_sort(tokens) AS tokens FROM rel WHERE unit IS NOT NULL),
+ held AS (SELECT k, district, sec, unit, list_distinct(flatten(list(tokens))) AS p FROM s GROUP BY ALL), rest AS (SELECT * FROM held h WHERE k < (SELECT max(k) FROM rel) AND NOT EXISTS (SELECT 1 FROM v WHERE v.k = h.k AND v.old_unit = h.unit)),
+ j AS (SELECT a.k, a.unit AS old_unit, b.unit AS new_unit, max(round(len(list_intersect(a.p, b.tokens))::DOUBLE / len(list_distinct(list_concat(a.p, b.tokens))), 9)) AS score FROM rest a JOIN s b ON b.k = a.k + 1 AND b.district = a.district AND b.sec = a.sec GROUP BY ALL),
+ j5 AS (SELECT * FROM j WHERE score >= 0.5), u2 AS (SELECT k, old_unit, min(new_unit) AS new_unit FROM j5 WHERE score = (SELECT max(score) FROM j5 x WHERE x.k = j5.k AND x.old_unit = j5.old_unit) GROUP BY k, old_unit HAVING count(DISTINCT new_unit) = 1),
+ c2 AS (SELECT k, arg_min(old_unit, (old_unit <> new_unit, old_unit)) AS old_unit, new_unit FROM u2 GROUP BY k, new_unit)
+ SELECT k, old_unit, new_unit FROM c1 UNION ALL SELECT k, old_unit, new_unit FROM c2 WHERE NOT EXISTS (SELECT 1 FROM c1 WHERE c1.k = c2.k AND c1.new_unit = c2.new_unit)"""
+)
 def unit_aliases(spark: SparkSession, d: str) -> DataFrame:
     """The only best-voted successor of each unit; without any vote the only one of the section that shares most parcels, half at least.
 
     A new unit is taken once: by names before parcels, by the unit that keeps its name first, then in the order of the old units.
     A unit with several best successors, or whose best is taken, has no alias.
     """
-    v = alias_votes(spark, d).select(F.struct("k", "old_unit").alias("o"), "new_unit", "votes")
+    v = materialize(alias_votes(spark, d).select(F.struct("k", "old_unit").alias("o"), "new_unit", "votes"), "votes")
     claim = lambda t: match.claimed_once(t.select("o.k", "o.old_unit", "new_unit"), ["k"], "old_unit", "new_unit", [F.col("old_unit") != F.col("new_unit"), F.col("old_unit")])
     named = claim(match.unique_top(v, "o", "new_unit", "votes"))
-    body = F.regexp_replace(no_space(fold_width(F.regexp_replace("land", rf"[{SPACE}]+", "、"))), r"\([^()]*\)", "")
-    section = F.replace(F.regexp_extract(body, "(?:區|^)、?([^0-9區]*段(?:[^0-9]*小段)?)", 1), F.lit("、"), F.lit(""))
-    f = releases(spark, d, section.alias("sec"), land.parcel_tokens(body).alias("parcels")).withColumn("unit", F.concat("district", F.lit("|"), F.regexp_extract("land", "(.{0,4}段.小段[0-9]+)", 1)))
-    f = f.where("sec != '' and unit rlike '[0-9]$' and size(parcels) > 0").select("k", "district", "sec", "unit", "parcels").distinct()
-    cur = f.groupBy("k").agg(F.lit(1).alias("_")).select((F.col("k") - 1).alias("k"))
-    old = f.join(cur, "k", "left_semi").join(v.select("o.k", F.col("o.old_unit").alias("unit")).distinct(), ["k", "unit"], "left_anti")
-    old = old.groupBy("k", "unit").agg(F.collect_set(F.struct("district", "sec")).alias("at"), F.array_distinct(F.flatten(F.collect_set("parcels"))).alias("parcels"))
-    a = old.select(F.struct("k", F.col("unit").alias("old_unit")).alias("o"), "k", F.explode("at").alias("at"), "parcels").select("o", "k", "at.*", "parcels")
+    f = materialize(_printed(spark, d).select("k", "district", "sec", "unit", F.array_sort("tokens").alias("parcels")).distinct(), "cells")
+    last = f.agg(F.max("k")).first()[0] or 0
+    old = f.where(F.col("k") < last).join(v.select("o.k", F.col("o.old_unit").alias("unit")).distinct(), ["k", "unit"], "left_anti")
+    old = old.groupBy("k", "district", "sec", "unit").agg(F.array_distinct(F.flatten(F.collect_set("parcels"))).alias("parcels"))
+    a = old.select(F.struct("k", F.col("unit").alias("old_unit")).alias("o"), "k", "district", "sec", "parcels")
     b = f.select((F.col("k") - 1).alias("k"), "district", "sec", F.struct("unit", "parcels").alias("n"))
     j = a.withColumn("p", F.explode("parcels")).join(b.withColumn("p", F.explode("n.parcels")), ["k", "district", "sec", "p"])
-    j = j.groupBy("o", "district", "sec", "n").agg(F.count("*").alias("both"), F.first(F.size("parcels") + F.size("n.parcels")).alias("all"))
+    j = j.groupBy("o", "n").agg(F.count("*").alias("both"), F.first(F.size("parcels") + F.size("n.parcels")).alias("all"))
     near = j.select("o", F.col("n.unit").alias("new_unit"), F.round(F.col("both") / (F.col("all") - F.col("both")), 9).alias("score")).where("score >= 0.5")
     near = near.groupBy("o", "new_unit").agg(F.max("score").alias("score"))
     like = claim(match.unique_top(near, "o", "new_unit", "score"))

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, land
+from ..functions.text import fold_width
 from ..operators import matching as match
 from ..operators import measures, quality
 from ..operators import publication as pub
 from ..runtime import table
-from .registry import AP, REL, approvals, query, releases
+from .registry import AP, REL, approvals, cells_sql, fold_sql, query, releases, squeeze_sql
 
 PAIRED = (
     f"WITH {REL}, "
@@ -150,11 +151,13 @@ def archive_index(spark: SparkSession, d: str) -> DataFrame:
  SELECT k, CASE WHEN p.h IS NULL THEN 'new' WHEN p.h = x.h THEN 'same' ELSE 'reuploaded' END AS kind, count(*) AS n FROM x LEFT JOIN (SELECT k + 1 AS k, land, h FROM x) p USING (k, land) GROUP BY ALL"""
 )
 def offer_classes(spark: SparkSession, d: str) -> DataFrame:
-    """Each land's content against the release before, by digest."""
-    r = releases(spark, d).select("k", "land", F.concat(F.coalesce("day", F.lit("-")), F.lit(":"), "name").alias("v"))
-    x = r.groupBy("k", "land").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("v")), "|"), 256).alias("h"))
-    p = x.select((F.col("k") + 1).alias("k"), "land", F.col("h").alias("ph"))
-    kind = F.when(F.col("ph").isNull(), "new").when(F.col("ph") == F.col("h"), "same").otherwise("reuploaded")
+    """Each land's content (days and names, with repeats) against the release before, by digest."""
+    v = F.struct("day", "name")
+    # A multiset's digest: count and two sums of hashes, so no land's rows are gathered.
+    x = releases(spark, d).groupBy("k", "land").agg(F.count("*").alias("n"), *[F.sum(F.xxhash64(F.lit(i), v).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)])
+    h = F.struct("n", "h1", "h2")
+    p = x.select((F.col("k") + 1).alias("k"), "land", h.alias("ph"))
+    kind = F.when(F.col("ph").isNull(), "new").when(F.col("ph") == h, "same").otherwise("reuploaded")
     return x.join(p, ["k", "land"], "left").groupBy("k", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
@@ -191,18 +194,15 @@ def shifted_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"WITH {AP} SELECT recno, CASE WHEN contains(name, '變更') THEN CASE WHEN regexp_matches(name, '第[一二三四五六七八九]次') THEN strpos('一二三四五六七八九', regexp_extract(name, '第([一二三四五六七八九])次', 1)) ELSE 1 END WHEN regexp_matches(name, '擬[訂定]') THEN 0 ELSE -1 END::INTEGER AS stage, concat_ws('、', CASE WHEN contains(n, '事業概要') THEN '事業概要' END, CASE WHEN contains(n, '事業計畫') THEN '事業計畫' END, CASE WHEN contains(n, '權利變換') THEN '權利變換' END) AS tracks FROM (SELECT *, translate(regexp_replace(name, '\\s+', '', 'g'), '劃ㄧ', '畫一') AS n FROM ap)"
+    f"WITH {AP}, x AS (SELECT recno, translate({squeeze_sql(fold_sql('name'))}, '劃ㄧ', '畫一') AS n FROM ap) SELECT recno, CASE WHEN regexp_matches(n, '^變更\\(第[一二三四五六七八九]次\\)') THEN strpos('一二三四五六七八九', substr(n, 5, 1)) WHEN starts_with(n, '變更') THEN 1 WHEN starts_with(n, '擬訂') THEN 0 ELSE -1 END::INTEGER AS stage, concat_ws('、', CASE WHEN contains(n, '事業概要') THEN '事業概要' END, CASE WHEN contains(n, '事業計畫') THEN '事業計畫' END, CASE WHEN contains(n, '權利變換') THEN '權利變換' END) AS tracks FROM x"
 )
 def stages_and_tracks(spark: SparkSession, d: str) -> DataFrame:
-    """F05, F10, F11 on names without full-width digits' folding, which stages and tracks don't need."""
-    n = land.normalize_name(F.col("name"))
-    return approvals(spark, d, "recno", "name").select("recno", land.stage_index(F.col("name")).cast("int").alias("stage"), land.tracks(n).alias("tracks"))
+    """F05, F10, F11 on names in half width."""
+    n = land.normalize_name(fold_width(F.col("name")))
+    return approvals(spark, d, "recno", "name").select("recno", land.stage_index(n).cast("int").alias("stage"), land.tracks(n).alias("tracks"))
 
 
-@query(
-    r"""SELECT raw_id, len(list_distinct(regexp_extract_all(regexp_replace(regexp_replace(land, '^.*段', ''), '(?:地號|等[0-9]+筆|土地|\s)+$', ''), '[0-9]+(?:-[0-9]+)?'))) AS tokens, regexp_matches(trim(land), '(?:地號|土地|筆)$') AS closed,
- try_cast(nullif(regexp_extract(name, '等\s*([0-9]+)\s*筆', 1), '') AS INT) AS declared FROM raw_records WHERE land IS NOT NULL AND NOT regexp_matches(land, '[\n\r　]')"""
-)
+@query(f"WITH {cells_sql('c', 'SELECT raw_id, name, land FROM raw_records WHERE land IS NOT NULL')} SELECT raw_id, len(tokens) AS tokens, regexp_matches(trim(even), '(?:地號|土地|筆)$') AS closed, try_cast(nullif(regexp_extract(name, '等\\s*([0-9]+)\\s*筆', 1), '') AS INT) AS declared FROM c")
 def land_cell_counts(spark: SparkSession, d: str) -> DataFrame:
     """Parcels a cell shows, whether it closes, and the count its name declares."""
     r = table(spark, d, "raw_records").where("land is not null").withColumn("_cell", land.even_cell(F.col("land")))
@@ -229,38 +229,59 @@ def project_id_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"WITH {AP}, e AS (SELECT section, day, recno, row_number() OVER (PARTITION BY section ORDER BY day, recno) AS r, stage_index FROM ap WHERE day IS NOT NULL), s AS (SELECT *, CASE WHEN lag(stage_index) OVER w = stage_index THEN 0 ELSE 1 END AS st FROM e WINDOW w AS (PARTITION BY section ORDER BY day, recno)), i AS (SELECT *, sum(st) OVER (PARTITION BY section ORDER BY day, recno) AS island FROM s) SELECT section, island::BIGINT AS island, stage_index, count(*) AS n FROM i GROUP BY ALL"
+    f"WITH {AP}, e AS (SELECT district, section, day, recno, stage_index FROM ap WHERE day IS NOT NULL), s AS (SELECT *, CASE WHEN lag(stage_index) OVER w = stage_index THEN 0 ELSE 1 END AS st FROM e WINDOW w AS (PARTITION BY district, section ORDER BY day, recno)), i AS (SELECT *, sum(st) OVER (PARTITION BY district, section ORDER BY day, recno) AS island FROM s) SELECT district, section, island::BIGINT AS island, stage_index, count(*) AS n FROM i GROUP BY ALL"
 )
 def stage_islands(spark: SparkSession, d: str) -> DataFrame:
     """Runs of one stage in a section's order of days."""
-    a = approvals(spark, d, "recno", "section", "day", "stage_index").where("day is not null")
-    return measures.islands(a, ["section"], ["day", "recno"], "stage_index")
+    a = approvals(spark, d, "recno", "district", "section", "day", "stage_index").where("day is not null")
+    return measures.islands(a, ["district", "section"], ["day", "recno"], "stage_index")
 
 
 @query(
-    f"WITH {AP} SELECT recno, coalesce(last_value(CASE WHEN stage_index = 0 THEN recno END IGNORE NULLS) OVER (PARTITION BY section ORDER BY day, recno ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), first_value(CASE WHEN stage_index = 0 THEN recno END IGNORE NULLS) OVER (PARTITION BY section ORDER BY day, recno ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS nearest FROM ap WHERE day IS NOT NULL"
+    f"WITH {AP} SELECT recno, coalesce(last_value(CASE WHEN stage_index = 0 THEN recno END IGNORE NULLS) OVER (PARTITION BY district, section ORDER BY day, recno ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), first_value(CASE WHEN stage_index = 0 THEN recno END IGNORE NULLS) OVER (PARTITION BY district, section ORDER BY day, recno ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS nearest FROM ap WHERE day IS NOT NULL"
 )
 def branch_points(spark: SparkSession, d: str) -> DataFrame:
     """The nearest first-stage approval above each row of a section's timeline, else below."""
-    a = approvals(spark, d, "recno", "section", "day", "stage_index").where("day is not null")
-    return measures.nearest_marked(a, ["section"], ["day", "recno"], F.col("stage_index") == 0, "recno").select("recno", "nearest")
+    a = approvals(spark, d, "recno", "district", "section", "day", "stage_index").where("day is not null")
+    return measures.nearest_marked(a, ["district", "section"], ["day", "recno"], F.col("stage_index") == 0, "recno").select("recno", "nearest")
 
 
 @query(
-    f"WITH {AP}, x AS (SELECT section, day, recno, implementer, lag(implementer) OVER w AS p, row_number() OVER w AS r FROM ap WHERE day IS NOT NULL WINDOW w AS (PARTITION BY section, first ORDER BY day, recno)) SELECT recno, implementer FROM x WHERE r = 1 OR p IS DISTINCT FROM implementer"
+    f"WITH {AP}, x AS (SELECT section, day, recno, implementer, lag(implementer) OVER w AS p, row_number() OVER w AS r FROM ap WHERE day IS NOT NULL WINDOW w AS (PARTITION BY district, section, first ORDER BY day, recno)) SELECT recno, implementer FROM x WHERE r = 1 OR p IS DISTINCT FROM implementer"
 )
 def implementer_changes(spark: SparkSession, d: str) -> DataFrame:
     """Records whose implementer differs from the unit's record before."""
-    a = approvals(spark, d, "recno", "section", "first", "day", "implementer").where("day is not null")
-    return measures.changes_by_key(a, ["section", "first"], ["day", "recno"], "implementer").select("recno", "implementer")
+    a = approvals(spark, d, "recno", "district", "section", "first", "day", "implementer").where("day is not null")
+    return measures.changes_by_key(a, ["district", "section", "first"], ["day", "recno"], "implementer").select("recno", "implementer")
 
 
 @query(
-    """WITH p AS (SELECT permit_no, unnest(parcels) AS x, permit_id FROM permit_records), u AS (SELECT permit_id, x.section AS section, try_cast(x.mono AS BIGINT) AS n FROM p WHERE x.section IS NOT NULL AND try_cast(x.mono AS BIGINT) IS NOT NULL),
- s AS (SELECT permit_id, section, min(n) AS lo, max(n) AS hi FROM u GROUP BY ALL) SELECT permit_id, section, n FROM (SELECT permit_id, section, unnest(generate_series(lo + 1, hi - 1)) AS n FROM s WHERE hi - lo BETWEEN 2 AND 100) EXCEPT SELECT permit_id, section, n FROM u"""
+    """WITH u AS (SELECT DISTINCT permit_id, x.section AS section, try_cast(x.mono AS BIGINT) AS n FROM permit_records, unnest(parcels) t(x) WHERE x.section IS NOT NULL AND try_cast(x.mono AS BIGINT) IS NOT NULL),
+ g AS (SELECT *, lead(n) OVER (PARTITION BY permit_id, section ORDER BY n) AS m FROM u) SELECT permit_id, section, n + 1 AS from_n, m - 1 AS to_n FROM g WHERE m - n > 1"""
 )
 def parcel_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """J11a on permits: numbers inside a permit's span that it doesn't hold, however wide the span is."""
+    """J11a on permits: the numbers inside a permit's span that it doesn't hold, as ranges, however wide the span is."""
     u = table(spark, d, "permit_records").select("permit_id", F.explode("parcels").alias("x")).select("permit_id", F.col("x.section").alias("section"), F.col("x.mono").try_cast("bigint").alias("n")).where("section is not null and n is not null")
-    g = match.gap_ids(u.withColumn("k", F.struct("permit_id", "section")), "k", "n")
-    return g.select("k.permit_id", "k.section", "n")
+    return match.gap_ranges(u, ["permit_id", "section"], "n").withColumnsRenamed({"first": "from_n", "last": "to_n"})
+
+
+@query(
+    """WITH c AS (SELECT DISTINCT unnest(case_ids) AS id FROM search_results), s AS (SELECT DISTINCT substr(id, 1, length(id) - 1) AS stem, substr(id, length(id)) AS digit FROM c WHERE regexp_full_match(id, '[0-9]+')),
+ g AS (SELECT stem, digit::INT AS d, lead(digit::INT) OVER (PARTITION BY stem ORDER BY digit::INT) AS m FROM s) SELECT stem || n AS case_id FROM g, unnest(generate_series(d + 1, m - 1)) t(n) WHERE m - d > 1"""
+)
+def sibling_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Ids between the lowest and highest held digit of a stem that no search holds; at most eight a stem."""
+    c = table(spark, d, "search_results").select(F.explode("case_ids").alias("id")).where("id rlike '^[0-9]+$'")
+    held = c.select(F.expr("substr(id, 1, length(id) - 1)").alias("stem"), F.expr("cast(substr(id, -1) as int)").alias("digit"))
+    return match.gap_ids(held, "stem", "digit").select(F.concat("stem", F.col("digit").cast("string")).alias("case_id"))
+
+
+@query(
+    """WITH c AS (SELECT DISTINCT unnest(case_ids) AS id FROM search_results), s AS (SELECT DISTINCT substr(id, 1, length(id) - 1) AS stem FROM c WHERE regexp_full_match(id, '[0-9]+')) SELECT stem || n AS case_id FROM s, unnest(generate_series(0, 9)) t(n) WHERE stem || n NOT IN (SELECT id FROM c WHERE id IS NOT NULL)"""
+)
+def probe_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The ids of a stem, last digit 0 to 9, that are still unknown."""
+    c = table(spark, d, "search_results").select(F.explode("case_ids").alias("case_id")).where("case_id rlike '^[0-9]+$'").distinct()
+    stems = c.select(F.expr("substr(case_id, 1, length(case_id) - 1)").alias("stem")).distinct()
+    want = stems.select("stem", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("n")).select(F.concat("stem", F.col("n").cast("string")).alias("case_id"))
+    return want.join(c, "case_id", "left_anti")

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, land
+from ..functions import land
 from ..operators import matching as match
 from ..operators.intervals import merged, uncovered
 from ..runtime import table
-from .registry import AP, REL, approvals, query, releases
+from .registry import AP, CASES, REL, anywhere, approvals, cases, cell_unit, cells_sql, kinds_sql, query, releases, section_key_sql
 
-TOKENS = r"len(list_distinct(regexp_extract_all(regexp_replace(regexp_replace(land, '^.*段', ''), '(?:地號|等[0-9]+筆|土地|\s)+$', ''), '[0-9]+(?:-[0-9]+)?')))"
-
-
-@query(f"SELECT release_id, district, nullif(regexp_extract(land, '區([^0-9區]*段(?:[^0-9]*小段)?)', 1), '') AS section, count(*) AS cells, max({TOKENS}) AS most FROM release_records WHERE NOT regexp_matches(land, '[\\n\\r　]') GROUP BY ALL")
+@query(f"WITH {cells_sql('c', 'SELECT release_id, district, land FROM release_records')} SELECT release_id, district, sec AS section, count(*) AS cells, max(coalesce(len(tokens), 0)) AS most FROM c GROUP BY ALL")
 def candidate_corpus(spark: SparkSession, d: str) -> DataFrame:
     """The cells that may complete others, by publication and section; width and spacing don't tell cells apart."""
     r = table(spark, d, "release_records").withColumn("_cell", land.even_cell(F.col("land")))
@@ -22,23 +19,23 @@ def candidate_corpus(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy("release_id", "district", land.section_token(F.col("_cell")).alias("section")).agg(F.count("*").alias("cells"), F.max(size).alias("most"))
 
 
-CASE = r"""s AS (SELECT regexp_extract(case_name, '區(.*?段.小段)', 1) AS section, regexp_extract(case_name, '小段([0-9]+(?:-[0-9]+)?)地號', 1) AS first, try_cast(nullif(regexp_extract(case_name, '等([0-9]+)筆', 1), '') AS BIGINT) AS "count",
- CASE WHEN starts_with(case_name, '擬訂') THEN 0 WHEN starts_with(case_name, '變更(第') THEN strpos('一二三四五六七八九', substr(case_name, 5, 1)) WHEN starts_with(case_name, '變更') THEN 1 END::BIGINT AS stage_index, chk_date FROM search_results WHERE status = 'resolved' AND regexp_full_match(chk_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}'))"""
-
-
-@query(f"WITH {AP}, {CASE} SELECT ap.recno, min(chk_date) AS day FROM ap JOIN s USING (section, first, \"count\", stage_index) WHERE ap.day IS NULL AND ap.section <> '' AND ap.first <> '' GROUP BY ap.recno HAVING count(DISTINCT chk_date) = 1")
+@query(
+    f"""WITH {AP}, {CASES}, u AS (SELECT *, {section_key_sql("section")} AS sec, {kinds_sql("track")} AS own FROM ap WHERE day IS NULL AND section <> '' AND first <> '')
+ SELECT u.recno, min(cs.day) AS day FROM u JOIN cs ON cs.h_sec = u.sec AND cs.h_first = u.first AND (cs.h_dist = '' OR cs.h_dist = u.district) WHERE cs.day IS NOT NULL AND (cs.cnt IS NULL OR u."count" = 0 OR cs.cnt = u."count") AND (cs.stage IS NULL OR u.stage_index < 0 OR cs.stage = u.stage_index)
+ AND (len(cs.kinds) = 0 OR len(u.own) = 0 OR list_sort(cs.kinds) = list_sort(u.own)) GROUP BY u.recno HAVING count(DISTINCT cs.day) = 1"""
+)
 def recovered_days(spark: SparkSession, d: str) -> DataFrame:
-    """An undated record takes its day from the cases of its unit, count and stage, if they agree on one."""
-    n = F.col("case_name")
-    stage = F.when(n.startswith("擬訂"), 0).when(n.startswith("變更(第"), F.instr(F.lit(land.NUMERALS), F.substring(n, 5, 1))).when(n.startswith("變更"), 1)
-    s = table(spark, d, "search_results").where("status = 'resolved' and chk_date is not null").select(
-        F.regexp_extract(n, "區(.*?段.小段)", 1).alias("section"), F.regexp_extract(n, "小段([0-9]+(?:-[0-9]+)?)地號", 1).alias("first"), F.nullif(F.regexp_extract(n, "等([0-9]+)筆", 1), F.lit("")).try_cast("bigint").alias("count"), stage.cast("bigint").alias("stage_index"), dates.clock_day(F.col("chk_date"), F.lit(None).cast("string")).alias("day")
-    ).where("day is not null")
-    a = approvals(spark, d, "recno", "day", "section", "first", "count", "stage_index").where("day is null and section != '' and first != ''").select("recno", "section", "first", "count", "stage_index")
-    return match.unique_or_nothing(a.join(s, ["section", "first", "count", "stage_index"]).select("recno", "day"), ["recno"], "day")
+    """An undated record takes its day from the cases of its unit whose count, stage and kinds of plan don't differ, if they agree on one day."""
+    a = approvals(spark, d, "recno", "day", "district", "section", "first", "count", "stage_index", "track").where("day is null and section != '' and first != ''")
+    a = anywhere(a, alias="h_dist").select("recno", "h_dist", land.section_key(F.col("section")).alias("h_sec"), F.col("first").alias("h_first"), "count", "stage_index", land.kinds(F.col("track")).alias("own"))
+    j = a.join(cases(spark, d).where("day is not null").select("h_dist", "h_sec", "h_first", "cnt", "stage", "kinds", "day"), ["h_dist", "h_sec", "h_first"])
+    alike = lambda x, y, unknown: unknown | (F.col(x) == F.col(y))
+    kinds = (F.size("kinds") == 0) | (F.size("own") == 0) | (F.array_sort("kinds") == F.array_sort("own"))
+    j = j.where(alike("cnt", "count", F.col("cnt").isNull() | (F.col("count") == 0)) & alike("stage", "stage_index", F.col("stage").isNull() | (F.col("stage_index") < 0)) & kinds)
+    return match.unique_or_nothing(j, ["recno"], "day")
 
 
-UNITS = f"WITH {REL}, f AS (SELECT DISTINCT k, district || '|' || regexp_extract(land, '(.{{0,4}}段.小段[0-9]+)', 1) AS unit, name FROM rel), p AS (SELECT DISTINCT k, unit FROM f)"
+UNITS = f"WITH {REL}, f AS (SELECT DISTINCT k, unit, name FROM rel WHERE unit IS NOT NULL), p AS (SELECT DISTINCT k, unit FROM f)"
 
 
 @query(
@@ -46,8 +43,8 @@ UNITS = f"WITH {REL}, f AS (SELECT DISTINCT k, district || '|' || regexp_extract
  g AS (SELECT k, unit, count(*) FILTER (s = 2) AS added, count(*) FILTER (s = 1) AS lost FROM e GROUP BY ALL) SELECT k, CASE WHEN added > 0 AND lost > 0 THEN 'both' WHEN added > 0 THEN 'grew' WHEN lost > 0 THEN 'shrank' ELSE 'same' END AS change, count(*) AS units FROM g GROUP BY ALL"""
 )
 def unit_member_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Units of consecutive releases by whether their approvals grew or shrank."""
-    f = releases(spark, d).select("k", F.concat("district", F.lit("|"), F.regexp_extract("land", "(.{0,4}段.小段[0-9]+)", 1)).alias("unit"), "name").distinct()
+    """Units of consecutive releases by whether their approvals grew or shrank; a cell that names no parcel is no unit."""
+    f = releases(spark, d, *cell_unit()).where("unit is not null").select("k", "unit", "name").distinct()
     old = f.select(F.struct("k", "unit").alias("old"), "name")
     new = f.select(F.struct((F.col("k") - 1).alias("k"), "unit").alias("new"), "name")
     pairs = old.select("old").distinct().join(new.select("new").distinct(), F.col("old") == F.col("new"))

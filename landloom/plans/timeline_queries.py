@@ -5,44 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import land
+from ..functions.land import PLACE
 from ..functions.similarity import jaccard
+from ..functions.text import fold_width, no_space
 from ..operators import matching as match
 from ..runtime import table
-from .registry import AP, approvals, query
+from .registry import AP, PERMIT_PARCELS, UNITS, anywhere, approvals, fold_sql, permit_parcels, query, section_key_sql, squeeze_sql, strip0_sql, units
 
-PERMITS = """pm AS (SELECT permit_id, x.section AS section, min(x.mono) AS mono, CASE WHEN regexp_full_match(construction_start, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN construction_start END AS day FROM permit_records, unnest(parcels) t(x) WHERE x.section IS NOT NULL GROUP BY ALL)"""
-ROWS = f"""{AP}, {PERMITS}, u AS (SELECT DISTINCT section, first FROM ap WHERE section <> '' AND first <> ''),
- ev AS (SELECT section, first, day, 1 AS rank, 'approval' AS kind, recno AS id FROM ap WHERE section <> '' AND first <> '' AND day IS NOT NULL
- UNION ALL SELECT pm.section, mono, day, 0, 'permit', permit_id FROM pm JOIN u ON u.section = pm.section AND u.first = pm.mono WHERE day IS NOT NULL)"""
+ROWS = f"""{AP}, {UNITS}, {PERMIT_PARCELS}, u AS (SELECT DISTINCT district, section, first, dist, sec, regexp_extract(first, '^[0-9]+') AS main FROM un2 WHERE section <> '' AND first <> ''),
+ ev AS (SELECT district, section, first, day, 1 AS rank, 'approval' AS kind, recno AS id FROM ap WHERE section <> '' AND first <> '' AND day IS NOT NULL
+ UNION ALL SELECT DISTINCT district, section, first, construction_start, 0, 'permit', permit_id FROM mt JOIN u USING (dist, sec, main) WHERE regexp_full_match(construction_start, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'))"""
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    a = approvals(spark, d, "recno", "section", "first", "day").where("section != '' and first != ''")
-    p = table(spark, d, "permit_records").select("permit_id", F.when(F.col("construction_start").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("construction_start")).alias("day"), F.explode("parcels").alias("x"))
-    first = p.where("x.section is not null").groupBy("permit_id", F.col("x.section").alias("section"), "day").agg(F.min("x.mono").alias("first"))
-    permit = first.where("day is not null").join(a.select("section", "first").distinct(), ["section", "first"]).select("section", "first", "day", F.lit(0).alias("rank"), F.lit("permit").alias("kind"), F.col("permit_id").alias("id"))
-    return a.where("day is not null").select("section", "first", "day", F.lit(1).alias("rank"), F.lit("approval").alias("kind"), F.col("recno").alias("id")).unionByName(permit)
+    unit = ["district", "section", "first"]
+    a = units(spark, d, "recno", *unit, "day").where("section != '' and first != ''")
+    own = anywhere(a).select(*unit, "dist", "sec", F.regexp_extract("first", "^[0-9]+", 0).alias("main")).distinct()
+    p = permit_parcels(table(spark, d, "permit_records").where("construction_start rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'"), "construction_start")
+    permit = p.join(own, ["dist", "sec", "main"]).select(*unit, F.col("construction_start").alias("day"), F.lit(0).alias("rank"), F.lit("permit").alias("kind"), F.col("permit_id").alias("id")).distinct()
+    return a.where("day is not null").select(*unit, "day", F.lit(1).alias("rank"), F.lit("approval").alias("kind"), F.col("recno").alias("id")).unionByName(permit)
 
 
-@query(f"WITH {ROWS} SELECT section, first, kind, id, row_number() OVER (PARTITION BY section, first ORDER BY day, rank, id) AS pos FROM ev")
+@query(f"WITH {ROWS} SELECT district, section, first, kind, id, row_number() OVER (PARTITION BY district, section, first ORDER BY day, rank, id) AS pos FROM ev")
 def timeline(spark: SparkSession, d: str) -> DataFrame:
     """Approvals and starts of construction of a unit in one order; of one day the event comes first."""
-    return _events(spark, d).select("section", "first", "kind", "id", match.rank_in(["section", "first"], [F.col("day"), F.col("rank"), F.col("id")]).cast("bigint").alias("pos"))
+    unit = ["district", "section", "first"]
+    return _events(spark, d).select(*unit, "kind", "id", match.rank_in(unit, [F.col("day"), F.col("rank"), F.col("id")]).cast("bigint").alias("pos"))
 
 
-@query(f"WITH {AP} SELECT section, first, stage_index, coalesce(arg_min(day, recno) FILTER (day IS NOT NULL AND anchor = ''), min(day)) AS day, count(*) AS n FROM ap GROUP BY section, first, stage_index")
+@query(f"WITH {AP} SELECT district, section, first, stage_index, coalesce(arg_min(day, recno) FILTER (day IS NOT NULL AND anchor = ''), min(day)) AS day, count(*) AS n FROM ap GROUP BY district, section, first, stage_index")
 def stage_clusters(spark: SparkSession, d: str) -> DataFrame:
     """The day of a stage is that of its first dated member without a name of its own, else the earliest."""
     own = F.col("day").isNotNull() & (F.col("anchor") == "")
-    g = approvals(spark, d, "recno", "section", "first", "stage_index", "day", "anchor").groupBy("section", "first", "stage_index")
+    g = approvals(spark, d, "recno", "district", "section", "first", "stage_index", "day", "anchor").groupBy("district", "section", "first", "stage_index")
     return g.agg(F.coalesce(F.min_by(F.when(own, F.col("day")), F.when(own, F.col("recno"))), F.min("day")).alias("day"), F.count("*").alias("n"))
 
 
-@query(f"WITH {AP}, v AS (SELECT *, lag(stage_index) OVER w AS p, lag(recno) OVER w AS pr FROM ap WHERE day IS NULL WINDOW w AS (PARTITION BY section, first, track ORDER BY recno)) SELECT pr AS frm, recno AS \"to\" FROM v WHERE p = 0")
+@query(f"WITH {AP}, v AS (SELECT *, lag(stage_index) OVER w AS p, lag(recno) OVER w AS pr FROM ap WHERE day IS NULL WINDOW w AS (PARTITION BY district, section, first, track ORDER BY recno)) SELECT pr AS frm, recno AS \"to\" FROM v WHERE p = 0")
 def undated_chain_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Consecutive undated members of one track, the first of them a first stage."""
-    w = Window.partitionBy("section", "first", "track").orderBy("recno")
-    v = approvals(spark, d, "recno", "section", "first", "track", "stage_index", "day").where("day is null").select(F.lag("recno").over(w).alias("frm"), F.lag("stage_index").over(w).alias("p"), F.col("recno").alias("to"))
+    w = Window.partitionBy("district", "section", "first", "track").orderBy("recno")
+    v = approvals(spark, d, "recno", "district", "section", "first", "track", "stage_index", "day").where("day is null").select(F.lag("recno").over(w).alias("frm"), F.lag("stage_index").over(w).alias("p"), F.col("recno").alias("to"))
     return v.where("p = 0").select("frm", "to")
 
 
@@ -71,40 +75,40 @@ def shared_events(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {AP},
- k AS (SELECT section, first, arg_min(implementer, recno) FILTER (stage_index = 0 AND implementer <> '') AS plan, arg_max(implementer, recno) FILTER (implementer <> '') AS latest, count(DISTINCT implementer) FILTER (implementer <> '') AS n FROM ap WHERE section <> '' GROUP BY section, first)
- SELECT section, first, coalesce(plan, latest) AS implementer, n > 1 AS conflict FROM k"""
+ k AS (SELECT district, section, first, arg_min(implementer, recno) FILTER (stage_index = 0 AND implementer <> '') AS plan, arg_max(implementer, recno) FILTER (implementer <> '') AS latest, count(DISTINCT implementer) FILTER (implementer <> '') AS n FROM ap WHERE section <> '' GROUP BY district, section, first)
+ SELECT district, section, first, coalesce(plan, latest) AS implementer, n > 1 AS conflict FROM k"""
 )
 def plan_values(spark: SparkSession, d: str) -> DataFrame:
     """A unit's value from its first plan, else its latest; whether its rows disagree."""
     said = F.col("implementer") != ""
     plan = said & (F.col("stage_index") == 0)
-    g = approvals(spark, d, "recno", "section", "first", "stage_index", "implementer").where("section != ''").groupBy("section", "first").agg(
+    g = approvals(spark, d, "recno", "district", "section", "first", "stage_index", "implementer").where("section != ''").groupBy("district", "section", "first").agg(
         F.min_by(F.when(plan, F.col("implementer")), F.when(plan, F.col("recno"))).alias("plan"),
         F.max_by(F.when(said, F.col("implementer")), F.when(said, F.col("recno"))).alias("latest"),
         F.count_distinct(F.when(said, F.col("implementer"))).alias("n"),
     )
-    return g.select("section", "first", F.coalesce("plan", "latest").alias("implementer"), (F.col("n") > 1).alias("conflict"))
+    return g.select("district", "section", "first", F.coalesce("plan", "latest").alias("implementer"), (F.col("n") > 1).alias("conflict"))
+
+
+_PROJECT = f"""pj AS (SELECT project_id, coalesce(p.dist, '') AS dist, {section_key_sql("p.sec")} AS sec, {strip0_sql("p.first")} AS first, try_cast(nullif(p.cnt, '') AS BIGINT) AS cnt, member_recnos FROM (SELECT *, regexp_extract({squeeze_sql(fold_sql("land_core"))}, '{PLACE}', ['dist', 'sec', 'first', 'cnt']) AS p FROM projects)),
+ held AS (SELECT DISTINCT project_id, {strip0_sql("p")} AS p FROM (SELECT project_id, unnest(member_recnos)::BIGINT AS recno FROM projects) JOIN ap USING (recno), unnest(list_append(parcels, first)) t(p) WHERE p <> ''),
+ own AS (SELECT project_id, p FROM held UNION SELECT project_id, first FROM pj)"""
+_SEEN = f"""se AS (SELECT search_id, coalesce(p.dist, '') AS dist, {section_key_sql("p.sec")} AS sec, {strip0_sql("p.first")} AS first, try_cast(nullif(p.cnt, '') AS BIGINT) AS cnt FROM (SELECT search_id, regexp_extract({squeeze_sql(fold_sql("land_core"))}, '{PLACE}', ['dist', 'sec', 'first', 'cnt']) AS p FROM search_results))"""
 
 
 @query(
-    r"""WITH p AS (SELECT project_id, regexp_extract(land_core, '^(..區)', 1) AS dist, regexp_extract(land_core, '區(.*?段.小段)', 1) AS sec, regexp_extract(land_core, '小段([0-9]+(?:-[0-9]+)?)地號', 1) AS parcel, try_cast(nullif(regexp_extract(land_core, '等([0-9]+)筆', 1), '') AS INT) AS n FROM projects),
- s AS (SELECT search_id, regexp_extract(core, '^(..區)', 1) AS dist, regexp_extract(core, '區(.*?段.小段)', 1) AS sec, regexp_extract(core, '小段([0-9]+(?:-[0-9]+)?)地號', 1) AS parcel, try_cast(nullif(regexp_extract(core, '等([0-9]+)筆', 1), '') AS INT) AS n FROM (SELECT search_id, regexp_replace(land_core, '\s+', '', 'g') AS core FROM search_results)),
- h AS (SELECT search_id, project_id, round(0.35::DOUBLE + 0.5::DOUBLE + CASE WHEN s.n = p.n THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END, 6) AS score FROM s JOIN p ON s.dist = p.dist AND s.sec = p.sec AND s.parcel = p.parcel WHERE s.sec <> '' AND s.parcel <> '' AND s.dist <> '')
+    f"""WITH {AP}, {_PROJECT}, {_SEEN}, h AS (SELECT DISTINCT se.search_id, pj.project_id, round(0.85::DOUBLE + CASE WHEN se.cnt = pj.cnt THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END, 6) AS score FROM se JOIN pj ON se.sec = pj.sec AND se.dist = pj.dist JOIN own ON own.project_id = pj.project_id AND own.p = se.first WHERE se.sec <> '' AND se.first <> '' AND se.dist <> '')
  SELECT search_id, min(project_id) AS project_id, max(score) AS score FROM h GROUP BY search_id HAVING count(DISTINCT project_id) = 1"""
 )
 def core_offers(spark: SparkSession, d: str) -> DataFrame:
-    """A searched land core goes to the only project whose core it is; district, section and parcel weigh .85, the count .1."""
-    read = lambda df, key, c: df.select(
-        key,
-        F.regexp_extract(c, "^(..區)", 1).alias("dist"),
-        F.regexp_extract(c, "區(.*?段.小段)", 1).alias("sec"),
-        F.regexp_extract(c, "小段([0-9]+(?:-[0-9]+)?)地號", 1).alias("parcel"),
-        F.nullif(F.regexp_extract(c, "等([0-9]+)筆", 1), F.lit("")).try_cast("int").alias("n"),
-    ).where("sec != '' and parcel != '' and dist != ''")
-    p = read(table(spark, d, "projects"), "project_id", F.col("land_core"))
-    s = read(table(spark, d, "search_results"), "search_id", F.regexp_replace("land_core", r"\s+", "")).withColumnRenamed("n", "m")
-    score = F.round(F.lit(0.35) + 0.5 + F.when(F.col("m") == F.col("n"), 0.1).otherwise(0.0), 6)
-    h = s.join(p, ["dist", "sec", "parcel"]).select("search_id", "project_id", score.alias("score"))
+    """A searched land core goes to the only project of its district and section that has its parcel, as first or another of its own; place and parcel weigh .85, an equal count .1."""
+    at = lambda df, key, *more: df.select(key, *more, land.place(no_space(fold_width(F.col("land_core")))).alias("p")).select(key, *more, F.coalesce("p.dist", F.lit("")).alias("dist"), "p.sec", "p.first", "p.cnt")
+    p = at(table(spark, d, "projects"), "project_id", "member_recnos")
+    held = p.select("project_id", F.explode(F.col("member_recnos").cast("array<bigint>")).alias("recno")).join(approvals(spark, d, "recno", "first", "parcels"), "recno")
+    held = held.select("project_id", F.explode(F.array_union("parcels", F.array("first"))).alias("x")).unionByName(p.select("project_id", F.col("first").alias("x"))).where("x != ''")
+    own = held.select("project_id", F.regexp_replace("x", "^0+(?=[0-9])", "").alias("first")).distinct().join(p.select("project_id", "dist", "sec", "cnt"), "project_id")
+    s = at(table(spark, d, "search_results"), "search_id").where("sec != '' and first != '' and dist != ''").withColumnRenamed("cnt", "m")
+    h = s.join(own, ["dist", "sec", "first"]).select("search_id", "project_id", F.round(F.lit(0.85) + F.when(F.col("m") == F.col("cnt"), 0.1).otherwise(0.0), 6).alias("score"))
     return match.unique_or_nothing(h, ["search_id"], "project_id").join(h.groupBy("search_id").agg(F.max("score").alias("score")), "search_id")
 
 
