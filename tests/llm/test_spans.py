@@ -45,7 +45,7 @@ def corpus(seed):
     return docs
 
 
-@pytest.mark.parametrize("seed,subtree", [(0, 2000), (1, 2000), (2, 2), (3, 1)])
+@pytest.mark.parametrize("seed,subtree", [(0, 2000), (1, 2000), (2, 5), (3, 2)])
 def test_equals_brute_force(spark, seed, subtree):
     docs = corpus(seed)
     assert run(spark, docs, length=20, prefix=8, subtree=subtree) == brute(docs, 20)
@@ -67,3 +67,20 @@ def test_production_length_long_text_and_empty_table(spark):
     docs = [(1, long), (2, "x" + long[50_000:50_200] + "y"), (3, long[:199]), (4, "甲" + long[7:206])]
     assert run(spark, docs) == {1: 200, 2: 200}
     assert run(spark, []) == {}
+
+
+def test_prefix_of_many_stretches_is_lengthened(spark):
+    # One boilerplate stretch with other surroundings everywhere, some of which recur in part.
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choice("xyzw") for _ in range(k))
+    common, sides = word(15), [word(4) for _ in range(5)]
+    docs = [(i, word(9) + rng.choice(sides) + common + rng.choice(sides) + word(9)) for i in range(80)]
+    assert run(spark, docs, length=20, prefix=8, subtree=3) == run(spark, docs, length=20, prefix=8) == brute(docs, 20)
+
+
+def test_suffix_tree_nodes():
+    texts = ["abcd", "abce", "abx", "b", "abcd"]
+    tree = sp.SuffixTree([1, 1, 1, 1, 2], texts)
+    same = lambda d: [tree.nodes(d)[0] == tree.nodes(d)[j] for j in range(5)]
+    assert same(0) == [True, True, True, True, False] and same(2) == [True, True, True, False, False] and same(4) == [True, False, False, False, False]
+    assert sp.common("", "a") == 0 and sp.common("aab", "aac") == 2 and sp.common("aa", "aab") == 2
