@@ -4,6 +4,9 @@ Every snapshot is sorted by content (its rows' digests) and cut into content-def
 is divisible by ``chunk_rows`` starts one, so equal content is cut alike whatever lies around it. Chunks whose
 digests agree in two consecutive snapshots are dropped; only rows of the other chunks are joined.
 
+Rows are shuffled once, as hashes, by a range of digests; a range holds the same part of every snapshot, so chunks
+are cut, digested and compared where they lie, and only what differs moves again.
+
 Two rows are one record if at least two of the three compared values agree, and changed if the third does not.
 Values are compared in NFKC form without white space and the separators 、 , and ，.
 
@@ -49,38 +52,36 @@ FIELDS = ["d", "l", "n"]
 KEYS = [k for f in FIELDS for k in _content(f)]
 
 
-def snapshot_rows(df: DataFrame, snapshot: str, row: str, date: str, land: str, name: str) -> tuple[DataFrame, int]:
-    """(ord, rid, two hashes a field), one row per distinct content of a snapshot; the number of snapshots."""
+def snapshot_rows(df: DataFrame, snapshot: str, row: str, date: str, land: str, name: str, buckets: int) -> tuple[DataFrame, int]:
+    """(bucket, ord, h, g, rid, two hashes a field), one row per distinct content of a snapshot; the number of snapshots.
+
+    The rows lie together by bucket, a range of the digest ``h``.
+    """
     ids = sorted(r[0] for r in df.select(snapshot).where(F.col(snapshot).isNotNull()).distinct().collect())  # one per delivery
     order = F.array_position(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), F.col(snapshot).cast("string")).cast("int")
     forms = df.where(F.col(snapshot).isNotNull()).select(
         order.alias("ord"), F.col(row).alias("rid"), *[match_form(F.col(c).cast("string")).alias(f) for f, c in zip(FIELDS, (date, land, name))]
     )
     hashed = forms.select("ord", "rid", *[h.alias(k) for f in FIELDS for k, h in zip(_content(f), _wide_hash(F.col(f)))])
-    return hashed.groupBy("ord", *KEYS).agg(F.min("rid").alias("rid")), len(ids)
-
+    bucket = F.pmod(F.shiftright(F.xxhash64(*KEYS), 7), F.lit(buckets)).cast("int")
+    # Grouped by the bucket first, so its partitioning serves every later step.
+    near = hashed.withColumn("bucket", bucket).repartition(min(buckets, 50_000), "bucket")
+    one = near.groupBy("bucket", "ord", *KEYS).agg(F.min("rid").alias("rid"))
+    return one.withColumns({"h": F.xxhash64(*KEYS), "g": F.xxhash64(F.lit("chunk"), *KEYS)}), len(ids)
 
-def unmatched_rows(rows: DataFrame, buckets: int, chunk_rows: int) -> DataFrame:
-    """The rows with ``seen_before`` and ``seen_after``: whether their chunk is in the snapshot before or after.
 
-    A chunk carries its rows along (about ``chunk_rows``; a run without a divisible digest is rare and short), so
-    those of unmatched chunks need no join to be found again.
-    """
-    rows = rows.withColumns({"h": F.xxhash64(*KEYS), "g": F.xxhash64(F.lit("chunk"), *KEYS)})
-    rows = rows.withColumn("bucket", F.pmod(F.shiftright("h", 7), F.lit(buckets)).cast("int"))
-    sorted_ = Window.partitionBy("ord", "bucket").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
+def unmatched_rows(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    """The rows whose chunk isn't in both neighbouring snapshots, with ``seen_before`` and ``seen_after``. Sorts, but no shuffle."""
+    sorted_ = Window.partitionBy("bucket", "ord").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
     starts = F.when(F.pmod("h", F.lit(chunk_rows)) == 0, F.col("h"))
     rows = rows.withColumn("start", F.coalesce(F.max(starts).over(sorted_), F.lit(-(1 << 63))))
-    chunks = rows.groupBy("ord", "bucket", "start").agg(
-        F.count("*").alias("c"), F.bit_xor("h").alias("x"), F.bit_xor("g").alias("y"), F.collect_list(F.struct("rid", *KEYS)).alias("rows")
-    )
-    # At most one chunk a snapshot in each group.
-    same = chunks.groupBy("bucket", "start", "c", "x", "y").agg(F.collect_list(F.struct("ord", "rows")).alias("at"))
-    each = same.select(F.explode("at").alias("a"), F.transform("at", lambda a: a["ord"]).alias("ords")).select(
-        "a.ord", "a.rows", F.array_contains("ords", F.col("a.ord") - 1).alias("seen_before"), F.array_contains("ords", F.col("a.ord") + 1).alias("seen_after")
-    )
-    open_ = each.where(~(F.col("seen_before") & F.col("seen_after")))
-    return open_.select("ord", "seen_before", "seen_after", F.explode("rows").alias("r")).select("ord", "seen_before", "seen_after", "r.*")
+    chunk = Window.partitionBy("bucket", "ord", "start")
+    digest = ["bucket", "start", "c", "x", "y"]
+    rows = rows.withColumns({"c": F.count("*").over(chunk), "x": F.bit_xor("h").over(chunk), "y": F.bit_xor("g").over(chunk)})
+    rows = rows.withColumn("ords", F.collect_set("ord").over(Window.partitionBy(*digest)))  # as many as there are snapshots at most
+    seen = lambda step: F.array_contains("ords", F.col("ord") + step)
+    rows = rows.withColumns({"seen_before": seen(-1), "seen_after": seen(1)})
+    return rows.where(~(F.col("seen_before") & F.col("seen_after"))).select("ord", "seen_before", "seen_after", "rid", *KEYS)
 
 
 def snapshot_changes(
@@ -98,8 +99,8 @@ def snapshot_changes(
     ``rows_per_bucket`` sizes the sorted pieces, ``chunk_rows`` is the mean chunk; neither affects the result.
     """
     buckets = max(16, df.count() // rows_per_bucket)
-    rows, n = snapshot_rows(df, snapshot, row, date, land, name)
-    rows = materialize(unmatched_rows(rows, buckets, chunk_rows), "unmatched")
+    rows, n = snapshot_rows(df, snapshot, row, date, land, name, buckets)
+    rows = materialize(unmatched_rows(rows, chunk_rows), "unmatched")
     old = rows.where(~F.col("seen_after") & (F.col("ord") < n)).select(F.col("ord").alias("pair"), "rid", F.lit(True).alias("old"), *KEYS)
     new = rows.where(~F.col("seen_before") & (F.col("ord") > 1)).select((F.col("ord") - 1).alias("pair"), "rid", F.lit(False).alias("old"), *KEYS)
     both = old.unionByName(new).groupBy("pair", *KEYS).agg(F.min(F.when(F.col("old"), F.col("rid"))).alias("o"), F.min(F.when(~F.col("old"), F.col("rid"))).alias("n"))
