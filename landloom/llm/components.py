@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import nfkc, no_space
-from ..operators.skew import hot_join
+from ..operators.skew import PARTS, hot_join
 from ..runtime import discard, materialize
 
 
@@ -27,9 +27,11 @@ def core_form(c: Column) -> Column:
     return F.nullif(no_space(nfkc(c)), F.lit(""))
 
 
-def _with_least(sym: DataFrame, count: int, hot_degree: int) -> DataFrame:
-    """(u, v, m): each directed edge with the least of u and its neighbours."""
+def _with_least(sym: DataFrame, count: int, hot_degree: int, hottest: int) -> DataFrame:
+    """(u, v, m): each directed edge with the least of u and its neighbours. ``hottest`` bounds the edges of one node."""
     stat = sym.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("deg"))
+    if hottest <= max(hot_degree, count // PARTS):
+        return sym.join(stat.drop("deg"), "u")
     return hot_join(sym, stat, ["u"], "deg", count, least=hot_degree)
 
 
@@ -47,15 +49,29 @@ def _mark(e: DataFrame) -> tuple:
     return tuple(r)
 
 
+def _hottest(e: DataFrame) -> int:
+    """The most edges any node has, on either side."""
+    return _directed(e).groupBy("u").count().agg(F.max("count")).first()[0] or 0
+
+
 def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", hot_degree: int = 100_000, max_rounds: int = 100) -> DataFrame:
-    """(node, component) of every node linked to another; the component is its least node."""
-    e = materialize(_edges(pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()), F.col(a), F.col(b)), "edges")
+    """(node, component) of every node linked to another; the component is its least node.
+
+    Nodes are numbered once in their order, so the rounds move two 64-bit numbers an edge.
+    """
+    given = materialize(_edges(pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()), F.col(a), F.col(b)), "links")
+    names = given.select(F.col("u").alias("node")).unionByName(given.select(F.col("v").alias("node"))).distinct()
+    ids = materialize(names.orderBy("node").withColumn("id", F.monotonically_increasing_id()), "nodes")
+    side = lambda c: ids.select(F.col("node").alias(c), F.col("id").alias(f"{c}_id"))
+    e = materialize(given.join(side("u"), "u").join(side("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v")), "edges")
+    discard(given)
     mark = _mark(e)
     for _ in range(max_rounds):
-        large = _with_least(_directed(e), 2 * mark[0], hot_degree).where(F.col("v") > F.col("u"))
+        hottest = _hottest(e)
+        large = _with_least(_directed(e), 2 * mark[0], hot_degree, hottest).where(F.col("v") > F.col("u"))
         e1 = materialize(_edges(large, F.col("v"), F.col("m")), "large")
         # Small star: of each node only its smaller neighbours, so the edges as they lie.
-        small = _with_least(e1.select("u", "v"), mark[0], hot_degree)
+        small = _with_least(e1.select("u", "v"), mark[0], hot_degree, mark[0])
         linked = small.select(F.col("v").alias("x"), "m").unionByName(small.select(F.col("u").alias("x"), "m"))
         e2 = materialize(_edges(linked, F.col("x"), F.col("m")), "small")
         new = _mark(e2)
@@ -67,8 +83,10 @@ def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", hot_degre
         mark = new
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    roots = e.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("root"))
+    label = e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
+    name = ids.select(F.col("id").alias("root"), F.col("node").alias("component"))
+    return label.join(ids, "id").join(name, "root").select("node", "component")
 
 
 def core_links(corrections: DataFrame, projects: DataFrame) -> DataFrame:
