@@ -2,136 +2,121 @@
 
 Approvals, city cases and building permits are brought to comparable attributes, candidate pairs come from several
 blocking passes, each pair becomes a vector of agreement levels, and the match and non-match probabilities of the
-levels are estimated by expectation-maximisation without labels. A pair's posterior is its confidence.
-
-Scale: blocks are a section and a parcel number, and pair a search or permit with the few land units that hold the
-number, never with each other. Only the counts of the distinct agreement vectors (a fixed number of combinations)
-reach the driver; the posteriors come back as a table of that size. Approvals that are one record printed twice are
-one candidate; their rows are listed at the end, as every one of them is asked for.
-
-Defined cases: null and blank attributes are a level of their own, not a disagreement; records without a section and
-number are in no block; a search whose best candidates are equally good takes the earliest approval that isn't
-before the case was filed; empty tables give no rows; a date that is missing is taken from a copy of the record or
-from its city case, and otherwise bounded by the unit's earlier and later stages.
+levels are estimated by expectation-maximisation without labels. A pair's posterior is its confidence, and decides:
+pairs of at least ``least`` are links, of which a search takes the approval, and a permit the unit, with the most.
+
+A search is linked in two steps, each with a model of its own: to land units by what they say of the land, then to one
+of the unit's approvals by stage, day, year of filing and kind of plan. Permits speak of land only: one step.
+
+Scale: blocks are a section and a parcel number (permits with the district), or a district and a day, and pair a search
+or permit with the few land units that hold them, never with each other. Only the counts of the distinct agreement vectors (a fixed number
+of combinations) reach the driver; the posteriors come back as a table of that size. Approvals that are one record
+printed twice are one candidate; their rows are listed at the end, as every one of them is asked for.
+
+Defined cases: null and blank attributes are a level of their own, not a disagreement; a search without section,
+number, district and day, and a permit without section and number, is in no block; equally likely candidates are
+taken by the nearest day, then the earliest approval, then the lowest number; empty tables give no rows; a date that
+is missing is taken from a copy of the record or from its city case, and otherwise bounded by the unit's earlier and
+later stages. No result depends on the order of rows.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.land import NUMERALS, heading_stage, normalize_name
 from ..functions.moments import readings
-from ..functions.text import nfkc, no_space
+from ..functions.text import fold_width, no_space
 from ..operators.packed import land_items, split_items
 from ..runtime import materialize
 
-HAN = "〇一二三四五六七八九"
-STAGES = {"擬訂": 0, "擬定": 0, "變更": 1, **{f"變更(第{HAN[i]}次)": i for i in range(1, 10)}}
-_STAGE = re.compile(r"(擬[訂定]|變更(?:\(第[一二三四五六七八九]次\))?)")
-_PARCEL = re.compile(r"([0-9]+)(?:[-－之]([0-9]+))?地(?:號|等號)")
-_COUNT = re.compile(r"地?等號?([0-9]+)筆")
-
-
-def section_key(text: str | None) -> str:
-    """A section's name without the words for section and subsection and with the number as a numeral."""
-    text = re.sub(r"([0-9])(?=小?段)", lambda m: HAN[int(m[1])], text or "")
-    return re.sub("[段小]", "", text)
-
-
-def heading(text: str | None) -> dict:
-    """Attributes of a case name or searched land: district, section, parcel, count, stage, track."""
-    out = dict(dist=None, sec=None, parcel=None, cnt=None, stage=None, track=None)
-    if not text:
-        return out
-    t = re.sub(r"\s", "", unicodedata.normalize("NFKC", text)).replace("劃", "畫")
-    m = _STAGE.match(t)
-    if not m:
-        tail = re.search(r"\((擬[訂定]|變更(?:\(第[一二三四五六七八九]次\))?)\)$", t)
-        m = tail
-    if m:
-        out["stage"] = STAGES[m[1]]
-    business, rights = "事業計畫" in t, "權利變換" in t
-    if business or rights:
-        out["track"] = ("b" if business else "") + ("r" if rights else "")
-    p = _PARCEL.search(t)
-    if p:
-        out["parcel"] = str(int(p[1])) + (f"-{int(p[2])}" if p[2] else "")
-        place = t[: p.start()]
-        d = re.search(r"([一-鿿]{2}區)", place)
-        if d:
-            out["dist"] = d[1]
-            place = place[d.end() :]
-        else:
-            place = re.sub(r"^(?:擬[訂定]|變更(?:\(第.次\))?)?(?:[臺台]北市)?", "", place)
-        # The section is the last part of the place; an implementer may stand before it.
-        s = re.search(r"([一-鿿]{2})(段)?([一-鿿])?([0-9一二三四五六七八九])小段$", place)
-        if s:
-            out["sec"] = section_key(f"{s[1]}{s[3] or ''}{s[4]}小段")
-        elif place:
-            s = re.search(r"([一-鿿]{2,3})段$", place)
-            out["sec"] = section_key(s[1]) if s else None
-    c = _COUNT.search(t)
-    if c:
-        out["cnt"] = int(c[1])
-    return out
-
-
-_HEAD = T.StructType([T.StructField(n, T.IntegerType() if n in ("cnt", "stage") else T.StringType()) for n in ("dist", "sec", "parcel", "cnt", "stage", "track")])
-
-
-@F.pandas_udf(_HEAD)
-def heading_of(s: pd.Series) -> pd.DataFrame:
-    rows = [heading(x) for x in s]
-    frame = pd.DataFrame(rows, columns=["dist", "sec", "parcel", "cnt", "stage", "track"])
-    return frame.astype({"cnt": "Int32", "stage": "Int32"})
+_HAN = "[一-鿿]"
+_PARCEL = r"([0-9]+)(?:[-之]([0-9]+))?地(?:號|等號)"
+_LIST = r"^([0-9]+(?:-[0-9]+)?)"
 
 
-@F.pandas_udf(T.StringType())
-def day_of(s: pd.Series) -> pd.Series:
-    """The day a value names, as YYYY-MM-DD; of a moment, the UTC day."""
-    return pd.Series([r[0][1][:10] if (r := readings(v, "UTC")) else None for v in s], dtype=object)
+def _said(c: Column, pattern: str, i: int = 1) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, i), F.lit(""))
+
+
+def _number(c: Column) -> Column:
+    return F.regexp_replace(c, "^0+(?=[0-9])", "")
+
+
+def _key(section: Column) -> Column:
+    return F.nullif(F.translate(F.regexp_replace(section, "[段小]", ""), "123456789", NUMERALS), F.lit(""))
+
+
+def section_key(c: Column) -> Column:
+    """A section's name without place, and without the words for section and subsection, its number as a numeral; null if nothing is left."""
+    t = F.regexp_replace(no_space(fold_width(c)), f"^(?:[臺台]北市)?(?:{_HAN}{{2}}區)?", "")
+    return _key(t)
+
+
+def with_headings(df: DataFrame, **texts: str) -> DataFrame:
+    """``df`` with a struct (dist, sec, parcel, cnt, stage, track) read from each case name or searched land; null where it doesn't say.
+
+    One projection a step, so that no pattern is matched twice.
+    """
+    each = lambda f: {f"_{n}_{k}": v for n in texts for k, v in f(lambda k: F.col(f"_{n}_{k}")).items()}
+    df = df.withColumns({f"_{n}_t": normalize_name(fold_width(F.col(c))) for n, c in texts.items()})
+    df = df.withColumns(each(lambda c: {
+        "place": F.regexp_extract(c("t"), f"^(.*?){_PARCEL}", 1), "main": _number(_said(c("t"), _PARCEL, 1)), "below": _number(F.regexp_extract(c("t"), _PARCEL, 2)),
+        "cnt": _said(c("t"), "地?等號?([0-9]+)筆").try_cast("int"), "stage": heading_stage(c("t")).cast("int"),
+        "track": F.nullif(F.concat(F.when(c("t").contains("事業計畫"), "b").otherwise(""), F.when(c("t").contains("權利變換"), "r").otherwise("")), F.lit("")),
+    }))
+    df = df.withColumns(each(lambda c: {"dist": _said(c("place"), f"({_HAN}{{2}}區)"), "parcel": F.when(c("below") == "", c("main")).otherwise(F.concat(c("main"), F.lit("-"), c("below")))}))
+    df = df.withColumns(each(lambda c: {
+        "rest": F.when(c("dist").isNotNull(), F.regexp_extract(c("place"), f"{_HAN}{{2}}區(.*)$", 1)).otherwise(F.regexp_replace(c("place"), r"^(?:擬[訂定]|變更(?:\(第.次\))?)?(?:[臺台]北市)?", "")),
+    }))
+    # The section is the last part of the place; an implementer may stand before it.
+    sub = f"({_HAN}{{2}}段?{_HAN}?[0-9一二三四五六七八九]小段)$"
+    df = df.withColumns(each(lambda c: {"sec": F.coalesce(F.nullif(F.regexp_replace(F.regexp_extract(c("rest"), sub, 1), "段", ""), F.lit("")), _said(c("rest"), f"({_HAN}{{2,3}})段$"))}))
+    df = df.withColumns(each(lambda c: {"sec": _key(c("sec"))}))
+    kept = ("dist", "sec", "parcel", "cnt", "stage", "track")
+    df = df.withColumns({n: F.struct(*[F.col(f"_{n}_{k}").alias(k) for k in kept]) for n in texts})
+    return df.drop(*[f"_{n}_{k}" for n in texts for k in (*kept, "t", "place", "main", "below", "rest")])
 
 
 @F.pandas_udf(T.StringType())
-def section_of(s: pd.Series) -> pd.Series:
-    def key(x):
-        x = re.sub(r"\s", "", unicodedata.normalize("NFKC", x)) if x else ""
-        return section_key(re.sub(r"^(?:[臺台]北市)?(?:[一-鿿]{2}區)?", "", x)) or None
+def _day_read(s: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None else r[0][1][:10] if (r := readings(v, "UTC")) else None for v in s], dtype=object)
+
 
-    return pd.Series([key(x) for x in s], dtype=object)
+def day_of(c: Column) -> Column:
+    """The day a value names, as YYYY-MM-DD; of a moment, the UTC day. ISO days stay as they are."""
+    plain = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(c, "yyyy-MM-dd").isNotNull(), c)
+    return F.coalesce(plain, _day_read(F.when(plain.isNull(), c)))
 
 
 def main_number(parcel: Column) -> Column:
     """Parcel number without its sub-number and leading zeros."""
-    return F.nullif(F.regexp_replace(F.regexp_extract(parcel, r"^([0-9]+)", 1), "^0+(?=[0-9])", ""), F.lit(""))
+    return F.nullif(_number(F.regexp_extract(parcel, r"^([0-9]+)", 1)), F.lit(""))
 
 
 def approvals(clean: DataFrame) -> DataFrame:
     """One row per clean row: unit, section, parcel, count, stage, track, district, day and the parcels it lists."""
-    h = clean.select("clean_id", "recno", heading_of("name").alias("h"), heading_of("land").alias("l"), section_of("section").alias("s"), "first_parcel", "district", "stage_index", day_of("iso_date").alias("day"), nfkc("land").alias("_l"), nfkc("parcels").alias("_p"))
+    h = clean.select(
+        F.col("clean_id").cast("bigint").alias("clean_id"), "recno", "name", fold_width(F.col("land")).alias("land"), section_key(F.col("section")).alias("s"), "first_parcel", "district", "stage_index",
+        day_of(F.col("iso_date")).alias("day"), fold_width(F.col("parcels")).alias("_p"),
+    )
+    h = with_headings(h, h="name", l="land")
     none = F.array().cast("array<string>")
-    items = F.array_union(F.coalesce(land_items(F.col("_l")), none), F.coalesce(split_items(F.col("_p")), none))
-    listed = F.array_distinct(F.filter(F.transform(items, lambda v: F.regexp_extract(v, r"^([0-9]+(?:-[0-9]+)?)", 1)), lambda v: v != ""))
+    h = h.withColumns({"_l": land_items(F.col("land")), "_p": split_items(F.col("_p"))})
+    h = h.withColumn("_i", F.array_union(F.coalesce("_l", none), F.coalesce("_p", none)))
+    listed = F.array_distinct(F.filter(F.transform("_i", lambda v: F.regexp_extract(v, _LIST, 1)), lambda v: v != ""))
     sec = F.coalesce("h.sec", "s", "l.sec")
     first = F.coalesce("h.parcel", F.nullif("first_parcel", F.lit("")), "l.parcel")
     rows = h.select(
-        "clean_id",
-        "recno",
-        sec.alias("sec"),
-        first.alias("first"),
-        "h.cnt",
-        F.coalesce("h.stage", "stage_index").alias("stage"),
-        "h.track",
-        F.coalesce("h.dist", "l.dist", F.nullif("district", F.lit(""))).alias("said"),
-        "day",
-        listed.alias("listed"),
-    ).where("sec is not null and first is not null")
+        "clean_id", "recno", sec.alias("sec"), first.alias("first"), "h.cnt", F.coalesce("h.stage", "stage_index").alias("stage"), "h.track",
+        F.coalesce("h.dist", "l.dist", F.nullif("district", F.lit(""))).alias("said"), "day", listed.alias("listed"),
+    )
+    # Read once: a filter on what was read would otherwise be pushed below and read it again.
+    rows = materialize(rows, "read").where("sec is not null and first is not null")
     # Districts have sections of the same name; a row without a district takes that of the only unit it can mean.
     only = rows.groupBy("sec", "first").agg(F.max("said").alias("a"), F.min("said").alias("b")).where("a = b").select("sec", "first", F.col("a").alias("only"))
     rows = rows.join(only, ["sec", "first"], "left").withColumn("dist", F.coalesce("said", "only"))
@@ -152,7 +137,7 @@ def level(known: Column, *levels: Column) -> Column:
     return out.otherwise(F.lit(1))
 
 
-def fit(counts: pd.DataFrame, levels: list[str], rounds: int = 100) -> pd.DataFrame:
+def fit(counts: pd.DataFrame, levels: list[str], rounds: int = 200) -> pd.DataFrame:
     """Posterior of each agreement vector by expectation-maximisation.
 
     ``counts`` has one row per distinct vector. Level 0 (unknown) says nothing either way. The start says that matches
@@ -183,7 +168,7 @@ def fit(counts: pd.DataFrame, levels: list[str], rounds: int = 100) -> pd.DataFr
 def with_confidence(pairs: DataFrame, levels: list[str]) -> DataFrame:
     """``pairs`` with the posterior of their vector. At most the product of the levels' sizes comes to the driver."""
     spark = pairs.sparkSession
-    counts = pairs.groupBy(*levels).agg(F.count("*").alias("n")).toPandas()
+    counts = pairs.groupBy(*levels).agg(F.count("*").alias("n")).orderBy(*levels).toPandas()
     schema = ", ".join(f"{c} int" for c in levels) + ", confidence double"
     if counts.empty:
         return pairs.withColumn("confidence", F.lit(None).cast("double"))
@@ -191,99 +176,125 @@ def with_confidence(pairs: DataFrame, levels: list[str]) -> DataFrame:
     return pairs.join(F.broadcast(post), levels)
 
 
-CASE_LEVELS = ["g_parcel", "g_head", "g_count", "g_stage", "g_day", "g_dist", "g_track"]
+UNIT_LEVELS = ["g_parcel", "g_head", "g_count", "g_dist"]
+STAGE_LEVELS = ["g_stage", "g_day", "g_filed", "g_track"]
+
+
+def _neighbours(df: DataFrame, day: str) -> DataFrame:
+    """``df`` with the last day of the unit's earlier stages and the first of its later ones."""
+    order = Window.partitionBy("unit").orderBy("stage", "recno")
+    return df.withColumns({"after": F.max(day).over(order.rowsBetween(Window.unboundedPreceding, -1)), "before": F.min(day).over(order.rowsBetween(1, Window.unboundedFollowing))})
+
 
+def candidates(rows: DataFrame) -> DataFrame:
+    """One row per printed approval of a unit: of its copies each value comes from the first that has it."""
+    of = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("clean_id"))).alias(c)
+    return _neighbours(rows.groupBy("unit", "recno").agg(*[of(c) for c in ("first", "cnt", "stage", "track", "dist", "day")]), "day")
 
-def case_pairs(rows: DataFrame, parcels: DataFrame, search: DataFrame) -> DataFrame:
-    """Candidate (search, approval) pairs with their agreement levels."""
+
+def searches(search: DataFrame) -> DataFrame:
+    """The resolved searches with what their land and heading say."""
     s = search.where(F.col("status") == "resolved").select(
-        F.col("search_id").cast("bigint").alias("search_id"),
-        heading_of("land_core").alias("c"),
-        heading_of("case_name").alias("h"),
-        day_of("chk_date").alias("s_day"),
+        F.col("search_id").cast("bigint").alias("search_id"), "land_core", "case_name", day_of(F.col("chk_date")).alias("s_day"),
         (F.substring(F.get("case_ids", F.lit(0)), 1, 3).try_cast("int") + 1911).alias("filed"),
-    )
-    s = s.select(
+    )
+    return with_headings(s, c="land_core", h="case_name").select(
         "search_id", F.coalesce("c.sec", "h.sec").alias("c_sec"), F.coalesce("h.sec", "c.sec").alias("h_sec"), F.col("c.parcel").alias("c_parcel"), F.col("h.parcel").alias("h_parcel"),
         F.col("h.cnt").alias("s_cnt"), F.col("h.stage").alias("s_stage"), F.col("h.track").alias("s_track"), F.coalesce("c.dist", "h.dist").alias("s_dist"), "s_day", "filed",
     )
+
+
+def unit_pairs(s: DataFrame, cand: DataFrame, parcels: DataFrame) -> DataFrame:
+    """Candidate (search, unit) pairs of all blocking passes with their agreement levels."""
     unit = parcels.select("unit", F.col("sec").alias("p_sec"), F.col("main").alias("p_main"), "parcel")
     # Pass 1: section and searched number. Pass 2: section and number of the heading.
     key = lambda sec, parcel, first: F.struct(F.col(sec).alias("p_sec"), main_number(F.col(parcel)).alias("p_main"), F.col(parcel).alias("k_parcel"), F.lit(first).alias("searched"))
     keys = s.select("search_id", F.explode(F.array(key("c_sec", "c_parcel", True), key("h_sec", "h_parcel", False))).alias("k")).select("search_id", "k.*")
-    met = keys.where("p_sec is not null and p_main is not null").join(unit, ["p_sec", "p_main"])
-    blocks = met.groupBy("search_id", "unit").agg(F.bool_or("searched").alias("has_main"), F.bool_or(F.col("searched") & (F.col("parcel") == F.col("k_parcel"))).alias("has"))
-    # One candidate per printed approval of a unit.
-    cand = rows.groupBy("unit", "recno").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("first", "cnt", "stage", "track", "dist", "day")])
-    stages = Window.partitionBy("unit").orderBy("stage")
-    cand = cand.withColumns({"after": F.max("day").over(stages.rowsBetween(Window.unboundedPreceding, -1)), "before": F.min("day").over(stages.rowsBetween(1, Window.unboundedFollowing))})
-    p = s.join(blocks, "search_id").join(cand, "unit")
-    gap = F.abs(F.datediff(F.to_date("s_day"), F.to_date("day")))
+    met = keys.where("p_sec is not null and p_main is not null").join(unit, ["p_sec", "p_main"]).select("search_id", "unit", "searched", (F.col("searched") & (F.col("parcel") == F.col("k_parcel"))).alias("same"))
+    # Pass 3: district and day, for sections and numbers that are wrong or missing.
+    days = cand.where("dist is not null and day is not null").select("unit", F.col("dist").alias("s_dist"), F.col("day").alias("s_day")).distinct()
+    dated = s.where("s_dist is not null and s_day is not null").select("search_id", "s_dist", "s_day").join(days, ["s_dist", "s_day"]).select("search_id", "unit", F.lit(False).alias("searched"), F.lit(False).alias("same"))
+    blocks = met.unionByName(dated).groupBy("search_id", "unit").agg(F.bool_or("searched").alias("has_main"), F.bool_or("same").alias("has"))
+    u = cand.groupBy("unit").agg(F.max("dist").alias("dist"), F.collect_set("cnt").alias("counts"))  # a unit has a handful of counts
+    part = lambda i: F.substring_index(F.substring_index("unit", "|", i), "|", -1)
+    p = s.join(blocks, "search_id").join(u, "unit").withColumns({"u_sec": part(2), "u_first": part(3)})
     return p.select(
-        "search_id", "unit", "recno", "day", "s_day", "filed",
-        # Without a day of its own an approval lies between its neighbours.
-        (F.col("day").isNull() & F.col("s_day").isNotNull() & F.coalesce(F.col("s_day") > F.col("after"), F.lit(True)) & F.coalesce(F.col("s_day") < F.col("before"), F.lit(True))).alias("fits"),
+        "search_id", "unit",
         level(F.col("c_parcel").isNotNull(), F.col("has"), F.col("has_main")).alias("g_parcel"),
-        level(F.col("h_parcel").isNotNull(), F.col("h_parcel") == F.col("first"), main_number(F.col("h_parcel")) == main_number(F.col("first"))).alias("g_head"),
-        level(F.col("s_cnt").isNotNull() & F.col("cnt").isNotNull(), F.col("s_cnt") == F.col("cnt")).alias("g_count"),
-        level(F.col("s_stage").isNotNull() & F.col("stage").isNotNull(), F.col("s_stage") == F.col("stage")).alias("g_stage"),
-        level(F.col("s_day").isNotNull() & F.col("day").isNotNull(), gap <= 4, gap <= 31).alias("g_day"),
+        level(F.col("h_parcel").isNotNull(), (F.col("h_parcel") == F.col("u_first")) & (F.col("h_sec") == F.col("u_sec")), main_number(F.col("h_parcel")) == main_number(F.col("u_first"))).alias("g_head"),
+        level(F.col("s_cnt").isNotNull() & (F.size("counts") > 0), F.array_contains("counts", F.col("s_cnt"))).alias("g_count"),
         level(F.col("s_dist").isNotNull() & F.col("dist").isNotNull(), F.col("s_dist") == F.col("dist")).alias("g_dist"),
+    )
+
+
+def approval_pairs(units: DataFrame, s: DataFrame, cand: DataFrame) -> DataFrame:
+    """(search, approval) pairs of linked units with their agreement levels; ``at_unit`` is the confidence of the unit."""
+    p = units.select("search_id", "unit", F.col("confidence").alias("at_unit")).join(s.select("search_id", "s_stage", "s_track", "s_day", "filed"), "search_id").join(cand, "unit")
+    gap = F.abs(F.datediff(F.to_date("s_day"), F.to_date("day")))
+    # Without a day of its own an approval lies between its neighbours.
+    fits = F.col("day").isNull() & F.col("s_day").isNotNull() & F.coalesce(F.col("s_day") > F.col("after"), F.lit(True)) & F.coalesce(F.col("s_day") < F.col("before"), F.lit(True))
+    return p.select(
+        "search_id", "unit", "recno", "day", "s_day", "at_unit",
+        level(F.col("s_stage").isNotNull() & F.col("stage").isNotNull(), F.col("s_stage") == F.col("stage")).alias("g_stage"),
+        level(F.col("s_day").isNotNull() & (F.col("day").isNotNull() | fits), gap <= 4, fits, gap <= 31).alias("g_day"),
+        level(F.col("filed").isNotNull() & F.col("day").isNotNull(), F.year(F.to_date("day")) >= F.col("filed")).alias("g_filed"),
         level(F.col("s_track").isNotNull() & F.col("track").isNotNull(), F.col("s_track") == F.col("track")).alias("g_track"),
     )
 
 
-def case_links(rows: DataFrame, parcels: DataFrame, search: DataFrame, least: float = 0.5) -> DataFrame:
-    """(search_id, unit, recno, s_day, confidence): the approval of each resolved search."""
-    pairs = with_confidence(materialize(case_pairs(rows, parcels, search), "cases"), CASE_LEVELS)
-    # The stage or the day must agree: a unit alone doesn't tell which of its approvals is meant.
-    said = (F.col("g_stage") == 2) | (F.col("g_day") == 3) | (F.col("g_stage") == 0) & F.col("fits")
-    unlike = (F.col("g_stage") == 1) & (F.col("g_day") != 3) | (F.col("g_day") == 1) & (F.col("g_stage") != 2)
-    early = F.coalesce(F.year(F.to_date("day")) >= F.col("filed"), F.lit(True))
-    best = Window.partitionBy("search_id").orderBy(F.col("confidence").desc(), F.col("g_day").desc(), early.desc(), F.col("day").asc_nulls_last(), "unit", "recno")
-    kept = pairs.where(said & ~unlike & (F.col("confidence") >= least))
-    return kept.withColumn("k", F.row_number().over(best)).where("k = 1").select("search_id", "unit", "recno", "s_day", "confidence")
+def case_links(cand: DataFrame, parcels: DataFrame, search: DataFrame, least: float = 0.5) -> DataFrame:
+    """(search_id, unit, recno, s_day, confidence): the approval of each resolved search.
+
+    The unit is linked first, then the approval among those of the unit; the confidence is the product of both posteriors.
+    """
+    s = materialize(searches(search), "searches")
+    units = with_confidence(materialize(unit_pairs(s, cand, parcels), "units"), UNIT_LEVELS).where(F.col("confidence") >= least)
+    pairs = with_confidence(materialize(approval_pairs(units, s, cand), "cases"), STAGE_LEVELS).where(F.col("confidence") >= least)
+    pairs = pairs.withColumn("confidence", F.col("confidence") * F.col("at_unit"))
+    # The least tuple: most confident, then the nearest day, the earliest approval, the lowest number.
+    rank = F.struct(-F.col("confidence"), -F.col("g_day"), F.coalesce("day", F.lit("9999")), "unit", "recno")
+    return pairs.groupBy("search_id").agg(F.min_by(F.struct("unit", "recno", "s_day", "confidence"), rank).alias("r")).select("search_id", "r.*")
+
 
+PERMIT_LEVELS = ["g_hits", "g_cover", "g_unit"]
 
-PERMIT_LEVELS = ["g_hits", "g_cover", "g_unit", "g_dist"]
 
+def permit_pairs(parcels: DataFrame, permits: DataFrame) -> DataFrame:
+    """Candidate (permit, unit) pairs with their agreement levels: numbers shared, and the share of the permit's and of the unit's that they are.
 
-def permit_pairs(rows: DataFrame, parcels: DataFrame, permits: DataFrame) -> DataFrame:
-    """Candidate (permit, unit) pairs with their agreement levels."""
-    each = permits.select(F.col("permit_id").cast("bigint").alias("permit_id"), F.explode("parcels").alias("x")).select(
-        "permit_id", section_of("x.section").alias("sec"), main_number(no_space(nfkc("x.mono"))).alias("main"), F.nullif(F.trim("x.district"), F.lit("")).alias("p_dist")
-    )
-    each = materialize(each.where("sec is not null and main is not null"), "monos")
-    about = each.groupBy("permit_id").agg(F.count_distinct("sec", "main").alias("n"), F.mode("p_dist").alias("p_dist"))
+    The shares have one count in common, so the posterior is sharper than independent evidence would make it.
+    """
+    said = F.array_distinct(F.filter(F.transform("parcels", lambda x: F.nullif(F.trim(x["district"]), F.lit(""))), lambda x: x.isNotNull()))
+    named = F.transform("parcels", lambda x: F.struct(F.coalesce(F.nullif(F.trim(x["district"]), F.lit("")), F.lit("")).alias("dist"), section_key(x["section"]).alias("sec"), main_number(no_space(fold_width(x["mono"]))).alias("main")))
+    p = permits.select(F.col("permit_id").cast("bigint").alias("permit_id"), said.alias("s"), issued_on().alias("issued"), named.alias("x"))
+    p = p.withColumn("p_dist", F.when(F.size("s") == 1, F.get("s", F.lit(0))).otherwise(""))
+    # A parcel without a district takes its permit's only one; without any it meets the section's of all districts.
+    own = F.transform(F.filter("x", lambda x: x["sec"].isNotNull() & x["main"].isNotNull()), lambda x: F.struct(F.when(x["dist"] == "", F.col("p_dist")).otherwise(x["dist"]).alias("b_dist"), x["sec"].alias("sec"), x["main"].alias("main")))
+    p = p.withColumn("x", F.array_distinct(own))
+    each = p.select("permit_id", "issued", F.size("x").alias("n"), F.explode("x").alias("x")).select("permit_id", "issued", "n", "x.*")
     unit = parcels.select("unit", "sec", "main").where("main is not null").distinct()
     size = unit.groupBy("unit").agg(F.count("*").alias("u_n"))
-    dist = rows.groupBy("unit").agg(F.mode("dist").alias("u_dist"))
-    hits = each.select("permit_id", "sec", "main").distinct().join(unit, ["sec", "main"]).groupBy("permit_id", "unit").agg(F.count("*").alias("hits"))
-    p = hits.join(about, "permit_id").join(size, "unit").join(dist, "unit")
-    return p.select(
-        "permit_id", "unit", "hits", "n", "u_n",
-        level(F.lit(True), F.col("hits") >= 3, F.col("hits") == 2).alias("g_hits"),
-        level(F.lit(True), F.col("hits") == F.col("n"), 2 * F.col("hits") > F.col("n")).alias("g_cover"),
-        level(F.lit(True), F.col("hits") == F.col("u_n"), 2 * F.col("hits") > F.col("u_n")).alias("g_unit"),
-        level(F.col("p_dist").isNotNull() & F.col("u_dist").isNotNull(), F.col("p_dist") == F.col("u_dist")).alias("g_dist"),
+    at = unit.withColumn("b_dist", F.explode(F.array_distinct(F.array(F.substring_index("unit", "|", 1), F.lit("")))))
+    hits = each.join(at, ["b_dist", "sec", "main"]).groupBy("permit_id", "unit").agg(F.count("*").alias("hits"), *[F.max(c).alias(c) for c in ("issued", "n")])
+    q = hits.join(size, "unit")
+    share = lambda whole: level(F.lit(True), F.col("hits") == F.col(whole), 2 * F.col("hits") > F.col(whole))
+    return q.select(
+        "permit_id", "unit", "hits", "u_n", "issued",
+        level(F.lit(True), F.col("hits") >= 3, F.col("hits") == 2).alias("g_hits"), share("n").alias("g_cover"), share("u_n").alias("g_unit"),
     )
 
 
-def permit_links(rows: DataFrame, parcels: DataFrame, permits: DataFrame, least: float = 0.5) -> DataFrame:
-    """(permit_id, unit, confidence): the land unit of each building.
-
-    A permit goes to the unit with the highest posterior, then with most of its numbers. Land of the same numbers in
-    another district is other land.
-    """
-    pairs = with_confidence(materialize(permit_pairs(rows, parcels, permits), "permits"), PERMIT_LEVELS)
-    best = Window.partitionBy("permit_id").orderBy(F.col("confidence").desc(), F.col("hits").desc(), (F.col("hits") / F.col("u_n")).desc(), "unit")
-    return pairs.where((F.col("g_dist") != 1) & (F.col("confidence") >= least)).withColumn("k", F.row_number().over(best)).where("k = 1").select("permit_id", "unit", "confidence")
+def permit_links(parcels: DataFrame, permits: DataFrame, least: float = 0.5) -> DataFrame:
+    """(permit_id, unit, issued, confidence): the land unit of each building, the one with the highest posterior, then with most of its numbers."""
+    pairs = with_confidence(materialize(permit_pairs(parcels, permits), "permits"), PERMIT_LEVELS).where(F.col("confidence") >= least)
+    rank = F.struct(-F.col("confidence"), -F.col("hits"), F.col("u_n"), "unit")
+    return pairs.groupBy("permit_id").agg(F.min_by(F.struct("unit", "issued", "confidence"), rank).alias("r")).select("permit_id", "r.*")
 
 
-def issued(permits: DataFrame) -> DataFrame:
-    """(permit_id, issued): the day of issue; where it is missing, the last day of the year in the permit's number."""
-    roc = F.nullif(F.regexp_extract(no_space(nfkc("permit_no")), r"^([0-9]{2,3})", 1), F.lit("")).try_cast("int") + 1911
-    return permits.select(F.col("permit_id").cast("bigint").alias("permit_id"), F.coalesce(day_of("date"), F.concat(roc.cast("string"), F.lit("-12-31"))).alias("issued"))
+def issued_on() -> Column:
+    """The day of issue; where it is missing, the last day of the year in the permit's number."""
+    roc = _said(no_space(fold_width(F.col("permit_no"))), r"^([0-9]{2,3})").try_cast("int") + 1911
+    return F.coalesce(day_of(F.col("date")), F.concat(roc.cast("string"), F.lit("-12-31")))
 
 
 def link_records(clean: DataFrame, search: DataFrame, permits: DataFrame) -> DataFrame:
@@ -291,16 +302,15 @@ def link_records(clean: DataFrame, search: DataFrame, permits: DataFrame) -> Dat
     listed = materialize(approvals(clean), "approvals")
     parcels = materialize(unit_parcels(listed), "parcels")
     rows = listed.drop("listed")
-    cases = materialize(case_links(rows, parcels, search), "cases")
-    of_cases = cases.join(rows.select("clean_id", "unit", "recno"), ["unit", "recno"]).select("clean_id", F.lit("search_results").alias("other_table"), F.col("search_id").alias("other_id"), "confidence")
+    cand = materialize(candidates(rows), "candidates")
+    cases = materialize(case_links(cand, parcels, search), "cases")
     # The day of an approval: its own, a copy's, its case's.
     case_day = cases.groupBy("unit", "recno").agg(F.min("s_day").alias("case_day"))
-    stage = rows.groupBy("unit", "recno").agg(F.min("day").alias("own_day"), F.first("stage", ignorenulls=True).alias("stage"))
-    stage = stage.join(case_day, ["unit", "recno"], "left").withColumn("known", F.coalesce("own_day", "case_day"))
-    order = Window.partitionBy("unit").orderBy("stage")
-    stage = stage.withColumns({"after": F.max("known").over(order.rowsBetween(Window.unboundedPreceding, -1)), "before": F.min("known").over(order.rowsBetween(1, Window.unboundedFollowing))})
-    p = permit_links(rows, parcels, permits).join(issued(permits), "permit_id").join(stage, "unit")
-    # An approval without any day was issued between its neighbours.
+    stage = cand.select("unit", "recno", "stage", "day").join(case_day, ["unit", "recno"], "left").withColumn("known", F.coalesce("day", "case_day"))
+    stage = _neighbours(stage, "known").select("unit", "recno", "known", "after")
+    # What a case asks for: a permit issued after the approval; one without any day was approved between its neighbours.
+    p = permit_links(parcels, permits).join(stage, "unit")
     later = F.when(F.col("known").isNotNull(), F.col("issued") > F.col("known")).otherwise(F.coalesce(F.col("issued") > F.col("after"), F.lit(True)))
-    of_permits = p.where(F.coalesce(later, F.lit(True))).join(rows.select("clean_id", "unit", "recno"), ["unit", "recno"])
-    return of_cases.unionByName(of_permits.select("clean_id", F.lit("permit_records").alias("other_table"), F.col("permit_id").alias("other_id"), "confidence"))
+    of_permits = p.where(F.coalesce(later, F.lit(True))).select("unit", "recno", F.lit("permit_records").alias("other_table"), F.col("permit_id").alias("other_id"), "confidence")
+    of_cases = cases.select("unit", "recno", F.lit("search_results").alias("other_table"), F.col("search_id").alias("other_id"), "confidence")
+    return of_cases.unionByName(of_permits).join(rows.select("clean_id", "unit", "recno"), ["unit", "recno"]).select("clean_id", "other_table", "other_id", "confidence")

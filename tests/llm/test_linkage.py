@@ -11,12 +11,16 @@ PERMIT = "permit_id bigint, permit_no string, date string, parcels array<struct<
 NTH = ["擬訂", "變更", "變更(第二次)"]
 
 
-def test_heading():
-    h = lk.heading("變更岳築建設松山區鏡坪段三小段164-2地號等3筆事業計劃及權利變換計畫")
-    assert h == dict(dist="松山區", sec="鏡坪三", parcel="164-2", cnt=3, stage=1, track="br")
-    assert lk.heading("松山區鏡坪段3小段１２４地號等2筆")["sec"] == lk.heading("鏡坪三小段124地號")["sec"] == lk.heading("擬訂臺北市松山區鏡段坪三小段124地號")["sec"] == "鏡坪三"
-    assert lk.heading("鏡坪段三小段164地號等1筆土地事業計畫案(變更(第二次))")["stage"] == 2
-    assert lk.heading(None)["sec"] is None and lk.heading("專區")["parcel"] is None
+def test_heading(spark):
+    texts = [
+        "變更岳築建設松山區鏡坪段三小段164-2地號等3筆事業計劃及權利變換計畫", "松山區鏡坪段3小段１２４地號等2筆", "鏡坪三小段124地號", "擬訂臺北市松山區鏡段坪三小段124地號", "鏡坪段三小段164地號等1筆土地事業計畫案(變更(第二次))", None, "專區"
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    h = [r.h.asDict() for r in lk.with_headings(rows, h="t").orderBy("i").collect()]
+    assert h[0] == dict(dist="松山區", sec="鏡坪三", parcel="164-2", cnt=3, stage=1, track="br")
+    assert h[1]["sec"] == h[2]["sec"] == h[3]["sec"] == "鏡坪三"
+    assert h[4]["stage"] == 2
+    assert h[5]["sec"] is None and h[6]["parcel"] is None
 
 
 def test_em_separates_matches():
