@@ -1,6 +1,9 @@
 import random
+import unicodedata
 
-from landloom.llm.leaks import SuffixAutomaton, compare_form, find_leaks, remove_leaks
+import pytest
+
+from landloom.llm.leaks import SuffixAutomaton, compare_form, cut_spans, find_leaks, placed_form, remove_leaks, segments
 
 
 def brute(docs, items, n):
@@ -44,3 +47,39 @@ def test_whole_long_text_repeats_and_empty_tables(spark):
 def test_matches_are_longest(spark):
     auto = SuffixAutomaton([(1, "abcde"), (2, "bcdef")], 3)
     assert auto.items_in("xxbcdxx") == {1, 2} and auto.items_in("abx") == set() and auto.spans("zabcdefz") == [(1, 7)]
+
+
+def test_what_is_found_is_removed_whatever_its_form(spark):
+    item = "Crème brûlée and 각 한글 text that is long enough for a match"
+    items = [(1, item), (2, "ｈalf width ﬁgures of Ⅷ kinds in a passage that is long enough")]
+    docs = [(1, "x " + unicodedata.normalize("NFD", item) + " y"), (2, "A " + items[1][1].upper() + " Z"), (3, "ΟΔΟΣ " + item), (4, unicodedata.normalize("NFKD", item) * 2 + "\u0301")]
+    d, i = frames(spark, docs, items)
+    for size in (400_000, 40):
+        found = {r.doc_id for r in find_leaks(d, i, automaton_chars=size).collect()}
+        rows = remove_leaks(d, i, max_coverage=1.0, automaton_chars=size).collect()
+        assert found == {r.doc_id for r in rows} == {1, 2, 3, 4}
+        left = {r.doc_id: r.text for r in rows}
+        assert left[1] == "x  y" and left[2] == "A  Z" and left[3].strip() == "ΟΔΟΣ"
+
+
+def test_pieces_make_up_the_normal_form():
+    rng = random.Random(5)
+    odd = "aé\u0301\u0323각ᄀ\u1161\u11a8ﬁⅧ字İΣ ½\u0344\u0f71\u0f72ｶﾞ"
+    for _ in range(300):
+        t = "".join(rng.choice(odd) for _ in range(rng.randint(0, 12)))
+        form, begin, end = placed_form(t)
+        assert form == compare_form(t) and len(form) == len(begin) == len(end) and all(a < b for a, b in zip(begin, end))
+        assert [x for x, _ in segments(t)] == sorted(x for x, _ in segments(t))
+
+
+@pytest.mark.parametrize("size", [400_000, 30])
+def test_removal_with_any_number_of_automata(spark, size):
+    rng = random.Random(3)
+    word = lambda k: "".join(rng.choice("abcd") for _ in range(k))
+    items = [(i, word(20)) for i in range(8)]
+    docs = [(i, word(10) + " " + rng.choice(items)[1][rng.randint(0, 8) :] + "!" + word(10) + rng.choice(items)[1]) for i in range(40)] * 2
+    d, i = frames(spark, docs, items)
+    got = sorted(tuple(r) for r in remove_leaks(d, i, min_chars=9, automaton_chars=size, max_coverage=0.9).collect())
+    auto = SuffixAutomaton([(k, compare_form(t)) for k, t in items], 9)
+    want = sorted((k, *cut_spans(t, s, 0.9)) for k, t in docs if (s := auto.spans(compare_form(t))))
+    assert got == want and len(got) == len(docs)
