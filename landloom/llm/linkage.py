@@ -28,15 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.land import NUMERALS, heading_stage, normalize_name
+from ..functions.land import NUMERALS, STAGE_HEAD, STAGE_TAIL, cn_to_int, normalize_name
 from ..functions.moments import readings
 from ..functions.text import fold_width, no_space
-from ..operators.packed import land_items, split_items
 from ..runtime import materialize
 
 _HAN = "[一-鿿]"
 _PARCEL = r"([0-9]+)(?:[-之]([0-9]+))?地(?:號|等號)"
-_LIST = r"^([0-9]+(?:-[0-9]+)?)"
+_SECTION = f"{_HAN}{{2}}段?{_HAN}?[0-9一二三四五六七八九]小段|{_HAN}{{2,3}}段"
 
 
 def _said(c: Column, pattern: str, i: int = 1) -> Column:
@@ -60,26 +59,34 @@ def section_key(c: Column) -> Column:
 def with_headings(df: DataFrame, **texts: str) -> DataFrame:
     """``df`` with a struct (dist, sec, parcel, cnt, stage, track) read from each case name or searched land; null where it doesn't say.
 
-    One projection a step, so that no pattern is matched twice.
+    One projection a step, and several groups from one match, so that no pattern is matched twice.
     """
     each = lambda f: {f"_{n}_{k}": v for n in texts for k, v in f(lambda k: F.col(f"_{n}_{k}")).items()}
+    parts = lambda c, pattern, groups: F.split(F.regexp_replace(c, pattern, groups), "\t")
     df = df.withColumns({f"_{n}_t": normalize_name(fold_width(F.col(c))) for n, c in texts.items()})
     df = df.withColumns(each(lambda c: {
-        "place": F.regexp_extract(c("t"), f"^(.*?){_PARCEL}", 1), "main": _number(_said(c("t"), _PARCEL, 1)), "below": _number(F.regexp_extract(c("t"), _PARCEL, 2)),
-        "cnt": _said(c("t"), "地?等號?([0-9]+)筆").try_cast("int"), "stage": heading_stage(c("t")).cast("int"),
-        "track": F.nullif(F.concat(F.when(c("t").contains("事業計畫"), "b").otherwise(""), F.when(c("t").contains("權利變換"), "r").otherwise("")), F.lit("")),
+        "p": parts(c("t"), f"^(.*?){_PARCEL}.*$", "$1\t$2\t$3"), "n": F.regexp_extract(c("t"), "地?等號?([0-9]+)筆", 1),
+        "w": F.coalesce(_said(c("t"), STAGE_HEAD), _said(c("t"), STAGE_TAIL)),
+        "track": F.concat(F.when(c("t").contains("事業計畫"), "b").otherwise(""), F.when(c("t").contains("權利變換"), "r").otherwise("")),
     }))
-    df = df.withColumns(each(lambda c: {"dist": _said(c("place"), f"({_HAN}{{2}}區)"), "parcel": F.when(c("below") == "", c("main")).otherwise(F.concat(c("main"), F.lit("-"), c("below")))}))
     df = df.withColumns(each(lambda c: {
-        "rest": F.when(c("dist").isNotNull(), F.regexp_extract(c("place"), f"{_HAN}{{2}}區(.*)$", 1)).otherwise(F.regexp_replace(c("place"), r"^(?:擬[訂定]|變更(?:\(第.次\))?)?(?:[臺台]北市)?", "")),
+        "place": F.when(F.size(c("p")) == 3, F.get(c("p"), F.lit(0))), "main": _number(F.get(c("p"), F.lit(1))), "below": _number(F.get(c("p"), F.lit(2))),
+        "nth": F.regexp_extract(c("w"), "第([一二三四五六七八九十]+)次", 1),
+    }))
+    df = df.withColumns(each(lambda c: {
+        "d": parts(c("place"), f"^(.*?)({_HAN}{{2}}區)(.*)$", "$2\t$3"), "parcel": F.when(c("below") == "", c("main")).otherwise(F.concat(c("main"), F.lit("-"), c("below"))),
+        "stage": F.when(c("w").startswith("擬"), 0).when(c("nth") != "", cn_to_int(c("nth"))).when(c("w").isNotNull(), 1).cast("int"),
+    }))
+    df = df.withColumns(each(lambda c: {
+        "dist": F.when(F.size(c("d")) == 2, F.get(c("d"), F.lit(0))),
+        "rest": F.when(F.size(c("d")) == 2, F.get(c("d"), F.lit(1))).otherwise(F.regexp_replace(c("place"), r"^(?:擬[訂定]|變更(?:\(第.次\))?)?(?:[臺台]北市)?", "")),
     }))
     # The section is the last part of the place; an implementer may stand before it.
-    sub = f"({_HAN}{{2}}段?{_HAN}?[0-9一二三四五六七八九]小段)$"
-    df = df.withColumns(each(lambda c: {"sec": F.coalesce(F.nullif(F.regexp_replace(F.regexp_extract(c("rest"), sub, 1), "段", ""), F.lit("")), _said(c("rest"), f"({_HAN}{{2,3}})段$"))}))
-    df = df.withColumns(each(lambda c: {"sec": _key(c("sec"))}))
-    kept = ("dist", "sec", "parcel", "cnt", "stage", "track")
-    df = df.withColumns({n: F.struct(*[F.col(f"_{n}_{k}").alias(k) for k in kept]) for n in texts})
-    return df.drop(*[f"_{n}_{k}" for n in texts for k in (*kept, "t", "place", "main", "below", "rest")])
+    df = df.withColumns(each(lambda c: {"sec": _key(F.regexp_extract(c("rest"), f"({_SECTION})$", 1))}))
+    text = lambda c: F.nullif(c, F.lit(""))
+    made = lambda c: F.struct(text(c("dist")).alias("dist"), c("sec").alias("sec"), text(c("parcel")).alias("parcel"), c("n").try_cast("int").alias("cnt"), c("stage").alias("stage"), text(c("track")).alias("track"))
+    df = df.withColumns({n: made(lambda k, n=n: F.col(f"_{n}_{k}")) for n in texts})
+    return df.drop(*[f"_{n}_{k}" for n in texts for k in ("t", "p", "n", "w", "track", "place", "main", "below", "nth", "d", "parcel", "stage", "dist", "rest", "sec")])
 
 
 @F.pandas_udf(T.StringType())
@@ -101,19 +108,22 @@ def main_number(parcel: Column) -> Column:
 def approvals(clean: DataFrame) -> DataFrame:
     """One row per clean row: unit, section, parcel, count, stage, track, district, day and the parcels it lists."""
     h = clean.select(
-        F.col("clean_id").cast("bigint").alias("clean_id"), "recno", "name", fold_width(F.col("land")).alias("land"), section_key(F.col("section")).alias("s"), "first_parcel", "district", "stage_index",
-        day_of(F.col("iso_date")).alias("day"), fold_width(F.col("parcels")).alias("_p"),
+        F.col("clean_id").cast("bigint").alias("clean_id"), "recno", "name", no_space(F.regexp_replace(fold_width(F.col("land")), r"(?<=[0-9])\s+(?=[0-9])", "、")).alias("land"), section_key(F.col("section")).alias("s"),
+        "first_parcel", "district", "stage_index", day_of(F.col("iso_date")).alias("day"), fold_width(F.col("parcels")).alias("parcels"),
     )
-    h = with_headings(h, h="name", l="land")
-    none = F.array().cast("array<string>")
-    h = h.withColumns({"_l": land_items(F.col("land")), "_p": split_items(F.col("_p"))})
-    h = h.withColumn("_i", F.array_union(F.coalesce("_l", none), F.coalesce("_p", none)))
-    listed = F.array_distinct(F.filter(F.transform("_i", lambda v: F.regexp_extract(v, _LIST, 1)), lambda v: v != ""))
-    sec = F.coalesce("h.sec", "s", "l.sec")
-    first = F.coalesce("h.parcel", F.nullif("first_parcel", F.lit("")), "l.parcel")
+    h = with_headings(h, h="name")
+    # The cell's place stands before its first number; its list and the packed one hold the unit's numbers.
+    at = f"^(.*?)({_SECTION})([0-9]+(?:-[0-9]+)?)(.*)$"
+    h = h.withColumn("l", F.split(F.regexp_replace("land", at, "$1\t$2\t$3\t$3$4"), "\t"))
+    part = lambda i: F.when(F.size("l") == 4, F.get("l", F.lit(i)))
+    h = h.withColumns({"l_dist": _said(part(0), f"({_HAN}{{2}}區)"), "l_sec": _key(part(1)), "l_parcel": _number(part(2)), "list": F.regexp_replace(part(3), r"等[0-9]+筆.*$", "")})
+    cells = F.regexp_replace(F.concat_ws("|", "list", "parcels"), r"\([^()]*\)", "")
+    listed = F.array_distinct(F.regexp_extract_all(cells, F.lit("([0-9]+(?:-[0-9]+)?)"), F.lit(1)))
+    sec = F.coalesce("h.sec", "s", "l_sec")
+    first = F.coalesce("h.parcel", F.nullif("first_parcel", F.lit("")), "l_parcel")
     rows = h.select(
         "clean_id", "recno", sec.alias("sec"), first.alias("first"), "h.cnt", F.coalesce("h.stage", "stage_index").alias("stage"), "h.track",
-        F.coalesce("h.dist", "l.dist", F.nullif("district", F.lit(""))).alias("said"), "day", listed.alias("listed"),
+        F.coalesce("h.dist", "l_dist", F.nullif("district", F.lit(""))).alias("said"), "day", listed.alias("listed"),
     )
     # Read once: a filter on what was read would otherwise be pushed below and read it again.
     rows = materialize(rows, "read").where("sec is not null and first is not null")
