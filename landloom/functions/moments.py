@@ -1,5 +1,9 @@
 """All valid readings of one date or time value.
 
+``readings`` gives those that the fixed rules below allow, ``interpretations`` also those that the value's form would
+allow without them, marked as such: a year of two digits as Gregorian, the second of two equal local times, a skipped
+time with the offset after the change.
+
 Fixed rules of the data (stated, not inferred): years below 1911 are ROC years (+1911); 6 and 7 digits are ROC
 year, month, day; 8 digits are a Gregorian day; 10 and 13 digits are seconds and milliseconds since 1970 UTC; a
 time without zone is on the given clock; a local time that occurs twice is the first, a skipped one is read with
@@ -142,6 +146,41 @@ def readings(value: str | None, clock: str | None) -> list[tuple[str, str, int]]
     return []
 
 
+#: What may be a day with a Gregorian year of two digits: a two-digit year in front, or six digits.
+_SHORT = re.compile(r"(?P<y>[0-9]{2})(?:(?P<sep>[/.\-])(?P<mo>[0-9]{1,2})(?P=sep)(?P<d>[0-9]{1,2})|(?P<mo2>[0-9]{2})(?P<d2>[0-9]{2}))", re.ASCII)
+
+
+def _other_fold(form: str, text: str, clock: str | None, at: int) -> int | None:
+    """The other moment that a local time names on its clock, if there is one; a value with an offset says which it means."""
+    zone = _zone(re.search(r"\[([^\]]+)\]", text)[1] if form[-1] == "z" else clock or "") if form[-1] in "zl" else None
+    if zone is None:
+        return None
+    # The time as written: a skipped one is shown an hour later, so it is sought on both sides.
+    for shift in (0, -3600, 3600):
+        wall = dt.datetime.fromtimestamp(at + shift, zone).replace(tzinfo=None) - dt.timedelta(seconds=shift)
+        both = [int(wall.replace(tzinfo=zone, fold=f).timestamp()) for f in (0, 1)]
+        if both[0] == at and both[1] != at:
+            return both[1]
+    return None
+
+
+def interpretations(value: str | None, clock: str | None) -> list[tuple[str, str, int, bool]]:
+    """(form, normal form, seconds since 1970, whether a fixed rule is broken) of every interpretation, those of ``readings`` first."""
+    allowed = readings(value, clock)
+    if not allowed:
+        return []
+    out = [(*r, False) for r in allowed]
+    text = " ".join(unicodedata.normalize("NFKC", value).split())
+    if m := _SHORT.fullmatch(text):
+        y = int(m["y"])
+        day = _day(y + (2000 if y < 50 else 1900), int(m["mo"] or m["mo2"]), int(m["d"] or m["d2"]))
+        if day is not None:
+            out += [(*r, True) for r in _with_time("short", day, {}, clock)]
+    if len(allowed) == 1 and allowed[0][1].endswith("Z") and (other := _other_fold(allowed[0][0], text, clock, allowed[0][2])) is not None:
+        out.append((allowed[0][0] + "2", *_moment(dt.datetime(1970, 1, 1) + dt.timedelta(seconds=other)), True))
+    return out
+
+
 def day_on(value: str | None, clock: str | None) -> str | None:
     """The day a value names, as ISO text; of a moment, its day on the clock. Null if there is none or the readings differ."""
     zone = _zone(clock or REGISTER) or _zone(REGISTER)

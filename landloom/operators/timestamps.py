@@ -1,8 +1,10 @@
 """Mixed timestamp formats and zones brought to one unambiguous form.
 
-Each value's valid readings are generated as an array; a path through the arrays of a source, in record order, is
-chosen by Viterbi, each switch of format and each backward jump in time costing a penalty. A value with one
-reading is a fixed point of the path, so the search falls into independent stretches.
+Each value's interpretations are generated as an array; a path through the arrays of a source, in record order, is
+chosen by Viterbi, each switch of format and each backward jump in time costing a penalty. An interpretation that
+breaks a fixed rule of the data (``functions.moments``) costs more than any path can save by it, so it is chosen only
+where nothing else is left; among the others order and format decide. A value with one interpretation is a fixed
+point of the path, so the search falls into independent stretches.
 
 A source may hold any share of the rows, so the path is computed in blocks of ``block`` consecutive record numbers:
 every block gives the matrix of least costs from its first record's readings to its last record's (min-plus
@@ -22,28 +24,35 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.moments import readings
+from ..functions.moments import interpretations
 from ..runtime import materialize
 
 SWITCH, BACK = 1.0, 1.0
-_CANDS = "cands array<struct<form string, normal string, t bigint>>"
+#: More than a record can save: two switches and two jumps, at its step in and its step out.
+RULE = 5.0
+_CANDS = "cands array<struct<form string, normal string, t bigint, odd boolean>>"
 
 
 def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        pdf["cands"] = [[{"form": f, "normal": n, "t": t} for f, n, t in readings(v, z)] for v, z in zip(pdf.value, pdf.zone)]
+        pdf["cands"] = [[{"form": f, "normal": n, "t": t, "odd": o} for f, n, t, o in interpretations(v, z)] for v, z in zip(pdf.value, pdf.zone)]
         pdf = pdf[pdf.cands.map(len) > 0]
         yield pdf[["src", "source", "row_id", "cands"]]
 
 
+def own_cost(a) -> float:
+    return RULE if a.get("odd") else 0.0
+
+
 def step_cost(a, b) -> float:
-    return SWITCH * (a["form"] != b["form"]) + BACK * (b["t"] < a["t"])
+    """The cost of going from reading ``a`` to ``b``, with that of ``b`` itself."""
+    return SWITCH * (a["form"] != b["form"]) + BACK * (b["t"] < a["t"]) + own_cost(b)
 
 
 def viterbi(seq: list, first: int | None = None, last: int | None = None) -> tuple[float, list[int]]:
     """Least cost and path over ``seq`` (a list of readings per record), its ends fixed where given."""
     inf = float("inf")
-    cost = [0.0 if first is None or i == first else inf for i in range(len(seq[0]))]
+    cost = [own_cost(seq[0][i]) if first is None or i == first else inf for i in range(len(seq[0]))]
     back = []
     for a, b in zip(seq, seq[1:]):
         row, best = [], []
@@ -79,7 +88,7 @@ def solve_block(pdf: pd.DataFrame) -> pd.DataFrame:
     if len(fixed) == len(seq):
         for i, c in enumerate(seq):
             put("row", i, c[0]["normal"])
-        put("block", cands=seq[0], tail=seq[-1], costs=[sum(step_cost(a[0], b[0]) for a, b in zip(seq, seq[1:]))])
+        put("block", cands=seq[0], tail=seq[-1], costs=[own_cost(seq[0][0]) + sum(step_cost(a[0], b[0]) for a, b in zip(seq, seq[1:]))])
         return pd.DataFrame(out, columns=_NAMES)
     lo, hi = (fixed[0], fixed[-1]) if fixed else (len(seq), -1)
     for a, b in zip(fixed, fixed[1:]):
@@ -108,7 +117,8 @@ def chain_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
     heads, tails, mats = [list(c) for c in pdf.cands], [list(c) for c in pdf["tail"]], [list(c) for c in pdf.costs]
     cost, back = None, []
     for i, (h, t, m) in enumerate(zip(heads, tails, mats)):
-        enter = [(0.0, None)] * len(h) if cost is None else [min((cost[k] + step_cost(x, y), k) for k, x in enumerate(tails[i - 1])) for y in h]
+        # A block's matrix counts its first reading's own cost, so the step into it doesn't.
+        enter = [(0.0, None)] * len(h) if cost is None else [min((cost[k] + step_cost(x, y) - own_cost(y), k) for k, x in enumerate(tails[i - 1])) for y in h]
         ends = [min((enter[p][0] + m[p * len(t) + q], p) for p in range(len(h))) for q in range(len(t))]
         back.append([(p, enter[p][1]) for _, p in ends])
         cost = [c for c, _ in ends]

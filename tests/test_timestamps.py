@@ -3,8 +3,8 @@ import random
 
 import pytest
 
-from landloom.functions.moments import readings
-from landloom.operators.timestamps import normal_forms, step_cost, viterbi
+from landloom.functions.moments import interpretations, readings
+from landloom.operators.timestamps import RULE, normal_forms, own_cost, step_cost, viterbi
 
 CASES = [
     ("115/8/11", None, "2026-08-11"),
@@ -49,16 +49,29 @@ def test_ambiguous_values_have_several_readings():
     assert len(readings("Jan 5, 2015 1:00:00 PM CST", None)) == 2
 
 
+def test_interpretations_that_break_a_rule_are_marked():
+    of = lambda *v: [(r[1], r[3]) for r in interpretations(*v)]
+    assert of("98/11/17", None) == [("2009-11-17", False), ("1998-11-17", True)] and of("910716", None) == [("2002-07-16", False), ("1991-07-16", True)]
+    assert of("98/2/29", None) == [] and of("112/2/28", None) == [("2023-02-28", False)]
+    assert of("2014-11-02T01:30", "America/New_York") == [("2014-11-02T05:30:00Z", False), ("2014-11-02T06:30:00Z", True)]
+    assert of("2014/3/9 02:27", "America/Los_Angeles") == [("2014-03-09T10:27:00Z", False), ("2014-03-09T09:27:00Z", True)]
+    assert of("2014-11-02T01:30[America/New_York]", "UTC")[1][1] and len(of("Nov 2, 2014 1:30:00 AM EST", "America/New_York")) == 1 and len(of("2014-11-02T12:30", "America/New_York")) == 1
+
+
 def brute(seq):
-    best = min(itertools.product(*[range(len(s)) for s in seq]), key=lambda p: (sum(step_cost(a[i], b[j]) for a, b, i, j in zip(seq, seq[1:], p, p[1:]))))
-    return sum(step_cost(a[i], b[j]) for a, b, i, j in zip(seq, seq[1:], best, best[1:]))
+    cost = lambda p: own_cost(seq[0][p[0]]) + sum(step_cost(a[i], b[j]) for a, b, i, j in zip(seq, seq[1:], p, p[1:]))
+    return min(map(cost, itertools.product(*[range(len(s)) for s in seq])))
 
 
 def test_path_is_cheapest():
     rng = random.Random(5)
     for _ in range(60):
-        seq = [[{"form": rng.choice("abc"), "t": rng.randint(0, 9)} for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 7))]
-        assert viterbi(seq)[0] == brute(seq)
+        seq = [[{"form": rng.choice("abc"), "t": rng.randint(0, 9), "odd": rng.random() < 0.3} for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 7))]
+        cost, path = viterbi(seq)
+        assert cost == brute(seq)
+        # A rule is never broken for the sake of order or format.
+        assert all(not c[k]["odd"] or all(x["odd"] for x in c) for c, k in zip(seq, path))
+    assert RULE > 4
 
 
 def run(spark, values, block):
@@ -77,8 +90,8 @@ def test_blocks_give_the_path_over_the_whole_source(spark, block):
             values.append(("t", source, i + (100 if source == "y" else 0), f"13/{m}/2015" if fixed else f"{m:02d}/{d:02d}/{2000 + i // 4}", None, "clash"))
     got = dict((r, n) for _, r, n in run(spark, values, block))
     for source in ("x", "y"):
-        seq = [(v[2], readings(v[3], None)) for v in values if v[1] == source]
-        seq = [(i, [dict(zip(("form", "normal", "t"), r)) for r in c]) for i, c in seq if c]
+        seq = [(v[2], interpretations(v[3], None)) for v in values if v[1] == source]
+        seq = [(i, [dict(zip(("form", "normal", "t", "odd"), r)) for r in c]) for i, c in seq if c]
         path = [next(x for x in c if x["normal"] == got[i]) for i, c in seq]
         cost = sum(min(step_cost(a, b) for a in [x for x in p if x["normal"] == path[k]["normal"]] for b in [x for x in q if x["normal"] == path[k + 1]["normal"]]) for k, (p, q) in enumerate(zip([c for _, c in seq], [c for _, c in seq][1:])))
         assert cost == viterbi([c for _, c in seq])[0]
