@@ -1,7 +1,7 @@
 """Text cut off by field limits.
 
-Each value is read by a stack automaton that pushes open brackets, quotes and markup and ends in one of a few
-conditions: something replaced the end (an ellipsis, a broken multibyte sequence), a bracket, quote, tag or escape is
+Each value is read once, character by character, by a stack automaton that pushes open brackets, quotes, elements and
+unfinished tags, entities and escapes, and ends in one of a few conditions: something replaced the end (an ellipsis, a broken multibyte sequence), a bracket, quote, tag or escape is
 still open, the value stops inside a unit of its field's grammar, it ends with a terminator, or it ends cleanly
 without one. What a missing terminator means depends on the source: where more than ``bare_share`` of a source's
 clean values end without one, they are its complete short form; elsewhere they are cut. The baseline is taken over
@@ -25,11 +25,14 @@ from pyspark.sql import types as T
 from ..functions.moments import readings
 from ..runtime import materialize
 
-PAIRS = {")": "(", "]": "[", "}": "{", "」": "「", "』": "『", "》": "《", "】": "【"}
+PAIRS = {")": "(", "]": "[", "}": "{", "」": "「", "』": "『", "》": "《", "〉": "〈", "】": "【", "”": "“", "’": "‘"}
 OPENERS = frozenset(PAIRS.values())
+#: A value without any of these has no structure to be left open.
+STRUCTURE = re.compile(r'[(\[{「『《〈【“‘"<&%\\]')
+#: Elements without an end tag, a fixed list of the markup language.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+HEX = frozenset("0123456789abcdefABCDEF")
 REPLACED = re.compile(r"(?:�|…|\.\.\.|‥)+\s*$")
-ESCAPE = re.compile(r"(?:\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|%[0-9A-Fa-f]?|&(?:[A-Za-z]{1,7}|#[0-9]{0,6}))$")
-TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*?(/?)>")
 
 #: Ends of a complete land cell and of a complete case name, in NFKC form without white space.
 LAND_END = re.compile(r"(?:地號(?:等[0-9]+筆)?(?:土地)?|等[0-9]+筆(?:土地)?|筆土地|土地|[^0-9、,]用地|住宅專區|專區)$")
@@ -39,33 +42,66 @@ NAME_END = re.compile(r"(?:案|計[畫劃])(?:\([^()]*\))?$")
 
 
 def open_structure(text: str) -> str:
-    """What is still open at the end: an innermost bracket or quote, a tag, an escape; empty if nothing is."""
+    """What is still open at the end: a bracket, a quote, an element, '<' for a tag or 'escape' for an escape or entity; empty if nothing is.
+
+    The stack holds what is open; its top decides how a character is read. A mark of inches behind a number opens no
+    quote, nor does a percent sign there at the end begin an escape, and a closing mark that nothing opened is text.
+    """
+    if not STRUCTURE.search(text):
+        return ""
     stack: list[str] = []
+    word = ""  # of the tag, entity or escape being read
+    before, plain = "", False
     for c in text:
-        if c in OPENERS:
+        top = stack[-1] if stack else ""
+        if top == "<":
+            if c == ">":
+                stack.pop()
+                name = re.match(r"/?([A-Za-z][A-Za-z0-9]*)", word)
+                if name and word[0] == "/":
+                    if f"<{name[1]}>" in stack:
+                        del stack[len(stack) - 1 - stack[::-1].index(f"<{name[1]}>") :]
+                elif name and not word.endswith("/") and name[1].lower() not in VOID:
+                    stack.append(f"<{name[1]}>")
+            elif c == "<" or not word and not (c.isalpha() and c.isascii() or c in "/!"):
+                stack.pop()  # it was no tag
+                if c == "<":
+                    stack.append(c)
+                word = ""
+            else:
+                word += c
+        elif top == "&":
+            if c == ";" or len(word) > 7 or not (c.isascii() and c.isalnum() or c == "#" and not word):
+                stack.pop()
+            word += c
+        elif top in ("\\", "%"):
+            need = {"u": 4, "x": 2}.get(word[:1], 0) + 1 if top == "\\" else 2
+            if (word or top == "%") and c not in HEX:
+                stack.pop()  # not an escape after all
+            else:
+                word += c
+                need = {"u": 5, "x": 3}.get(word[0], 1) if top == "\\" else need
+                if len(word) >= need:
+                    stack.pop()
+        elif c in OPENERS:
             stack.append(c)
         elif c in PAIRS:
-            if stack and stack[-1] == PAIRS[c]:
+            if top == PAIRS[c]:
                 stack.pop()
         elif c == '"':
-            if stack and stack[-1] == '"':
+            if top == c:
                 stack.pop()
-            else:
-                stack.append('"')
-    if stack:
-        return stack[-1]
-    if "<" in text:
-        if re.search(r"<[A-Za-z/!][^<>]*$", text):
-            return "<"
-        tags: list[str] = []
-        for close, name, self_closed in TAG.findall(text):
-            if close and tags and tags[-1] == name:
-                tags.pop()
-            elif not close and not self_closed:
-                tags.append(name)
-        if tags:
-            return f"<{tags[-1]}>"
-    return "escape" if ESCAPE.search(text) else ""
+            elif not (before.isdigit() and c not in stack):
+                stack.append(c)
+        elif c in "<&%\\":
+            stack.append(c)
+            word, plain = "", c == "%" and before.isdigit() or c == "&" and before == " "
+        before = c
+    top = stack[-1] if stack else ""
+    if not word and (top == "<" or top in ("%", "&") and plain):
+        stack.pop()  # a bare sign at the end
+        top = stack[-1] if stack else ""
+    return "escape" if top in ("&", "\\", "%") else top
 
 
 @lru_cache(maxsize=1)

@@ -32,3 +32,10 @@ def test_baseline_tells_short_forms_from_cut_ones(spark):
     share = {(r.feed_id, r.field): r.share for r in cut_shares(t, "feed_id").collect()}
     assert share[1, "land"] == 2 / 22 and share[2, "land"] == 1 / 11
     assert truncated(df.limit(0), "raw_id", "feed_id", FIELDS).count() == 0
+
+
+def test_stack_automaton():
+    closed = ["擬訂(甲)案", '5" 案', "50%", "a < b", "a && b", "<b>x</b>", "<br>", "<br/>x", "<p><b>x</b></p>", "&amp;", r"\u4e00", r"\n", "%E4%B8", 'say "x"', "it’s", "x) y", "〈擬〉", "AT&T x", "<>", r"\x41", "&#20013;"]
+    assert {t: open_structure(t) for t in closed if open_structure(t)} == {}
+    opened = {"擬訂“大安": "“", "〈擬訂案": "〈", "<b>x": "<b>", "<p><b>x</b>": "<p>", "x <a hre": "<", "&am": "escape", r"\u4e0": "escape", "\\": "escape", "%E4%B": "escape", 'a "b (c)': '"', "((a)": "(", '"a "b" c': '"', r"\x4": "escape", "&#200": "escape", "a (b “c”": "("}
+    assert {t: open_structure(t) for t in opened} == opened
