@@ -86,23 +86,26 @@ def land_items(c: Column) -> Column:
 def alias_items(c: Column) -> Column:
     """``parcel:alias`` items of an alias cell.
 
-    Entries come as ``a:b,c;d:e``, ``a=b、c``, ``a->b/c``, ``a(b,c)`` or a JSON object, whole entries quoted or
-    not. Quoted spans are taken out, split at the same marks inside, and the pieces flattened in printed order;
-    a piece that ends with a key mark names the parcel of the pieces after it.
+    Entries come as ``a:b,c;d:e``, ``a=b、c``, ``a->b/c``, ``a(b,c)`` or a JSON object, whole entries quoted or not.
+    Quoted spans are replaced by placeholders before the cell is split, so what is quoted stays one piece, whatever
+    marks it holds; put back, a quoted number or name is a token as it is, and a quoted entry (with a key mark inside)
+    is split as an entry of its own. A token that ends with a key mark names the parcel of the tokens after it.
     """
     c = F.regexp_replace(_escape(c), r"->|=", ":")
-    c = F.regexp_replace(c, r"\(", ":")
     spans = F.regexp_extract_all(c, F.lit(f"({QUOTED})"), F.lit(1))
-    pieces = F.transform(F.split(_protect(c, QUOTED), r"[|、,;/\s\[\]{})]", -1), lambda x: _unescape(_restore(x, spans)))
-    flat = F.array_join(F.transform(pieces, lambda x: F.replace(x, F.lit('"'), F.lit(" "))), " ")
-    flat = F.regexp_replace(flat, r"\s*:\s*", ": ")
-    tokens = F.filter(F.split(flat, r"[|、,;/\s]+", -1), lambda x: (x != "") & (x != ":"))
+    marks = r"[|、,;/\s\[\]{})]+"
+    keyed = lambda x: F.regexp_replace(F.regexp_replace(x, r"\(", ":"), r"\s*:\s*", ": ")
+    pieces = F.split(keyed(_protect(c, QUOTED)), marks, -1)
+    whole = F.transform(pieces, lambda x: _unescape(_restore(x, spans)))
+    atom = r'^"[^":]*":?$'
+    tokens = F.flatten(F.transform(whole, lambda x: F.when(x.rlike(atom), F.array(F.replace(x, F.lit('"'), F.lit("")))).otherwise(F.split(keyed(F.replace(x, F.lit('"'), F.lit(" "))), marks, -1))))
+    tokens = F.filter(tokens, lambda x: (x != "") & (x != ":"))
     start = F.struct(F.lit("").alias("key"), F.array().cast("array<string>").alias("out"))
     return F.aggregate(
         tokens,
         start,
         lambda acc, t: F.when(t.endswith(":"), F.struct(F.rtrim(F.regexp_replace(t, ":$", "")).alias("key"), acc["out"].alias("out"))).otherwise(
-            F.struct(acc["key"].alias("key"), F.concat(acc["out"], F.array(F.concat(acc["key"], F.lit(":"), t))).alias("out"))
+            F.struct(acc["key"].alias("key"), F.concat(acc["out"], F.array(F.concat(acc["key"], F.lit(":"), F.trim(t)))).alias("out"))
         ),
         lambda acc: acc["out"],
     )

@@ -1,7 +1,8 @@
 """Rows that fail to parse: the valid lines become records, the others come out with the reasons.
 
 Structure is judged by the Arrow CSV reader, whose invalid-row callback reports lines with a wrong number of
-columns. Fields are read as strings, then each column is cast as a vector and the failing cells are labelled.
+columns. Fields are read as strings, then each column is matched and cast as a vector and the failing cells are
+labelled; no cell is looked at alone.
 Lines are read in bulk: one whose quoting is broken would swallow its neighbours, so lines with quotes or line
 breaks are first held against the field grammar, and those that break it are rejected for their quoting.
 
@@ -12,7 +13,6 @@ gives no rows; if no district is known every district fails.
 
 from __future__ import annotations
 
-import datetime
 import io
 import re
 from collections.abc import Iterator
@@ -27,39 +27,42 @@ from pyspark.sql import functions as F
 COLUMNS = ["recno", "date", "district", "name", "land", "implementer", "planner", "parse_error", "gazette_id"]
 _FIELD = r'(?:"(?:[^"]|"")*"|[^"\t\r\n][^\t\r\n]*|)'
 _LINE = re.compile(f"{_FIELD}(?:\t{_FIELD})*")
-_RECNO = re.compile(r"0*[1-9][0-9]{0,17}", re.ASCII)
-_DATE = re.compile(r"([0-9]{1,4})/([0-9]{1,2})/([0-9]{1,2})", re.ASCII)
-_ISO = re.compile(r"([0-9]{4})-([0-9]{2})-([0-9]{2})", re.ASCII)
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
-def _day(m: re.Match | None, two_calendars: bool) -> bool:
-    if not m:
-        return False
-    y, mo, d = map(int, m.groups())
-    if two_calendars and 0 < y < 1911:
-        y += 1911
-    try:
-        datetime.date(y, mo, d)
-    except ValueError:
-        return False
-    return True
+def _bad_recno(v: pa.Array) -> pa.Array:
+    """Not a positive whole number in ASCII digits that fits 18 digits."""
+    return pc.invert(pc.match_substring_regex(v, "^0*[1-9][0-9]{0,17}$"))
 
 
-#: Test of each cell that can fail by itself.
-CELLS = {
-    "recno": lambda v: bool(_RECNO.fullmatch(v)),
-    "date": lambda v: _day(_DATE.fullmatch(v), True),
-    "name": lambda v: bool(v.strip()),
-    "land": lambda v: bool(v.strip()),
-    "gazette_id": lambda v: _day(_ISO.fullmatch(v), False),
-}
+def _bad_day(v: pa.Array, pattern: str, two_calendars: bool) -> pa.Array:
+    """Not a possible day of the form ``pattern`` (with groups y, m and d)."""
+    parts = pc.extract_regex(v, pattern)
+    y, m, d = (pc.fill_null(pc.cast(pc.struct_field(parts, n), pa.int32()), 0) for n in "ymd")
+    if two_calendars:
+        y = pc.if_else(pc.and_(pc.greater(y, 0), pc.less(y, 1911)), pc.add(y, 1911), y)
+    is_by = lambda n: pc.equal(pc.subtract(y, pc.multiply(pc.divide(y, n), n)), 0)
+    leap = pc.and_(is_by(4), pc.or_(pc.invert(is_by(100)), is_by(400)))
+    month = pc.and_(pc.greater_equal(m, 1), pc.less_equal(m, 12))
+    days = pc.take(pa.array([31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31], pa.int32()), pc.if_else(month, pc.subtract(m, 1), 0))
+    days = pc.if_else(pc.and_(leap, pc.equal(m, 2)), 29, days)
+    possible = pc.and_(pc.and_(month, pc.greater(y, 0)), pc.and_(pc.greater_equal(d, 1), pc.less_equal(d, days)))
+    return pc.invert(possible)
+
 
+def _bad_text(v: pa.Array) -> pa.Array:
+    """Blank."""
+    return pc.equal(pc.utf8_trim(v, _BLANKS), "")
 
-def _failing(column: pa.Array, test) -> pa.Array:
-    """Whether each cell fails; the test runs once per distinct value of the vector."""
-    coded = column.dictionary_encode()
-    bad = pa.array([not test(v) for v in coded.dictionary.to_pylist()], pa.bool_())
-    return bad.take(coded.indices) if len(bad) else pa.array([], pa.bool_())
+
+#: Whether each cell of a column fails, as a vector.
+CELLS = {
+    "recno": _bad_recno,
+    "date": lambda v: _bad_day(v, "^(?P<y>[0-9]{1,4})/(?P<m>[0-9]{1,2})/(?P<d>[0-9]{1,2})$", True),
+    "name": _bad_text,
+    "land": _bad_text,
+    "gazette_id": lambda v: _bad_day(v, "^(?P<y>[0-9]{4})-(?P<m>[0-9]{2})-(?P<d>[0-9]{2})$", False),
+}
 
 
 def read_lines(lines: list[str]) -> tuple[pa.Table, list[int], dict[int, int]]:
@@ -105,9 +108,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         why |= {good[k]: f"columns: {n}" for k, n in wrong.items()}
         table = table.combine_chunks()
         cols = {c: table.column(c).combine_chunks() if table.column(c).num_chunks != 1 else table.column(c).chunk(0) for c in COLUMNS}
-        parts = [pc.if_else(_failing(cols[c], test), c, "") for c, test in CELLS.items()]
-        labels = ["；".join(x for x in cell if x) for cell in zip(*[p.to_pylist() for p in parts])]
-        yield pa.RecordBatch.from_arrays([pa.array([ids[good[k]] for k in kept], pa.int64()), *[cols[c] for c in COLUMNS], pa.array(labels, pa.string())], schema=schema)
+        labels = pc.utf8_rtrim(pc.binary_join_element_wise(*[pc.if_else(bad(cols[c]), f"{c}；", "") for c, bad in CELLS.items()], ""), "；")
+        yield pa.RecordBatch.from_arrays([pa.array([ids[good[k]] for k in kept], pa.int64()), *[cols[c] for c in COLUMNS], labels], schema=schema)
         if why:
             none = pa.nulls(len(why), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in why], pa.int64()), *[none for _ in COLUMNS], pa.array(list(why.values()), pa.string())], schema=schema)

@@ -54,3 +54,9 @@ def test_nulls_empties_repeats_and_long(spark):
     assert len(got[3, "parcels"]) == 20_000 and got[3, "parcels"][-1] == "19999"
     assert got[4, "parcels"] == ["7"] * 4
     assert found(spark, []) == {}
+
+
+def test_quotes_protect_in_alias_cells(spark):
+    got = found(spark, [row(1, None, None, '5:"5-1,東"、5-2;"6:6-1,6-2";"7"->"7-1/2"'), row(2, None, None, '{"5": ["5-1", "5-2"], "6": ["a:b"]}')])
+    assert got[1, "aliases"] == ["5:5-1,東", "5:5-2", "6:6-1", "6:6-2", "7:7-1/2"]
+    assert got[2, "aliases"][:2] == ["5:5-1", "5:5-2"]
