@@ -1,16 +1,22 @@
 """Encoding of a corpus by a tokenization automaton.
 
 The merges of a byte-level BPE vocabulary are compiled, one merge gadget after the other, into a deterministic
-automaton whose arcs are labelled with tokens and whose state after an arc depends on that token only. Merge
-``(a, b) -> c`` takes the ``b`` arc out of the state behind ``a``, and gives an arc ``c`` to every state that had
-``a``, leading where ``b`` led. So the state behind ``x`` has the arc ``y`` exactly if undoing the later of the two
-gadgets leads to a state that had it (``Automaton.follows``). The arcs are computed when first asked for and kept in
-a table; written out they would be some billions.
+automaton whose arcs are labelled with tokens and whose state after an arc depends on that token only. It begins with
+one state behind each byte, which has an arc for each byte. The gadget of merge ``(a, b) -> c``
+
+* makes the state behind ``c``, with the arcs of the state behind ``b``,
+* gives an arc ``c`` to every state that has ``a`` (and there ``b`` behind it), and
+* takes the arc ``b`` out of the state behind ``a``.
+
+Written out, 50,000 states would have some billions of arcs. The table is kept factored instead: of each state the one
+it was copied from and when, of each arc the one it was copied from and when, and the arcs that were taken out and
+when. A gadget is one entry in each (``Automaton.gadget``), and whether a state has an arc is read by going back
+through the gadgets that made the two (``Automaton.has_arc``); arcs once read stay in a table.
 
 A pre-split word is read byte by byte through the table of the vocabulary's suffix trie; at each byte the one token
-that ends there and may follow the token before it is the last token of that prefix's encoding. Each distinct word
-is encoded once per worker; texts become lists of word numbers, and their ids are gathered by array lookup.
-Decoding emits the labels of the arcs.
+that ends there, and whose arc the state behind the token before it has, is the last token of that prefix's encoding.
+Each distinct word is encoded once per worker; texts become lists of word numbers, and their ids are gathered by array
+lookup. Decoding emits the labels of the arcs.
 
 Defined cases: null and empty texts give an empty list; special tokens' strings are ordinary text; a text of any
 length is encoded whole; repeated rows each give a row.
@@ -53,28 +59,37 @@ def _byte_symbols() -> dict[str, int]:
 class Automaton:
     """The compiled merges. ``label`` holds the bytes of each arc label (token)."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def __init__(self, vocab: dict[str, int], merges: list):
         symbols = _byte_symbols()
-        vocab: dict[str, int] = model["vocab"]
         size = max(vocab.values()) + 1
         self.label = [b""] * size
-        self.rank = [-1] * size
-        self.parts = [(0, 0)] * size
-        self.merge: dict[int, int] = {}
-        for k, m in enumerate(model["merges"]):
+        #: Of each token the gadget that made it (-1: a byte), the state copied and the arc copied by it.
+        self.made = [-1] * size
+        self.state_like = [0] * size
+        self.arc_like = [0] * size
+        #: The gadget that took an arc out of a state.
+        self.taken: dict[int, int] = {}
+        for k, m in enumerate(merges):
             a, b = m.split(" ") if isinstance(m, str) else m
-            x, y, z = vocab[a], vocab[b], vocab[a + b]
-            if self.rank[z] < 0:
-                self.rank[z], self.parts[z] = k, (x, y)
-            self.merge[x << 20 | y] = k
+            self.gadget(k, vocab[a], vocab[b], vocab[a + b])
         for text, t in vocab.items():
-            if self.rank[t] >= 0 or len(text) == 1 and text in symbols:
+            if self.made[t] >= 0 or len(text) == 1 and text in symbols:
                 self.label[t] = bytes(symbols[c] for c in text)
         self.arcs: dict[int, bool] = {}
         self._build_table()
 
+    @classmethod
+    def load(cls, path: str) -> Automaton:
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        return cls(model["vocab"], model["merges"])
+
+    def gadget(self, k: int, a: int, b: int, c: int) -> None:
+        """The ``k``-th merge gadget, ``(a, b) -> c``; a token made before only loses its second way."""
+        if self.made[c] < 0:
+            self.made[c], self.state_like[c], self.arc_like[c] = k, b, a
+        self.taken[a << 20 | b] = k
+
     def _build_table(self) -> None:
         """Trie of the labels with suffix links: for each node the longest token that is a suffix of its bytes."""
         go: dict[int, int] = {}
@@ -112,25 +127,25 @@ class Automaton:
         self.moves: dict[int, int] = {}
         self.length = [len(x) for x in self.label]
 
-    def follows(self, x: int, y: int) -> bool:
+    def has_arc(self, x: int, y: int) -> bool:
         """Whether the state behind ``x`` has an arc ``y`` once all gadgets are in."""
         key = x << 20 | y
         known = self.arcs.get(key)
         if known is None:
-            rank, parts, merge = self.rank, self.parts, self.merge
+            made, state_like, arc_like, taken = self.made, self.state_like, self.arc_like, self.taken
             limit = 1 << 60
             while True:
-                if merge.get(x << 20 | y, limit) < limit:
+                if taken.get(x << 20 | y, limit) < limit:
                     known = False
                     break
-                if rank[x] < 0 and rank[y] < 0:
+                if made[x] < 0 and made[y] < 0:
                     known = True
                     break
-                if rank[x] > rank[y]:
-                    limit, x = rank[x], parts[x][1]
+                if made[x] > made[y]:
+                    limit, x = made[x], state_like[x]
                 else:
                     # The gadget of y took the arc away from its own left part first, hence the + 1.
-                    limit, y = rank[y] + 1, parts[y][0]
+                    limit, y = made[y] + 1, arc_like[y]
             if len(self.arcs) > 4_000_000:
                 self.arcs.clear()
             self.arcs[key] = known
@@ -156,7 +171,7 @@ class Automaton:
             j = i - length[t]
             while j:
                 ok = arcs.get(last[j] << 20 | t)
-                if ok or ok is None and self.follows(last[j], t):
+                if ok or ok is None and self.has_arc(last[j], t):
                     break
                 t = shorter[t]
                 j = i - length[t]
@@ -173,7 +188,7 @@ class Automaton:
 
 @lru_cache(maxsize=2)
 def automaton(path: str) -> Automaton:
-    return Automaton(path)
+    return Automaton.load(path)
 
 
 class WordTable(dict):
@@ -256,24 +271,23 @@ def slices(column: pa.Array, chars: int = SLICE_CHARS) -> Iterator[tuple[int, in
 
 
 def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """(``key``, ids array<int>) of every row. One pass, no shuffle. ``path``: the vocabulary file, readable on every executor."""
-    path = path or vocabulary_path()
+    """(``key``, ids array<int>) of every row. One pass, no shuffle. ``path``: the vocabulary file on every executor; by default that of the package installed there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = path or vocabulary_path()  # where the worker has it
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), encode_texts(part.column(1).to_pylist(), path)], names=[key, "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), encode_texts(part.column(1).to_pylist(), file)], names=[key, "ids"])
 
     return docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{key}` bigint, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, key: str = "doc_id", path: str | None = None) -> DataFrame:
     """(``key``, text) by emitting the labels of each id."""
-    path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton(path)
+        auto = automaton(path or vocabulary_path())
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([auto.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], names=[key, "text"])
 

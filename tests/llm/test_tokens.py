@@ -50,3 +50,33 @@ def test_a_small_word_table_gives_the_same(monkeypatch, other):
     monkeypatch.setattr(tk, "KEPT_WORDS", 3)
     for _ in range(3):
         assert tk.encode_texts(TEXTS, tk.vocabulary_path()).to_pylist() == [other.encode_ordinary(t or "") for t in TEXTS]
+
+
+def written_out(rng, alphabet: str, n: int):
+    """A random vocabulary and its automaton with all arcs, made by the gadgets themselves: which tokens each state has an arc for."""
+    vocab = {w: i for i, w in enumerate(alphabet)}
+    arcs = {t: set(range(len(alphabet))) for t in range(len(alphabet))}
+    names, merges = list(alphabet), []
+    while len(merges) < n:
+        a = rng.randrange(len(names))
+        if not arcs[a]:
+            continue
+        b = rng.choice(sorted(arcs[a]))  # a pair that occurs
+        if names[a] + names[b] in vocab:
+            continue
+        c = vocab[names[a] + names[b]] = len(names)
+        merges.append(f"{names[a]} {names[b]}")
+        names.append(names[a] + names[b])
+        arcs[c] = set(arcs[b])
+        arcs[a].discard(b)
+        for out in arcs.values():
+            if a in out:
+                out.add(c)
+    return vocab, merges, arcs
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_factored_table_equals_the_automaton_written_out(seed):
+    vocab, merges, arcs = written_out(random.Random(seed), "abcd", 60)
+    auto = tk.Automaton(vocab, merges)
+    assert {(x, y) for x, out in arcs.items() for y in out} == {(x, y) for x in vocab.values() for y in vocab.values() if auto.has_arc(x, y)}
