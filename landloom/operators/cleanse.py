@@ -85,9 +85,12 @@ def cleanse(raw: DataFrame, districts: list[str] | None = None) -> DataFrame:
         section.alias("section"),
         F.coalesce(own, F.get("_parcels", F.lit(0))).alias("first_parcel"),
         parcels.alias("parcels"),
+        land.cell_aliases(F.col("_cell")).alias("aliases"),
+        land.area_section(F.col("_cell")).alias("area_section"),
         F.coalesce(n, land.declared_count(F.col("_cell")), F.nullif(F.size("_parcels"), F.lit(0))).alias("land_count"),
         land.declared_count(F.coalesce(F.nullif(F.regexp_extract("_name", "(原.*)", 1), F.lit("")), F.col("_cell"))).alias("orig_count"),
         F.coalesce(anchor, F.lit("")).alias("named_anchor"),
+        F.regexp_extract("_name", r"^(擬訂|變更(?:\(第[一二三四五六七八九十]+次\))?)", 1).alias("stage"),
         land.stage_index(F.col("_name")).alias("stage_index"),
         tracks.alias("track"),
         F.when(tracks.contains("、"), land.stage_index(F.substring_index("_name", "及", 1))).alias("stage_plan"),

@@ -274,7 +274,7 @@ def orphan_cases(spark: SparkSession, d: str) -> DataFrame:
 def cleansed_records(spark: SparkSession, d: str) -> DataFrame:
     """The whole cleansing projection (NFKC has no SQL here)."""
     c = cleanse(table(spark, d, "raw_records"))
-    return c.select(*[F.array_join(n, "|").alias(n) if n in ("parcels", "auto_fixes", "review_flags") else F.col(n) for n in c.columns])
+    return c.select(*[F.array_join(n, "|").alias(n) if n in ("parcels", "aliases", "auto_fixes", "review_flags") else F.col(n) for n in c.columns])
 
 
 @query()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,11 +60,14 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, read from the session.
 
-    Only where that is unset (tests, one machine) a temporary folder takes its place.
+    Only where that is unset on one machine (tests) a temporary folder takes its place; on a cluster it is an error,
+    as a folder of the driver isn't there for the executors.
     """
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not known:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="landloom-")
         sc.setCheckpointDir(known)
     return known
@@ -76,6 +82,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"landloom-{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if not _written:
+        atexit.register(_at_end, spark)
     _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._landloom_path = path
@@ -99,6 +107,25 @@ def discard(df: DataFrame | None) -> None:
             _written.remove(path)
 
 
+def _at_end(spark: SparkSession) -> None:
+    try:
+        release(spark)
+    except Exception:  # the application is gone; what it shared went with it or is the cluster's to clean
+        _written.clear()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables written inside the block when it ends; results must have been computed by then."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in [p for p in _written if p not in before]:
+            _delete(spark, path)
+            _written.remove(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table of this driver that is left; results made from them can't be computed again."""
     while _written:

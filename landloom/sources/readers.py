@@ -50,9 +50,9 @@ def tsv(spark: SparkSession, path: str, columns: list[str], arrays: tuple[str, .
 
 
 def permit_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(permit_no, date, orig_permit, construction_start, lands) of each ``Data`` element."""
+    """(permit_no, date, orig_permit, construction_start, lands) of each ``Data`` element that has a number."""
     x = spark.read.format("xml").option("rowTag", "Data").schema(PERMIT_ROW).load(path)
-    return x.select(
+    return x.where("coalesce(trim(`執照號碼`), '') != ''").select(
         F.col("`執照號碼`").alias("permit_no"), F.col("`發照日期`").alias("date"), F.col("`原核發執照`").alias("orig_permit"), F.col("`開工日期`").alias("construction_start"), F.coalesce(F.col("`地段地號`.`地段號`"), F.array().cast("array<string>")).alias("lands")
     )
 

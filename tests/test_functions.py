@@ -31,6 +31,13 @@ def test_land_and_names(spark):
     assert tuple(got[0].n) == ("大安區", "芷棧段三小段", "302-1", 9) and (got[0].s, got[0].t) == (12, "事業計畫、權利變換")
     assert got[1].s == 0 and got[1].t == "" and tuple(got[1].n) == (None, None, None, None)
     assert values(spark, land.parcel_tokens, ["臺北市大安區芷棧段三小段302、302-1、302地號等9筆土地", "", None]) == [["302", "302-1"], [], None]
+    assert values(spark, land.parcel_tokens, ["松濤段5地號(原12、13)、06地號等2筆土地", "松濤段一小段7(東側,1/2)、8(B區段)"]) == [["5", "6"], ["7", "8"]]
+    assert values(spark, land.cell_aliases, ["松濤段5地號(原12、13)、06地號(原核定地號為7-1)等2筆土地", "松濤段5地號", None]) == [["5:12", "5:13", "6:7-1"], [], None]
+    assert values(spark, land.area_section, ["松濤段5地號(B區段)", "x"]) == ["B", ""]
+    assert values(spark, land.stage_index, ["變更(第二次)x", "變更x", "擬訂x", "x變更", "x(變更(第二次))"]) == [2, 1, 0, -1, -1]
+    assert values(spark, land.heading_stage, ["x案(變更(第二次))", "擬定x", "x", None]) == [2, 0, None, None]
+    at = values(spark, lambda c: land.place(c), ["臺北市大安區松濤段1小段07-2地號等3筆", "杉洲三小段590地號", "x"])
+    assert [tuple(p) for p in at] == [("大安區", "松濤一", "7-2", 3), ("", "杉洲三", "590", None), ("", "", "", None)]
     assert values(spark, land.normalize_land, [" 松濤段1、2 ,3，", None]) == ["松濤段123", None]
     assert values(spark, land.sorted_parcels, [["10", "2-10", "2", "2-9"], []], "array<string>") == [["2", "2-9", "2-10", "10"], []]
     assert values(spark, land.padded_parcel, ["30-2", "7", None]) == ["00300002", "00070000", None]

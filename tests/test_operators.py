@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -57,11 +58,11 @@ def test_overlap_witness_gaps_successors(spark):
     assert rows(m.superseded(cases, ["name"], "c", "e")) == [(1, 2)]
 
 
-def approval(recno, section="松濤段", first="1", parcels=("1", "2"), count=2, orig=0, anchor="", day="2020-01-01", stage=0, track="a"):
-    return (recno, "大安區", section, first, list(parcels), count, orig, anchor, day, stage, track, anchor)
+def approval(recno, section="松濤段", first="1", parcels=("1", "2"), aliases=(), count=2, orig=0, anchor="", day="2020-01-01", stage=0, track="a"):
+    return (recno, "大安區", section, first, list(parcels), list(aliases), count, orig, anchor, day, stage, track, anchor)
 
 
-SCHEMA = "recno bigint, district string, section string, first string, parcels array<string>, count int, orig int, anchor string, day string, stage_index int, track string, area string"
+SCHEMA = "recno bigint, district string, section string, first string, parcels array<string>, aliases array<string>, count int, orig int, anchor string, day string, stage_index int, track string, area string"
 
 
 def test_families(spark):
@@ -78,6 +79,45 @@ def test_families(spark):
     assert fam.families(rec.limit(0)).count() == 0
 
 
+def test_score_reads_aliases(spark):
+    """The score's rules, each against the published weights."""
+    score = lambda *recs: round(fam.scored_pairs(spark.createDataFrame(list(recs), SCHEMA)).first().score, 6)
+    a = approval(1, first="5", parcels=("5", "6"))
+    assert score(a, approval(2, first="5", parcels=("5", "6"))) == 0.95
+    # The second's first parcel was the first's: bridged.
+    b = approval(2, first="12", parcels=("12", "13"), aliases=("12:5", "13:6"))
+    assert score(a, b) == round(0.35 + 0.2 * 0.95 + 0.3 * 2 / 4 + 0.1, 6)
+    assert score(a, approval(2, first="12", parcels=("12", "13"), aliases=("13:5",))) == round(0.35 + 0.2 * 0.7 + 0.3 * 1 / 4 + 0.1, 6)
+    assert score(a, approval(2, first="12", parcels=("12",), aliases=("12:5",), count=9, orig=2)) == round((0.35 + 0.2 * 0.95 + 0.1) / 0.65, 6)
+    # A count is matched by a former one only where both are known.
+    assert score(approval(1, first="5", parcels=("5", "7"), count=4), approval(2, first="5", parcels=("5", "8"), count=0, orig=4)) == round((0.35 + 0.2 + 0.1) / 0.65, 6)
+    assert score(approval(1, first="7", parcels=("5", "7"), count=4), approval(2, first="5", parcels=("5", "8"), count=0, orig=4)) == round(0.35 + 0.14 + 0.3 / 3, 6)
+
+
+def test_runs_and_marks_over_any_blocks(spark):
+    rng = random.Random(4)
+    data = [(rng.choice("ab") if i % 9 else None, i, rng.choice("xyz") if i % 7 else None, rng.random() < 0.1) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, s int, v string, m boolean")
+    for n in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = {(r.k, r.island): (r.v, r.n) for r in measures.islands(df, ["k"], ["s"], "v").collect()}
+        near = {r.s: r.nearest for r in measures.nearest_marked(df, ["k"], ["s"], F.col("m"), "s").collect()}
+        for k in ("a", "b", None):
+            own = [(s, v, m) for kk, s, v, m in data if kk == k]
+            runs = [(v, len(list(g))) for v, g in itertools.groupby(x[1] for x in own)]
+            assert [got.pop((k, i + 1)) for i in range(len(runs))] == runs
+            for s, _, _ in own:
+                above, below = [x for x, _, m in own if m and x < s], [x for x, _, m in own if m and x > s]
+                assert near[s] == (above[-1] if above else below[0] if below else None)
+        assert got == {}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_gap_ranges(spark):
+    held = spark.createDataFrame([("x", 1), ("x", 4), ("x", 4), ("x", 1_000_000_000), ("y", 5), ("y", None), (None, 7)], "s string, n int")
+    assert rows(m.gap_ranges(held, ["s"], "n")) == [("x", 2, 3), ("x", 5, 999_999_999)]
+
+
 def test_long_chain_of_labels(spark):
     n = 300
     nodes = spark.range(n).select(F.col("id").alias("recno"))
