@@ -236,11 +236,23 @@ def unit_aliases(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def release_families_matched(spark: SparkSession, d: str) -> DataFrame:
-    """Projects and register families paired one to one, strongest overlap first (greedy, so no SQL)."""
-    m = table(spark, d, "projects").select(F.col("anchor_recno").cast("bigint").alias("project"), F.explode(F.col("member_recnos").cast("array<bigint>")).alias("recno"))
+    """Projects and register families paired one to one, strongest overlap first (greedy, so no SQL), then by place; the rest is lost or born.
+
+    A place pairs where one project and one family that are left have it.
+    """
+    p = table(spark, d, "projects").select(F.col("anchor_recno").cast("bigint").alias("project"), "district", "section", land.place(no_space(fold_width(F.col("land_core"))))["first"].alias("first"), F.col("member_recnos").cast("array<bigint>").alias("m"))
     fams = approvals(spark, d, "recno", "district", "section", "first").where("section != '' and first != ''")
-    unit = fams.join(fams.groupBy("district", "section", "first").agg(F.min("recno").alias("family")), ["district", "section", "first"]).select("family", "recno")
-    return match.one_to_one(match.votes(m, unit, "project", "family", ["recno"]), "project", "family", "votes")
+    place = ["district", "section", "first"]
+    unit = materialize(fams.groupBy(*place).agg(F.min("recno").alias("family"), F.collect_list("recno").alias("m")), "units")  # the approvals of one land
+    members = lambda df, k: df.select(k, F.explode("m").alias("recno"))
+    by_members = match.one_to_one(match.votes(members(p, "project"), members(unit, "family"), "project", "family", ["recno"]), "project", "family", "votes").withColumn("how", F.lit("members"))
+    left, right = p.join(by_members, "project", "left_anti"), unit.join(by_members, "family", "left_anti")
+    one = match.unique_or_nothing(left.select("project", *place), place, "project").join(match.unique_or_nothing(right.select("family", *place), place, "family"), place)
+    by_place = one.select("project", "family", F.lit(0).cast("bigint").alias("votes"), F.lit("place").alias("how"))
+    none = F.lit(None).cast("bigint")
+    lost = left.join(by_place, "project", "left_anti").select("project", none.alias("family"), F.lit(0).cast("bigint").alias("votes"), F.lit("lost").alias("how"))
+    born = right.join(by_place, "family", "left_anti").select(none.alias("project"), "family", F.lit(0).cast("bigint").alias("votes"), F.lit("born").alias("how"))
+    return reduce(DataFrame.unionByName, [by_members, by_place, lost, born])
 
 
 @query(f"""WITH {AP}, t AS (SELECT recno, section, parcels, unnest(parcels) AS p FROM ap WHERE section <> ''), n AS (SELECT a.recno, b.recno AS other, count(*) AS n, any_value(len(a.parcels) + len(b.parcels)) AS s FROM t a JOIN t b ON a.section = b.section AND a.p = b.p AND a.recno > b.recno GROUP BY ALL),

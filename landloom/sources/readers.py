@@ -73,13 +73,24 @@ class _Cells(HTMLParser):
     def __init__(self):
         super().__init__()
         self.rows: list[list[str]] = []
+        self.where: list[tuple[int, bool]] = []  # of each row its table's number and whether that is hidden
         self.links: list[tuple[str, str]] = []
+        self._tables: list[tuple[int, bool]] = []
+        self._count = 0
         self._cell = self._href = None
         self._text = ""
 
+    def _row(self):
+        self.rows.append([])
+        self.where.append(self._tables[-1] if self._tables else (0, False))
+
     def handle_starttag(self, tag, attrs):
         if tag == "tr":
-            self.rows.append([])
+            self._row()
+        elif tag == "table":
+            self._count += 1
+            hidden = "display:none" in (dict(attrs).get("style") or "").replace(" ", "")
+            self._tables.append((self._count, hidden or bool(self._tables) and self._tables[-1][1]))
         elif tag in ("td", "th"):
             self._cell = ""
         elif tag == "a":
@@ -88,9 +99,11 @@ class _Cells(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("td", "th") and self._cell is not None:
             if not self.rows:
-                self.rows.append([])
+                self._row()
             self.rows[-1].append(" ".join(self._cell.split()))
             self._cell = None
+        elif tag == "table" and self._tables:
+            self._tables.pop()
         elif tag == "a" and self._href is not None:
             self.links.append((self._href, " ".join(self._text.split())))
             self._href = None
@@ -121,6 +134,41 @@ def html_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, kind string, n int, cells array<string>")
 
 
+def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(``key``, tab, hidden, n, cells): the rows of each table of a page, in order; tables count from 1, rows outside any are in table 0."""
+    kind = dict(pages.dtypes)[key]
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for k, page in zip(pdf[key], pdf[html]):
+                p = _Cells()
+                p.feed(page or "")
+                out += [(k, t, hidden, n, cells) for n, ((t, hidden), cells) in enumerate(zip(p.where, p.rows)) if cells]
+            yield pd.DataFrame(out, columns=[key, "tab", "hidden", "n", "cells"])
+
+    return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, tab int, hidden boolean, n int, cells array<string>")
+
+
+#: Fixed values of the pages: the head of a table of milestones, and the link to the next page of a list.
+MILESTONE_HEAD, NEXT_PAGE = ["項目", "日期"], "下一頁"
+
+
+def milestones(tables: DataFrame, key: str) -> DataFrame:
+    """(``key``, n, label, value): the rows below the head of a page's table of milestones; a hidden table counts only where no shown one has the head."""
+    head = tables.where(F.col("cells") == F.array(*map(F.lit, MILESTONE_HEAD)))
+    best = head.groupBy(key).agg(F.min(F.struct("hidden", "tab", F.col("n").alias("at"))).alias("b")).select(key, F.col("b.tab").alias("tab"), F.col("b.at").alias("at"))
+    rows = tables.join(best, [key, "tab"]).where((F.col("n") > F.col("at")) & (F.size("cells") == 2))
+    return rows.select(key, "n", F.col("cells")[0].alias("label"), F.col("cells")[1].alias("value"))
+
+
+def has_next_page(rows: DataFrame, key: str) -> DataFrame:
+    """(``key``, more): whether a list page links to a next one; ``rows`` as of ``html_rows``."""
+    return rows.groupBy(key).agg(F.bool_or((F.col("kind") == "link") & (F.col("cells")[1] == NEXT_PAGE) & (F.col("cells")[0] != "")).alias("more"))
+
+
 def html_title(html: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)(?:\s*-[^<]*)?</title>", 1)), F.lit(""))
 

@@ -79,3 +79,16 @@ def test_append_once_upsert_and_resume(spark, tmp_path):
     c = spark.createDataFrame([(2, "x", 5), (2, "y", 6), (3, "z", 1)], "k int, v string, seq bigint")
     assert sorted((r.k, r.v) for r in intake.upsert(t, c, ["k"], "seq").collect()) == [(1, "a"), (2, "y"), (3, "z")]
     assert [r.k for r in intake.pending(t, c, "k").collect()] == [1]
+
+
+def test_tables_and_milestones_of_pages(spark):
+    head = "<tr><th>項目</th><th>日期</th></tr>"
+    shown = f"<table><tr><td>x</td><td>y</td></tr></table><table>{head}<tr><td>申請</td><td>107/1/2</td></tr><tr><td>one</td></tr><tr><td>核定</td><td></td></tr></table>"
+    hidden = f'<table style="display: none">{head}<tr><td>舊</td><td>99/1/1</td></tr></table>'
+    nested = f'<div><table style="display:none"><tr><td><table>{head}<tr><td>內</td><td>1</td></tr></table></td></tr></table></div>'
+    pages = spark.createDataFrame([(1, hidden + shown), (2, hidden), (3, None), (4, "<p>x</p><a href='?p=2'>下一頁</a>"), (5, nested), (6, "<a>下一頁</a>")], "k int, html string")
+    t = readers.html_tables(pages, "k", "html")
+    got = sorted((r.k, r.label, r.value) for r in readers.milestones(t, "k").collect())
+    assert got == [(1, "核定", ""), (1, "申請", "107/1/2"), (2, "舊", "99/1/1"), (5, "內", "1")]
+    more = {r.k: r.more for r in readers.has_next_page(readers.html_rows(pages, "k", "html"), "k").collect()}
+    assert more[4] and not more.get(6) and not more.get(1)

@@ -106,7 +106,19 @@ def test_release_families_matched(spark, printed):
             taken.add((a, f, -n))
             left.add(a)
             right.add(f)
-    assert {tuple(r) for r in entry.queries()["release_families_matched"](spark, SF).collect()} == taken and taken
+    rest_p = [p for p in rows(spark, "projects") if p["anchor_recno"] not in left]
+    rest_f = {u: min(f) for u, f in families.items() if min(f) not in right}
+    at = lambda p: (p["district"], p["section"], re.search("([0-9]+(?:-[0-9]+)?)地號", folded(p["land_core"]))[1])
+    for p in rest_p:
+        f = rest_f.get(at(p))
+        if f is not None and sum(at(q) == at(p) for q in rest_p) == 1:
+            left.add(p["anchor_recno"])
+            right.add(f)
+            taken.add((p["anchor_recno"], f, 0))
+    got = list(entry.queries()["release_families_matched"](spark, SF).collect())
+    assert {(r.project, r.family, r.votes) for r in got if r.how in ("members", "place")} == taken and taken
+    assert sorted(r.project for r in got if r.how == "lost") == sorted(p["anchor_recno"] for p in rows(spark, "projects") if p["anchor_recno"] not in left)
+    assert sorted(r.family for r in got if r.how == "born") == sorted(min(f) for f in families.values() if min(f) not in right)
 
 
 def test_row_recovery(spark):
