@@ -22,9 +22,11 @@ LINK, BORDER = 0.7, 0.5
 
 
 def classes(rec: DataFrame) -> DataFrame:
-    """(rep, recno) with the scored columns: every record with the lowest record of its class."""
-    rep = rec.groupBy(*SIDE).agg(F.min("recno").alias("rep"))
-    return rec.join(rep, SIDE).select("rep", "recno", *SIDE)
+    """(rep, recno) with the scored columns: every record with the lowest record of its class. Classes are told apart by 128 bits of hash, so lists aren't shuffled to compare them."""
+    h = ["_h1", "_h2"]
+    rec = rec.select("recno", *SIDE, F.xxhash64(*SIDE).alias("_h1"), F.xxhash64(F.lit("second"), *SIDE).alias("_h2"))
+    rep = rec.groupBy(*h).agg(F.min("recno").alias("rep"))
+    return rec.join(rep, h).select("rep", "recno", *SIDE)
 
 
 def _sides(pairs: DataFrame, reps: DataFrame) -> DataFrame:

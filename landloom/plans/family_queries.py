@@ -9,7 +9,7 @@ from ..operators import families as fam
 from ..operators import publication as pub
 from ..functions.text import fold_width, no_space
 from ..operators.matching import unique_or_nothing
-from ..runtime import table
+from ..runtime import materialize, table
 from .registry import AP, approvals, fold_sql, query, squeeze_sql
 
 REPS = AP + """, reps AS (SELECT min(recno) AS recno, district, section, first, parcels, aliases, "count", orig, anchor, list_distinct(list_concat(parcels, flatten(list_transform(aliases, lambda x: string_split(x, ':'))))) AS held FROM ap GROUP BY ALL)"""
@@ -47,7 +47,7 @@ SLUGS = (
 
 
 def _families(spark: SparkSession, d: str) -> DataFrame:
-    rec = approvals(spark, d)
+    rec = materialize(approvals(spark, d), "approvals")  # read for the families and again with them
     return rec.join(fam.families(rec), "recno")
 
 

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 #: Queries that give rows without data: totals, fixed dimensions, one-row figures.
-ROWS = {"kpi_by_nation_rollup", "pipeline_pivot", "coverage_diff", "partition_check", "record_gate", "corpus_measurements", "permit_slots"}
+ROWS = {"kpi_by_nation_rollup", "pipeline_pivot", "coverage_diff", "partition_check", "record_gate", "corpus_measurements", "permit_slots", "badge_agreement", "payload_gate", "document_consistency", "isolated_events", "kpi_by_district", "pipeline_idle"}
 
 
 @pytest.fixture(scope="module")
