@@ -8,6 +8,9 @@ pairs of at least ``least`` are links, of which a search takes the approval, and
 A search is linked in two steps, each with a model of its own: to land units by what they say of the land, then to one
 of the unit's approvals by stage, day, year of filing and kind of plan. Permits speak of land only: one step.
 
+Texts that are only compared are carried as 64-bit numbers, so joins and sorts move no strings; two texts with one number
+would give a candidate pair more, which the levels judge.
+
 Scale: blocks are a section and a parcel number (permits with the district), or a district and a day, and pair a search
 or permit with the few land units that hold them, never with each other. Only the counts of the distinct agreement vectors (a fixed number
 of combinations) reach the driver; the posteriors come back as a table of that size. Approvals that are one record
@@ -109,7 +112,7 @@ def approvals(clean: DataFrame) -> DataFrame:
     """One row per clean row: unit, section, parcel, count, stage, track, district, day and the parcels it lists."""
     h = clean.select(
         F.col("clean_id").cast("bigint").alias("clean_id"), "recno", "name", no_space(F.regexp_replace(fold_width(F.col("land")), r"(?<=[0-9])\s+(?=[0-9])", "、")).alias("land"), section_key(F.col("section")).alias("s"),
-        "first_parcel", "district", "stage_index", day_of(F.col("iso_date")).alias("day"), fold_width(F.col("parcels")).alias("parcels"),
+        "first_parcel", "district", "stage_index", F.to_date(day_of(F.col("iso_date"))).alias("day"), fold_width(F.col("parcels")).alias("parcels"),
     )
     h = with_headings(h, h="name")
     # The cell's place stands before its first number; its list and the packed one hold the unit's numbers.
@@ -130,13 +133,26 @@ def approvals(clean: DataFrame) -> DataFrame:
     # Districts have sections of the same name; a row without a district takes that of the only unit it can mean.
     only = rows.groupBy("sec", "first").agg(F.max("said").alias("a"), F.min("said").alias("b")).where("a = b").select("sec", "first", F.col("a").alias("only"))
     rows = rows.join(only, ["sec", "first"], "left").withColumn("dist", F.coalesce("said", "only"))
-    return rows.select("clean_id", "recno", "sec", "first", "cnt", "stage", "track", "dist", "day", "listed", F.concat_ws("|", F.coalesce("dist", F.lit("")), "sec", "first").alias("unit"))
+    place = F.coalesce("dist", F.lit(""))
+    named = lambda p: F.struct(F.xxhash64(p).alias("number"), F.xxhash64("sec", main_number(p)).alias("at"), F.xxhash64(F.coalesce("dist", F.lit("")), "sec", main_number(p)).alias("inside"))
+    rows = rows.withColumns({"listed": F.transform(F.array_union("listed", F.array("first")), named), "unit": F.xxhash64(place, "sec", "first"), "main": number(main_number(F.col("first")))})
+    rows = rows.withColumns({"dist": number("dist"), "sec": number("sec"), "first": number("first"), "track": track_code(F.col("track"))})
+    return rows.select("clean_id", "recno", "unit", "dist", "sec", "first", "main", "cnt", "stage", "track", "day", "listed")
+
+
+def number(c: Column | str) -> Column:
+    """A text as a 64-bit number that stands for it; null stays null."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNotNull(), F.xxhash64(c))
+
+
+def track_code(track: Column) -> Column:
+    return F.when(track == "b", 1).when(track == "r", 2).when(track == "br", 3)
 
 
 def unit_parcels(rows: DataFrame) -> DataFrame:
-    """(unit, sec, parcel, main): the parcels listed by any row of a unit."""
-    listed = rows.select("unit", "sec", F.explode(F.array_union("listed", F.array("first"))).alias("parcel"))
-    return listed.distinct().withColumn("main", main_number(F.col("parcel")))
+    """(unit, number, at, inside): the parcels listed by any row of a unit, with the numbers of (section, main number) and (district, section, main number)."""
+    return rows.select("unit", F.explode("listed").alias("p")).groupBy("unit", "p.number").agg(F.min("p.at").alias("at"), F.min("p.inside").alias("inside"))
 
 
 def level(known: Column, *levels: Column) -> Column:
@@ -199,55 +215,58 @@ def _neighbours(df: DataFrame, day: str) -> DataFrame:
 def candidates(rows: DataFrame) -> DataFrame:
     """One row per printed approval of a unit: of its copies each value comes from the first that has it."""
     of = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("clean_id"))).alias(c)
-    return _neighbours(rows.groupBy("unit", "recno").agg(*[of(c) for c in ("first", "cnt", "stage", "track", "dist", "day")]), "day")
+    same = [F.min(c).alias(c) for c in ("dist", "sec", "first", "main")]  # one of each in a unit
+    return _neighbours(rows.groupBy("unit", "recno").agg(*same, *[of(c) for c in ("cnt", "stage", "track", "day")]), "day")
 
 
 def searches(search: DataFrame) -> DataFrame:
-    """The resolved searches with what their land and heading say."""
+    """The resolved searches with what their land (c) and heading (h) say, texts as numbers."""
     s = search.where(F.col("status") == "resolved").select(
-        F.col("search_id").cast("bigint").alias("search_id"), "land_core", "case_name", day_of(F.col("chk_date")).alias("s_day"),
+        F.col("search_id").cast("bigint").alias("search_id"), "land_core", "case_name", F.to_date(day_of(F.col("chk_date"))).alias("s_day"),
         (F.substring(F.get("case_ids", F.lit(0)), 1, 3).try_cast("int") + 1911).alias("filed"),
     )
-    return with_headings(s, c="land_core", h="case_name").select(
-        "search_id", F.coalesce("c.sec", "h.sec").alias("c_sec"), F.coalesce("h.sec", "c.sec").alias("h_sec"), F.col("c.parcel").alias("c_parcel"), F.col("h.parcel").alias("h_parcel"),
-        F.col("h.cnt").alias("s_cnt"), F.col("h.stage").alias("s_stage"), F.col("h.track").alias("s_track"), F.coalesce("c.dist", "h.dist").alias("s_dist"), "s_day", "filed",
+    s = with_headings(s, c="land_core", h="case_name")
+    s = s.withColumns({"c_sec": F.coalesce("c.sec", "h.sec"), "h_sec": F.coalesce("h.sec", "c.sec")})
+    at = lambda sec, parcel: F.when(F.col(sec).isNotNull() & F.col(parcel).isNotNull(), F.xxhash64(sec, main_number(F.col(parcel))))
+    return s.select(
+        "search_id", at("c_sec", "c.parcel").alias("c_at"), number("c.parcel").alias("c_number"), at("h_sec", "h.parcel").alias("h_at"), number("h.parcel").alias("h_number"), number(main_number(F.col("h.parcel"))).alias("h_main"), number("h_sec").alias("h_sec"),
+        F.col("h.cnt").alias("s_cnt"), F.col("h.stage").alias("s_stage"), track_code(F.col("h.track")).alias("s_track"), number(F.coalesce("c.dist", "h.dist")).alias("s_dist"), "s_day", "filed",
     )
 
 
 def unit_pairs(s: DataFrame, cand: DataFrame, parcels: DataFrame) -> DataFrame:
     """Candidate (search, unit) pairs of all blocking passes with their agreement levels."""
-    unit = parcels.select("unit", F.col("sec").alias("p_sec"), F.col("main").alias("p_main"), "parcel")
     # Pass 1: section and searched number. Pass 2: section and number of the heading.
-    key = lambda sec, parcel, first: F.struct(F.col(sec).alias("p_sec"), main_number(F.col(parcel)).alias("p_main"), F.col(parcel).alias("k_parcel"), F.lit(first).alias("searched"))
-    keys = s.select("search_id", F.explode(F.array(key("c_sec", "c_parcel", True), key("h_sec", "h_parcel", False))).alias("k")).select("search_id", "k.*")
-    met = keys.where("p_sec is not null and p_main is not null").join(unit, ["p_sec", "p_main"]).select("search_id", "unit", "searched", (F.col("searched") & (F.col("parcel") == F.col("k_parcel"))).alias("same"))
+    key = lambda at, parcel, first: F.struct(F.col(at).alias("at"), F.col(parcel).alias("k"), F.lit(first).alias("searched"))
+    keys = s.select("search_id", F.explode(F.array(key("c_at", "c_number", True), key("h_at", "h_number", False))).alias("k")).select("search_id", "k.*").where("at is not null")
+    met = keys.join(parcels.select("unit", "number", "at"), "at").select("search_id", "unit", "searched", (F.col("searched") & (F.col("number") == F.col("k"))).alias("same"))
     # Pass 3: district and day, for sections and numbers that are wrong or missing.
     days = cand.where("dist is not null and day is not null").select("unit", F.col("dist").alias("s_dist"), F.col("day").alias("s_day")).distinct()
     dated = s.where("s_dist is not null and s_day is not null").select("search_id", "s_dist", "s_day").join(days, ["s_dist", "s_day"]).select("search_id", "unit", F.lit(False).alias("searched"), F.lit(False).alias("same"))
-    blocks = met.unionByName(dated).groupBy("search_id", "unit").agg(F.bool_or("searched").alias("has_main"), F.bool_or("same").alias("has"))
-    u = cand.groupBy("unit").agg(F.max("dist").alias("dist"), F.collect_set("cnt").alias("counts"))  # a unit has a handful of counts
-    part = lambda i: F.substring_index(F.substring_index("unit", "|", i), "|", -1)
-    p = s.join(blocks, "search_id").join(u, "unit").withColumns({"u_sec": part(2), "u_first": part(3)})
+    blocks = met.unionByName(dated).groupBy("search_id", "unit").agg(F.max("searched").alias("has_main"), F.max("same").alias("has"))
+    u = cand.groupBy("unit").agg(*[F.min(c).alias(c) for c in ("dist", "sec", "first", "main")], F.collect_set("cnt").alias("counts"))  # a unit has a handful of counts
+    p = s.join(blocks, "search_id").join(u, "unit")
+    known = lambda *c: F.expr(" and ".join(f"{x} is not null" for x in c))
     return p.select(
         "search_id", "unit",
-        level(F.col("c_parcel").isNotNull(), F.col("has"), F.col("has_main")).alias("g_parcel"),
-        level(F.col("h_parcel").isNotNull(), (F.col("h_parcel") == F.col("u_first")) & (F.col("h_sec") == F.col("u_sec")), main_number(F.col("h_parcel")) == main_number(F.col("u_first"))).alias("g_head"),
-        level(F.col("s_cnt").isNotNull() & (F.size("counts") > 0), F.array_contains("counts", F.col("s_cnt"))).alias("g_count"),
-        level(F.col("s_dist").isNotNull() & F.col("dist").isNotNull(), F.col("s_dist") == F.col("dist")).alias("g_dist"),
+        level(known("c_number"), F.col("has"), F.col("has_main")).alias("g_parcel"),
+        level(known("h_number"), (F.col("h_number") == F.col("first")) & (F.col("h_sec") == F.col("sec")), F.col("h_main") == F.col("main")).alias("g_head"),
+        level(known("s_cnt") & (F.size("counts") > 0), F.array_contains("counts", F.col("s_cnt"))).alias("g_count"),
+        level(known("s_dist", "dist"), F.col("s_dist") == F.col("dist")).alias("g_dist"),
     )
 
 
 def approval_pairs(units: DataFrame, s: DataFrame, cand: DataFrame) -> DataFrame:
     """(search, approval) pairs of linked units with their agreement levels; ``at_unit`` is the confidence of the unit."""
-    p = units.select("search_id", "unit", F.col("confidence").alias("at_unit")).join(s.select("search_id", "s_stage", "s_track", "s_day", "filed"), "search_id").join(cand, "unit")
-    gap = F.abs(F.datediff(F.to_date("s_day"), F.to_date("day")))
+    p = units.select("search_id", "unit", F.col("confidence").alias("at_unit")).join(s.select("search_id", "s_stage", "s_track", "s_day", "filed"), "search_id").join(cand.select("unit", "recno", "stage", "track", "day", "after", "before"), "unit")
+    gap = F.abs(F.datediff("s_day", "day"))
     # Without a day of its own an approval lies between its neighbours.
     fits = F.col("day").isNull() & F.col("s_day").isNotNull() & F.coalesce(F.col("s_day") > F.col("after"), F.lit(True)) & F.coalesce(F.col("s_day") < F.col("before"), F.lit(True))
     return p.select(
         "search_id", "unit", "recno", "day", "s_day", "at_unit",
         level(F.col("s_stage").isNotNull() & F.col("stage").isNotNull(), F.col("s_stage") == F.col("stage")).alias("g_stage"),
         level(F.col("s_day").isNotNull() & (F.col("day").isNotNull() | fits), gap <= 4, fits, gap <= 31).alias("g_day"),
-        level(F.col("filed").isNotNull() & F.col("day").isNotNull(), F.year(F.to_date("day")) >= F.col("filed")).alias("g_filed"),
+        level(F.col("filed").isNotNull() & F.col("day").isNotNull(), F.year("day") >= F.col("filed")).alias("g_filed"),
         level(F.col("s_track").isNotNull() & F.col("track").isNotNull(), F.col("s_track") == F.col("track")).alias("g_track"),
     )
 
@@ -262,7 +281,7 @@ def case_links(cand: DataFrame, parcels: DataFrame, search: DataFrame, least: fl
     pairs = with_confidence(materialize(approval_pairs(units, s, cand), "cases"), STAGE_LEVELS).where(F.col("confidence") >= least)
     pairs = pairs.withColumn("confidence", F.col("confidence") * F.col("at_unit"))
     # The least tuple: most confident, then the nearest day, the earliest approval, the lowest number.
-    rank = F.struct(-F.col("confidence"), -F.col("g_day"), F.coalesce("day", F.lit("9999")), "unit", "recno")
+    rank = F.struct(-F.col("confidence"), -F.col("g_day"), F.coalesce("day", F.lit("9999-12-31").cast("date")), "unit", "recno")
     return pairs.groupBy("search_id").agg(F.min_by(F.struct("unit", "recno", "s_day", "confidence"), rank).alias("r")).select("search_id", "r.*")
 
 
@@ -276,16 +295,17 @@ def permit_pairs(parcels: DataFrame, permits: DataFrame) -> DataFrame:
     """
     said = F.array_distinct(F.filter(F.transform("parcels", lambda x: F.nullif(F.trim(x["district"]), F.lit(""))), lambda x: x.isNotNull()))
     named = F.transform("parcels", lambda x: F.struct(F.coalesce(F.nullif(F.trim(x["district"]), F.lit("")), F.lit("")).alias("dist"), section_key(x["section"]).alias("sec"), main_number(no_space(fold_width(x["mono"]))).alias("main")))
-    p = permits.select(F.col("permit_id").cast("bigint").alias("permit_id"), said.alias("s"), issued_on().alias("issued"), named.alias("x"))
+    p = permits.select(F.col("permit_id").cast("bigint").alias("permit_id"), said.alias("s"), F.to_date(issued_on()).alias("issued"), named.alias("x"))
     p = p.withColumn("p_dist", F.when(F.size("s") == 1, F.get("s", F.lit(0))).otherwise(""))
     # A parcel without a district takes its permit's only one; without any it meets the section's of all districts.
-    own = F.transform(F.filter("x", lambda x: x["sec"].isNotNull() & x["main"].isNotNull()), lambda x: F.struct(F.when(x["dist"] == "", F.col("p_dist")).otherwise(x["dist"]).alias("b_dist"), x["sec"].alias("sec"), x["main"].alias("main")))
+    dist = lambda x: F.when(x["dist"] == "", F.col("p_dist")).otherwise(x["dist"])
+    own = F.transform(F.filter("x", lambda x: x["sec"].isNotNull() & x["main"].isNotNull()), lambda x: F.when(dist(x) == "", F.xxhash64(x["sec"], x["main"])).otherwise(F.xxhash64(dist(x), x["sec"], x["main"])))
     p = p.withColumn("x", F.array_distinct(own))
-    each = p.select("permit_id", "issued", F.size("x").alias("n"), F.explode("x").alias("x")).select("permit_id", "issued", "n", "x.*")
-    unit = parcels.select("unit", "sec", "main").where("main is not null").distinct()
+    each = p.select("permit_id", "issued", F.size("x").alias("n"), F.explode("x").alias("key"))
+    unit = parcels.groupBy("unit", "at").agg(F.min("inside").alias("inside"))
     size = unit.groupBy("unit").agg(F.count("*").alias("u_n"))
-    at = unit.withColumn("b_dist", F.explode(F.array_distinct(F.array(F.substring_index("unit", "|", 1), F.lit("")))))
-    hits = each.join(at, ["b_dist", "sec", "main"]).groupBy("permit_id", "unit").agg(F.count("*").alias("hits"), *[F.max(c).alias(c) for c in ("issued", "n")])
+    keyed = unit.select("unit", F.explode(F.array("inside", "at")).alias("key"))
+    hits = each.join(keyed, "key").groupBy("permit_id", "unit").agg(F.count("*").alias("hits"), *[F.max(c).alias(c) for c in ("issued", "n")])
     q = hits.join(size, "unit")
     share = lambda whole: level(F.lit(True), F.col("hits") == F.col(whole), 2 * F.col("hits") > F.col(whole))
     return q.select(
