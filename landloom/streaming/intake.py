@@ -31,24 +31,40 @@ def sessions(df: DataFrame, ts: str = "ts", gap: str = "30 minutes", keys: tuple
 
 
 def first_offers(df: DataFrame, content: str, ts: str | None = None, late: str | None = None) -> DataFrame:
-    """Rows whose content digest has not been seen; with a watermark the state stays bounded."""
+    """Rows whose content digest has not been seen: within ``late`` where a time is given, so the state stays bounded; else ever, which keeps a digest of everything."""
     d = df.withColumn("sha256", F.sha2(F.col(content), 256))
     return _timed(d, ts, late).dropDuplicatesWithinWatermark(["sha256"]) if ts and late else d.dropDuplicates(["sha256"])
 
 
-def running_state(df: DataFrame, key: str = "user_id", ts: str = "ts", value: str = "event_type") -> DataFrame:
-    """(key, n, latest, changes): a stateful operator that counts a key's events and the changes of its value in arrival order."""
+def running_state(df: DataFrame, key: str = "user_id", ts: str = "ts", value: str = "event_type", late: str | None = None, idle_ms: int = 0) -> DataFrame:
+    """(key, n, latest, changes): a stateful operator that counts a key's events and the changes of its value, batch after batch in order of time.
+
+    With ``late`` the state of a key is dropped once the watermark is ``idle_ms`` past its last event, so the state is
+    bounded by the keys active meanwhile; without it every key is kept, which suits a fixed set of keys. A null value
+    is a value of its own.
+    """
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         n, latest, changes = state.get if state.exists else (0, None, 0)
-        for pdf in batches:
-            for v in pdf.sort_values(ts)[value]:
-                n, changes, latest = n + 1, changes + (latest is not None and v != latest), v
+        rows = pd.concat(list(batches)).sort_values(ts, kind="stable")
+        v = rows[value].astype(object).where(rows[value].notna(), None)
+        before = v.shift(1)
+        changed = (v != before) & ~(v.isna() & before.isna())
+        # The first row changes only against what was kept.
+        head = n > 0 and v.iloc[0] != latest
+        changes += int(changed.iloc[1:].sum()) + head
+        n, latest = n + len(v), v.iloc[-1]
         state.update((n, latest, changes))
+        if late:
+            state.setTimeoutTimestamp(max(int(rows[ts].max().timestamp() * 1000) + idle_ms, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame({key: [k[0]], "n": [n], "latest": [latest], "changes": [changes]})
 
     kind = dict(df.dtypes)[key]
-    return df.select(key, ts, value).groupBy(key).applyInPandasWithState(step, f"`{key}` {kind}, n bigint, latest string, changes bigint", "n bigint, latest string, changes bigint", "update", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.EventTimeTimeout if late else GroupStateTimeout.NoTimeout
+    return _timed(df.select(key, ts, value), ts, late).groupBy(key).applyInPandasWithState(step, f"`{key}` {kind}, n bigint, latest string, changes bigint", "n bigint, latest string, changes bigint", "update", timeout)
 
 
 def append_once(stream: DataFrame, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda x: x) -> StreamingQuery:

@@ -49,9 +49,8 @@ SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, valu
 
 
 def drain(df, name, mode):
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).start()
-    q.processAllAvailable()
-    q.stop()
+    # All there is, once: a state with a timeout would run on.
+    df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
     return df.sparkSession.table(name)
 
 
@@ -66,6 +65,14 @@ def test_stream_equals_batch(spark, tmp_path):
     assert key(drain(intake.sessions(stream), "w3", "complete")) == key(intake.sessions(df))
     n = {r.user_id: r.n for r in drain(intake.running_state(stream), "w4", "update").groupBy("user_id").agg(F.max("n").alias("n")).collect()}
     assert n == {0: 20, 1: 20, 2: 20}
+    e = sorted(((r.user_id, r.ts, r.event_type) for r in df.collect()), key=lambda r: (r[0], r[1]))
+    for late in (None, "1 hour"):
+        got = {r.user_id: (r.n, r.latest, r.changes) for r in drain(intake.running_state(stream, late=late, idle_ms=60_000), f"w6{bool(late)}", "update").collect()}
+        for u in {x[0] for x in e}:
+            v = [x[2] for x in e if x[0] == u]
+            assert got[u][0] == len(v) and got[u][2] <= len(v) - 1
+            if len({x[1] for x in e if x[0] == u}) == len(v):
+                assert got[u][1:] == (v[-1], sum(a != b for a, b in zip(v, v[1:])))
     assert drain(intake.first_offers(stream, "event_type"), "w5", "append").count() == 2
 
 
