@@ -69,11 +69,13 @@ def departures(df: DataFrame, keys: list[str], pos: str, tie: str, day: str, blo
 
 
 def longest_gap(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Longest time between consecutive rows of a key, in whole seconds."""
+    """Longest time between consecutive rows of a key, or since its last row at the newest of all, in whole seconds."""
     w = Window.partitionBy(*keys).orderBy(ts)
     # Whole seconds on both sides, so engines agree.
     sec = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1000000)
-    return df.withColumn("_gap", sec - F.lag(sec).over(w)).groupBy(*keys).agg(F.max("_gap").alias("max_gap_s"), F.count("*").alias("n"))
+    now = df.agg(F.max(sec)).first()[0]
+    g = df.withColumns({"_gap": sec - F.lag(sec).over(w), "_s": sec}).groupBy(*keys).agg(F.max("_gap").alias("_g"), (F.lit(now) - F.max("_s")).alias("_open"), F.count("*").alias("n"))
+    return g.select(*keys, F.greatest("_g", "_open").alias("max_gap_s"), "n")
 
 
 def _in_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

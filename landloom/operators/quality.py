@@ -41,9 +41,9 @@ def partition_figures(members: DataFrame, key: str, group: str, universe: DataFr
     return j.agg(F.count("*").alias("keys"), F.count_if(F.col("g") > 1).alias("bad_shared"), F.count_if(F.col("u").isNull()).alias("bad_unknown"), F.count_if(F.col("g").isNull()).alias("bad_missing"))
 
 
-def figures(df: DataFrame, **tests: Column) -> DataFrame:
-    """Counts of rows that fail each named test, in one pass."""
-    return df.agg(F.count("*").alias("rows"), *[F.count_if(c).alias(f"bad_{n}") for n, c in tests.items()])
+def figures(df: DataFrame, _more: list[Column] | None = None, **tests: Column) -> DataFrame:
+    """Counts of rows that fail each named test, and ``_more`` aggregates, in one pass."""
+    return df.agg(F.count("*").alias("rows"), *[F.count_if(c).alias(f"bad_{n}") for n, c in tests.items()], *(_more or []))
 
 
 def presence(layers: dict[str, DataFrame], key: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -381,3 +383,15 @@ def churn_sides(spark: SparkSession, d: str) -> DataFrame:
     g = sides.unionByName(shift(1, "before")).unionByName(shift(-1, "after")).groupBy("k", "land", "day").agg(*[F.sum(c).alias(c) for c in ("own", "before", "after")])
     e = g.select("k", F.substring("day", 1, 4).alias("year"), F.expr("stack(2, 'gained', own - before, 'lost', own - after) as (side, n)")).where("n > 0")
     return e.groupBy("k", "side", "year").agg(F.sum("n").alias("n"))
+
+
+@query(f"""WITH a AS ({SQL["attached_cases"]}), b AS ({SQL["case_badges"]}), g AS ({SQL["orphan_gate"]}) SELECT 'attached' AS part, source AS label, count(*) AS n FROM a GROUP BY ALL UNION ALL SELECT 'badge', badge, count(*) FROM b GROUP BY ALL UNION ALL SELECT 'orphan', gate, count(*) FROM g GROUP BY ALL
+ UNION ALL SELECT 'projects', CASE WHEN len(member_recnos) = 1 THEN 'single' ELSE 'several' END, count(*) FROM projects GROUP BY ALL UNION ALL SELECT 'searches', status, count(*) FROM search_results GROUP BY ALL""")
+def coverage_report(spark: SparkSession, d: str) -> DataFrame:
+    """The figures of a coverage report, one row a line; rendering is left to its reader."""
+    line = lambda df, part, label: df.groupBy(F.lit(part).alias("part"), label.alias("label")).agg(F.count("*").alias("n"))
+    parts = [
+        line(attached_cases(spark, d), "attached", F.col("source")), line(case_badges(spark, d), "badge", F.col("badge")), line(orphan_gate(spark, d), "orphan", F.col("gate")),
+        line(table(spark, d, "projects"), "projects", F.when(F.size("member_recnos") == 1, "single").otherwise("several")), line(table(spark, d, "search_results"), "searches", F.col("status")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

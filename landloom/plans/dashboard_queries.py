@@ -186,9 +186,9 @@ def corpus_measurements(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT user_id, max(g)::BIGINT AS max_gap_s, count(*) AS n FROM (SELECT user_id, floor(epoch(ts)) - lag(floor(epoch(ts))) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events) GROUP BY user_id")
+@query("WITH e AS (SELECT user_id, floor(epoch(ts)) AS s FROM events), g AS (SELECT user_id, s, s - lag(s) OVER (PARTITION BY user_id ORDER BY s) AS g FROM e), n AS (SELECT max(s) AS now FROM e) SELECT user_id, greatest(max(g), any_value(now) - max(s))::BIGINT AS max_gap_s, count(*) AS n FROM g, n GROUP BY user_id")
 def longest_gap(spark: SparkSession, d: str) -> DataFrame:
-    """W07."""
+    """With the time since a group's last event."""
     return measures.longest_gap(table(spark, d, "events"), ["user_id"], "ts")
 
 

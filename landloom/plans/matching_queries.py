@@ -267,11 +267,11 @@ def most_similar_earlier(spark: SparkSession, d: str) -> DataFrame:
     return best.select("recno", "r.other", F.round("r.jaccard", 6).alias("jaccard"))
 
 
-@query(f"WITH {AP}, f AS (SELECT district, section, list_sort(list_distinct(flatten(list(parcels)))) AS ps FROM ap WHERE section <> '' AND first <> '' GROUP BY district, section, first) SELECT DISTINCT district || s || p || '地號' AS query FROM f, unnest([section, replace(section, '小段', '')]) a(s), unnest(ps) b(p)")
+@query(f"WITH {AP}, f AS (SELECT DISTINCT district, section, first, unnest(parcels) AS p FROM ap WHERE section <> '' AND first <> '') SELECT DISTINCT district || s || p || '地號' AS query FROM f, unnest([section, replace(section, '小段', '')]) a(s) WHERE NOT (s = section AND p = first)")
 def generated_queries(spark: SparkSession, d: str) -> DataFrame:
-    """Every spelling of a unit's section with every parcel it ever had."""
+    """Every spelling of a unit's section with every parcel it ever had, but the query it was found by."""
     f = approvals(spark, d, "district", "section", "first", "parcels").where("section != '' and first != ''").select("district", "section", "first", F.explode("parcels").alias("p")).distinct()
-    s = f.select("district", "p", F.explode(F.array("section", F.replace("section", F.lit("小段"), F.lit("")))).alias("s"))
+    s = f.withColumn("s", F.explode(F.array("section", F.replace("section", F.lit("小段"), F.lit(""))))).where(~((F.col("s") == F.col("section")) & (F.col("p") == F.col("first"))))
     return s.select(F.concat("district", "s", "p", F.lit("地號")).alias("query")).distinct()
 
 
@@ -289,6 +289,14 @@ def cleansed_records(spark: SparkSession, d: str) -> DataFrame:
     return c.select(*[F.array_join(n, "|").alias(n) if n in ("parcels", "aliases", "auto_fixes", "review_flags") else F.col(n) for n in c.columns])
 
 
+@query()
+def review_figures(spark: SparkSession, d: str) -> DataFrame:
+    """How often each fix was made and each flag raised while cleansing (NFKC, so no SQL)."""
+    c = cleanse(table(spark, d, "raw_records"))
+    each = c.select(F.explode(F.concat(*[F.transform(n, lambda x, n=n: F.struct(F.lit(k).alias("kind"), x.alias("label"))) for n, k in (("auto_fixes", "fix"), ("review_flags", "flag"))])).alias("e"))
+    return each.groupBy("e.kind", "e.label").agg(F.count("*").alias("n"))
+
+
 @query()
 def name_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Gestalt ratio of the names of consecutive approvals of a unit."""

@@ -99,16 +99,17 @@ def partition_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """SELECT count(*) AS "rows", count(*) FILTER (NOT regexp_full_match(coalesce(iso_date, ''), '[0-9]{4}-[0-9]{2}-[0-9]{2}')) AS bad_date, count(*) FILTER (coalesce(section, '') = '') AS bad_section,
- count(*) FILTER (coalesce(land_count, 0) <= 0) AS bad_count, count(*) FILTER (coalesce(recno, 0) <= 0) AS bad_recno FROM clean_records"""
+ count(*) FILTER (coalesce(land_count, 0) <= 0) AS bad_count, count(*) FILTER (coalesce(recno, 0) <= 0) AS bad_recno, greatest(count(recno) - count(DISTINCT recno) - 400, 0) AS bad_repeats FROM clean_records"""
 )
 def record_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Failing rows per test, in one pass."""
+    """Failing rows per test, and repeated numbers beyond the 400 that are allowed, in one pass."""
     return quality.figures(
         table(spark, d, "clean_records"),
         date=~F.coalesce("iso_date", F.lit("")).rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
         section=F.coalesce("section", F.lit("")) == "",
         count=F.coalesce("land_count", F.lit(0)) <= 0,
         recno=F.coalesce("recno", F.lit(0)) <= 0,
+        _more=[F.greatest(F.count("recno") - F.count_distinct("recno") - 400, F.lit(0)).alias("bad_repeats")],
     )
 
 

@@ -53,11 +53,11 @@ def date_closures(spark: SparkSession, d: str) -> DataFrame:
     return j.select("recno", "case_id", dates.closes(F.col("day"), F.col("one"), F.col("two")).alias("closes"))
 
 
-@query("SELECT event_id, json_keys(props) AS keys FROM events WHERE json_keys(props) <> []")
+@query("SELECT event_id, array_to_string(list_sort(json_keys(props)), '|') AS keys FROM events WHERE json_keys(props) <> []")
 def kept_json(spark: SparkSession, d: str) -> DataFrame:
     """The fields of a landed JSON document that hold something."""
     m = land.kept_fields(F.from_json("props", "map<string,string>"))
-    return table(spark, d, "events").select("event_id", F.map_keys(m).alias("keys")).where(F.size("keys") > 0)
+    return table(spark, d, "events").select("event_id", F.array_join(F.array_sort(F.map_keys(m)), "|").alias("keys")).where("keys != ''")
 
 
 @query(r"SELECT doc_id FROM documents WHERE regexp_matches(text, '[A-Z甲乙丙丁](?:區段?|基地)(?:[^公]|公[^所]|公?$)|第[一二三四五六七八九]期')")

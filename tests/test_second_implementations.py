@@ -4,6 +4,7 @@ import difflib
 import os
 import re
 import unicodedata
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -153,3 +154,9 @@ def test_row_recovery(spark):
         want |= {(r["raw_id"], sid, "beside" if off else "exact", alike, len(best) > 1) for sid, off, alike in best}
     got = {(r.raw_id, r.search_id, r.day, r.alike_only, r.several) for r in entry.queries()["row_recovery"](spark, SF).collect()}
     assert got == want
+
+
+def test_review_figures(spark):
+    rows_ = entry.queries()["cleansed_records"](spark, SF).collect()
+    want = Counter((k, x) for r in rows_ for k, f in (("fix", r.auto_fixes), ("flag", r.review_flags)) for x in f.split("|") if x)
+    assert {(r.kind, r.label): r.n for r in entry.queries()["review_figures"](spark, SF).collect()} == want and want
